@@ -66,24 +66,27 @@ def joined_objects(first: Column, second: Column) -> Column:
     return F.concat(F.regexp_replace(first, r"\}$", ","), F.regexp_replace(second, r"^\{", ""))
 
 
-def is_json_object(value: Column | str) -> Column:
+def wrapped_variant(value: Column | str) -> Column:
+    """The text parsed as the member ``w`` of an object; null when it does not close
+    where it should."""
+    return F.try_parse_json(F.concat(F.lit('{"w":'), col(value), F.lit("}")))
+
+
+def is_json_object(value: Column | str, wrapped: Column | None = None) -> Column:
     """True only when the WHOLE text is one JSON object. The parsers accept text after
-    a complete value, so it is wrapped twice: in an array (one element) and in an
-    object (closes where it should)."""
+    a complete value, so it is read twice: as the one element of an array and as a
+    member of an object. ``wrapped`` is the second reading, when already at hand."""
     text = col(value)
-    return F.coalesce(
-        (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
-        & F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}"))).isNotNull()
-        & F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"),
-        F.lit(False),
-    )
+    inside = wrapped_variant(text) if wrapped is None else wrapped
+    one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.coalesce(text.rlike(r"^\s*\{") & one & inside.isNotNull(), F.lit(False))
 
 
-def is_whole_line(value: Column | str) -> Column:
+def is_whole_line(value: Column | str, wrapped: Column | None = None) -> Column:
     """Starts with the marker, ends with the closing brace, parses as one object."""
     text = col(value)
     shape = text.startswith(LINE_START) & text.endswith("}")
-    return F.coalesce(F.when(shape, is_json_object(text)), F.lit(False))
+    return F.coalesce(F.when(shape, is_json_object(text, wrapped)), F.lit(False))
 
 
 def ascii_length(json: Column | str) -> Column:
