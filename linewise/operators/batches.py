@@ -49,15 +49,13 @@ def pack_batches(
     would pass the limit of rows or of bytes. A row over the byte limit is a batch of
     its own. ``order`` is a column that is unique in its group."""
     max_rows, max_bytes = limits
-    ranked = running_sum(
-        rows, keys, [order], position_chunk if position_chunk is not None else by_position(order), {"_rank": F.lit(1)}, before=True
-    ).withColumn("_size", size)
-    runs = greedy_runs(ranked, keys, "_rank", "_size", max_rows, max_bytes, chunk_rows)
-    renamed = runs.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], F.col("_rank").alias("_rr"), F.col("run_no").alias("batch_no"))
-    match = F.col("_rank") == F.col("_rr")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_r{i}"))
-    return ranked.join(renamed, match).drop("_rank", "_rr", "_size", *[f"_r{i}" for i in range(len(keys))])
+    # one short key stands for the group, nulls and nested columns included
+    keyed = rows.withColumn("_g", F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})))
+    chunk = position_chunk if position_chunk is not None else by_position(order)
+    ranked = running_sum(keyed, ["_g"], [order], chunk, {"_rank": F.lit(1)}, before=True).withColumn("_size", size)
+    runs = greedy_runs(ranked, ["_g"], "_rank", "_size", max_rows, max_bytes, chunk_rows)
+    numbered = runs.select("_g", "_rank", F.col("run_no").alias("batch_no"))
+    return ranked.join(numbered, ["_g", "_rank"]).drop("_g", "_rank", "_size")
 
 
 def export_records(batched: DataFrame, keys: Sequence[str], order: str, line: str = "line") -> DataFrame:

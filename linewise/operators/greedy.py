@@ -15,6 +15,7 @@ task sees of a group), and then every chunk cuts its own rows.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_FREE = -1  # no run is open at the edge
+_FREE = -(1 << 62)  # no run is open at the edge
+_KEPT = -1  # the open run is still the open one at the end
 
 
 def _following(pos: np.ndarray, weight: np.ndarray, max_span: int, max_weight: int) -> np.ndarray:
@@ -35,21 +37,25 @@ def _following(pos: np.ndarray, weight: np.ndarray, max_span: int, max_weight: i
 
 
 def _edge_table(pos, weight, edge, max_span, max_weight):
-    """(start, end_start, runs) for every start still possible at the chunk's edge
-    (positions before ``edge`` that lie in the tail) and for no open run."""
+    """Where runs stand at the end of the rows, for every run that may be open at
+    ``edge``: (starts, ends, runs) and the same for no open run, (end, runs).
+
+    A later start never ends earlier, so starts with one outcome are neighbours and only
+    the first of each such stretch is kept: a few values per chunk."""
     step = _following(pos, weight, max_span, max_weight)
     n, first = len(pos), int(np.searchsorted(pos, edge, side="left"))
     last, runs = np.arange(n), np.zeros(n, dtype=np.int64)
-    for i in range(n - 1, -1, -1):  # where the runs stand when the rows are used up
+    for i in range(n - 1, -1, -1):
         if step[i] < n:
             last[i], runs[i] = last[step[i]], runs[step[i]] + 1
-    starts, ends, counts = [], [], []
+    table = []
     for i in range(first):
         if step[i] >= first:  # otherwise another run starts before the edge
-            starts.append(pos[i]), ends.append(pos[last[i]]), counts.append(runs[i])
-    if first < n:
-        starts.append(_FREE), ends.append(pos[last[first]]), counts.append(runs[first] + 1)
-    return starts, ends, counts
+            outcome = (int(pos[last[i]]) if last[i] >= first else None, int(runs[i]))
+            if not table or table[-1][1:] != outcome:
+                table.append((int(pos[i]), *outcome))
+    free = (int(pos[last[first]]), int(runs[first]) + 1) if first < n else (None, 0)
+    return table, free
 
 
 def greedy_runs(
@@ -70,18 +76,21 @@ def greedy_runs(
     # a row belongs to its chunk and, when near its end, to the next one's tail
     spread = slim.withColumn("_chunk", F.explode(F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))))
     key_fields = [slim.schema[k] for k in names]
+    longs = T.ArrayType(T.LongType())
     group_schema = T.StructType(
-        [*key_fields, T.StructField("_chunk", T.LongType()), T.StructField("_start", T.ArrayType(T.LongType())),
-         T.StructField("_end", T.ArrayType(T.LongType())), T.StructField("_runs", T.ArrayType(T.LongType()))]
+        [*key_fields, T.StructField("_chunk", T.LongType()), T.StructField("_start", longs), T.StructField("_end", longs),
+         T.StructField("_runs", longs), T.StructField("_free_end", T.LongType()), T.StructField("_free_runs", T.LongType())]
     )
 
     def tabulate(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_pos")
-        chunk = int(key[-1])
-        starts, ends, counts = _edge_table(
-            rows["_pos"].to_numpy(np.int64), rows["_w"].to_numpy(np.int64), chunk * span, max_span, limit
+        table, free = _edge_table(
+            rows["_pos"].to_numpy(np.int64), rows["_w"].to_numpy(np.int64), int(key[-1]) * span, max_span, limit
         )
-        return pd.DataFrame([[*key[:-1], chunk, starts, ends, counts]], columns=[f.name for f in group_schema.fields])
+        starts, ends, counts = [list(c) for c in zip(*table)] if table else ([], [], [])
+        ends = [_KEPT if e is None else e for e in ends]
+        row = [*key, starts, ends, counts, _KEPT if free[0] is None else free[0], free[1]]
+        return pd.DataFrame([row], columns=[f.name for f in group_schema.fields], dtype=object)
 
     tables = spread.groupBy(*names, "_chunk").applyInPandas(tabulate, group_schema)
 
@@ -92,16 +101,18 @@ def greedy_runs(
 
     def follow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out, open_start, run = [], _FREE, 0
-        for row in rows.sort_values("_chunk").itertuples(index=False):
-            edge = row._chunk * span
-            if open_start + max_span <= edge:
+        for row in rows.sort_values("_chunk").itertuples(index=False, name=None):
+            chunk, starts, ends, counts, free_end, free_runs = row[len(names):]
+            if open_start + max_span <= chunk * span:
                 open_start = _FREE
-            starts = list(row._start)
-            at = starts.index(open_start) if open_start in starts else (starts.index(_FREE) if _FREE in starts else None)
-            out.append([*key, row._chunk, open_start, run])
-            if at is not None:
-                open_start, run = int(row._end[at]), run + int(row._runs[at])
-        return pd.DataFrame(out, columns=[f.name for f in entry_schema.fields])
+            out.append([*key, chunk, open_start, run])
+            if open_start == _FREE:
+                end, more = free_end, free_runs
+            else:
+                at = bisect_right(starts, open_start) - 1
+                end, more = ends[at], counts[at]
+            open_start, run = (open_start if end == _KEPT else int(end)), run + int(more)
+        return pd.DataFrame(out, columns=[f.name for f in entry_schema.fields], dtype=object)
 
     entries = tables.groupBy(*names).applyInPandas(follow, entry_schema)
 
@@ -113,7 +124,7 @@ def greedy_runs(
     def cut(key: tuple, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         names_out = [f.name for f in run_schema.fields]
         if rows.empty or entry.empty:
-            return pd.DataFrame(columns=names_out)
+            return pd.DataFrame(columns=names_out, dtype=object)
         rows = rows.sort_values("_pos")
         positions = rows["_pos"].to_numpy(np.int64)
         step = _following(positions, rows["_w"].to_numpy(np.int64), max_span, limit)
@@ -132,7 +143,7 @@ def greedy_runs(
             until = min(int(step[at]), n)
             starts[at - first : until - first], numbers[at - first : until - first] = positions[at], number
             at, number = until, number + 1
-        out = {k: [key[i]] * (n - first) for i, k in enumerate(names)}
+        out = {k: pd.Series([key[i]] * (n - first), dtype=object) for i, k in enumerate(names)}
         return pd.DataFrame({**out, "_pos": positions[first:], "run_no": numbers, "run_start": starts}, columns=names_out)
 
     cuts = spread.groupBy(*names, "_chunk").cogroup(entries.groupBy(*names, "_chunk")).applyInPandas(cut, run_schema)

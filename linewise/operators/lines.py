@@ -108,7 +108,9 @@ def validate_calls(calls: DataFrame) -> DataFrame:
     has = calls.columns
     reason = F.when(unusable, "API key is required for logging")
     if "kind" in has:
-        lacks = lambda names: F.coalesce(*[F.when(F.col(n).isNull(), n) for n in names if n in has])
+        lacks = lambda names: F.coalesce(
+            *[F.when(F.col(n).isNull() if n in has else F.lit(True), n) for n in names]
+        )
         request = lacks(["method", "path"])
         response = lacks(["status_code", "duration", "correlation_id"])
         reason = reason.when(

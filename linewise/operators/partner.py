@@ -96,13 +96,12 @@ def leak_scan(lines: DataFrame, secrets: DataFrame, line_id: str = "line_id", gr
     size = F.least(F.char_length("secret"), F.lit(gram))
     probes = secrets.withColumn("_n", size).withColumn("_g", F.expr("substring(secret, 1, _n)"))
     lengths = [r["_n"] for r in probes.select("_n").distinct().limit(gram).collect()]  # at most `gram` small integers
-    per_length = [
-        F.transform(
-            F.array_distinct(F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{n}}}))"), 1)),
-            lambda g, n=n: F.struct(F.lit(n).alias("_n"), g.alias("_g")),
-        )
-        for n in lengths
-    ]
+
+    def grams_of(n: int):
+        found = F.array_distinct(F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
+        return F.transform(found, lambda g: F.struct(F.lit(n).alias("_n"), g.alias("_g")))
+
+    per_length = [grams_of(n) for n in lengths]
     if not per_length:
         return lines.select(line_id, "tenant_id", F.lit(None).cast("string").alias("form")).filter(F.lit(False))
     grams = lines.select("tenant_id", line_id, "line", F.explode(F.concat(*per_length)).alias("_e"))
