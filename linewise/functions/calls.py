@@ -161,7 +161,7 @@ def normalised(
 
 def call_json(call: Column) -> Column:
     """One call as JSON, keys in shipping order, absent fields left out."""
-    return object_text(
+    text = object_text(
         present(
             entry("name", quoted(call["name"])),
             entry("method", quoted(call["method"])),
@@ -174,3 +174,4 @@ def call_json(call: Column) -> Column:
             entry("attempt", call["attempt"]),
         )
     )
+    return F.when(call.isNotNull(), text)
