@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 
 from .. import wire
 from . import bind, col
-from .jsontext import entry, number, object_text, present, quoted
+from .jsontext import number, quoted, record_text
 
 # --- fixed value: the white space a call's text fields are trimmed of ----------
-TRIM_SPACE = r"[\x09-\x0D\x20\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+TRIM_SPACE = (
+    "\u0009\u000A\u000B\u000C\u000D\u0020\u00A0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200A"
+    "\u2028\u2029\u202F\u205F\u3000\uFEFF"
+)
 
 CALL_FIELDS = ("name", "method", "url", "status", "durationMs", "requestId", "errorCode", "message", "attempt")
 
 
 def trimmed(value: Column | str) -> Column:
     """Text without surrounding white space; null when nothing is left."""
-    stripped = F.regexp_replace(col(value), f"^{TRIM_SPACE}++|{TRIM_SPACE}++$", "")
-    return F.nullif(stripped, F.lit(""))
+    return F.nullif(F.btrim(col(value), F.lit(TRIM_SPACE)), F.lit(""))
 
 
 def cut(value: Column | str, limit: int) -> Column:
@@ -45,14 +47,16 @@ def cut(value: Column | str, limit: int) -> Column:
         )["out"]
         return F.when(wide == 0, head).otherwise(kept)
 
-    return bind(col(value), shorten)
+    # no more bytes than the limit means no more units
+    return F.when(F.octet_length(col(value)) <= limit, col(value)).otherwise(bind(col(value), shorten))
 
 
 def strip_url(value: Column | str) -> Column:
     """The URL without query, fragment and userinfo, otherwise as written."""
-    base = F.regexp_replace(col(value), r"(?s)[?#].*+", "")
+    base = F.substring_index(F.substring_index(col(value), "?", 1), "#", 1)
     # the userinfo ends at the last @ before the first slash after the first ://
-    return F.regexp_replace(base, r"(?s)^((?>.*?://))(?>[^/]*@)", "$1")
+    bare = F.regexp_replace(base, r"(?s)^((?>.*?://))(?>[^/]*@)", "$1")
+    return F.when(F.contains(base, F.lit("@")), bare).otherwise(base)
 
 
 def scrub_message(message: Column | str, url: Column | str) -> Column:
@@ -161,17 +165,17 @@ def normalised(
 
 def call_json(call: Column) -> Column:
     """One call as JSON, keys in shipping order, absent fields left out."""
-    text = object_text(
-        present(
-            entry("name", quoted(call["name"])),
-            entry("method", quoted(call["method"])),
-            entry("url", quoted(call["url"])),
-            entry("status", call["status"]),
-            entry("durationMs", number(call["durationMs"])),
-            entry("requestId", quoted(call["requestId"])),
-            entry("errorCode", quoted(call["errorCode"])),
-            entry("message", quoted(call["message"])),
-            entry("attempt", call["attempt"]),
-        )
+    text = record_text(
+        [
+            ("name", quoted(call["name"])),
+            ("method", quoted(call["method"])),
+            ("url", quoted(call["url"])),
+            ("status", call["status"]),
+            ("durationMs", number(call["durationMs"])),
+            ("requestId", quoted(call["requestId"])),
+            ("errorCode", quoted(call["errorCode"])),
+            ("message", quoted(call["message"])),
+            ("attempt", call["attempt"]),
+        ]
     )
     return F.when(call.isNotNull(), text)

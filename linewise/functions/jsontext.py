@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,12 +13,15 @@ from ..wire import LINE_START
 from . import bind, col
 
 ENTRY = "array<struct<key:string,value:string>>"
+Fields = list[tuple[str, Column]]  # name -> JSON text
 
 
 def quoted(value: Column | str) -> Column:
-    """A string as a JSON string literal; null stays null."""
+    """A string as a JSON string literal; null stays null. Text with nothing to escape,
+    nearly all of it, is only put in quotes."""
     text = col(value)
-    return F.when(text.isNotNull(), bind(F.to_json(F.array(text)), lambda a: F.substring(a, F.lit(2), F.length(a) - 2)))
+    escaped = F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+    return F.when(text.rlike(r'["\\\x00-\x1F]'), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
 
 
 def number(value: Column | str) -> Column:
@@ -42,28 +49,41 @@ def entries_of(json: Column | str) -> Column:
     )
 
 
-def overlay(base: Column, data: Column) -> Column:
-    """``data`` written over ``base``: a repeated key keeps its first place and takes
-    the later value. ``base`` is the short list."""
-    given = F.map_from_entries(data)
-    kept = F.transform(
-        base,
-        lambda e: F.struct(e["key"].alias("key"), F.coalesce(F.try_element_at(given, e["key"]), e["value"]).alias("value")),
-    )
-    names = F.transform(base, lambda e: e["key"])
-    fresh = F.filter(data, lambda e: ~F.array_contains(names, e["key"]))
-    return F.concat(kept, fresh)
+def _rendered(entries: Column) -> Column:
+    return F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]))
+
+
+def _pairs(fields: Fields) -> list[Column]:
+    # a null value makes its text null, which concat_ws leaves out
+    return [F.concat(F.lit(json.dumps(key) + ":"), value.cast("string")) for key, value in fields]
 
 
 def object_text(entries: Column) -> Column:
     """Ordered fields as the text of one JSON object."""
-    parts = F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]))
-    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(_rendered(entries), ","), F.lit("}"))
+
+
+def record_text(fields: Fields) -> Column:
+    """Fields known by name as the text of one JSON object, null ones left out."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *_pairs(fields)), F.lit("}"))
+
+
+def overlay_text(fields: Fields, data: Column) -> Column:
+    """``data`` written over known fields, as the text of one JSON object: a repeated key
+    keeps its first place and takes the later value; a null field is not there."""
+    given = F.map_from_entries(data)
+    base = [(key, F.when(value.isNotNull(), F.coalesce(F.try_element_at(given, F.lit(key)), value.cast("string")))) for key, value in fields]
+
+    def is_new(e: Column) -> Column:
+        return ~reduce(or_, [(e["key"] == key) & value.isNotNull() for key, value in fields])
+
+    rest = _rendered(F.filter(data, is_new))
+    return F.concat(F.lit("{"), F.concat_ws(",", *_pairs(base), rest), F.lit("}"))
 
 
 def joined_objects(first: Column, second: Column) -> Column:
     """Two non-empty JSON objects' texts as one object, the first one's keys first."""
-    return F.concat(F.regexp_replace(first, r"\}$", ","), F.regexp_replace(second, r"^\{", ""))
+    return F.concat(F.left(first, F.length(first) - 1), F.lit(","), F.substring(second, F.lit(2), F.length(second) - 1))
 
 
 def wrapped_variant(value: Column | str) -> Column:
@@ -83,10 +103,15 @@ def is_json_object(value: Column | str, wrapped: Column | None = None) -> Column
 
 
 def is_whole_line(value: Column | str, wrapped: Column | None = None) -> Column:
-    """Starts with the marker, ends with the closing brace, parses as one object."""
-    text = col(value)
-    shape = text.startswith(LINE_START) & text.endswith("}")
-    return F.coalesce(F.when(shape, is_json_object(text, wrapped)), F.lit(False))
+    """Starts with the marker, ends with the closing brace, parses as one object. The
+    text is bound once: a filter on it may be pushed below the step that made it."""
+
+    def check(text: Column) -> Column:
+        return F.coalesce(
+            F.when(text.startswith(LINE_START) & text.endswith("}"), is_json_object(text, wrapped)), F.lit(False)
+        )
+
+    return bind(col(value), check)
 
 
 def ascii_length(json: Column | str) -> Column:

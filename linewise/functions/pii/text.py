@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ...session import ship_package
 from .. import bind, col
 from .leaf import redact_string
 from .options import DEFAULT, Options
@@ -51,6 +52,8 @@ def needs_python(value: Column, options: Options, names: bool = False) -> Column
 
 
 def _text_udf(options: Options, names: bool):
+    ship_package()
+
     @F.pandas_udf("string")
     def redact_some(texts: pd.Series) -> pd.Series:
         return pd.Series([None if t is None or t is pd.NA or t != t else redact_string(t, options, names) for t in texts], dtype=object)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ...session import ship_package
 from .. import col
 from .keys import DROPPED_NAME, is_sensitive_key, key_marker, name_is_sensitive, name_marker
 from .leaf import redact_string
@@ -53,6 +54,8 @@ def _walk(value, options: Options):
 
 
 def _json_udf(options: Options):
+    ship_package()
+
     @F.pandas_udf("string")
     def redact_documents(documents: pd.Series) -> pd.Series:
         def one(text):

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 _FREE = -(1 << 62)  # no run is open at the edge
 _KEPT = -1  # the open run is still the open one at the end
 
@@ -63,14 +65,23 @@ def greedy_runs(
 ) -> DataFrame:
     """(keys, pos, run_no, run_start) for every row; run_no counts from 0 in each group.
 
-    ``pos`` is a non-negative integer, unique in its group. Only keys, positions and
+    ``pos`` is a non-negative integer, unique and never null with its keys. Only keys, positions and
     weights travel; the caller joins the result back or groups by it."""
+    ship_package(df.sparkSession)
     names = list(keys)
     span = max(chunk_span, max_span)
     limit = max_weight if max_weight is not None else 1 << 62
     slim = df.select(
         *names, F.col(pos).cast("bigint").alias("_pos"), (F.col(weight) if weight else F.lit(0)).cast("bigint").alias("_w")
     )
+    # most groups are one run; that takes only their totals
+    totals = slim.groupBy(*names).agg(F.min("_pos").alias("_first"), F.max("_pos").alias("_lastpos"), F.sum("_w").alias("_sum"))
+    sized = slim.join(totals, names)
+    alone = (F.col("_lastpos") - F.col("_first") < max_span) & (F.col("_sum") <= limit)
+    whole = sized.filter(alone).select(
+        *names, F.col("_pos").alias(pos), F.lit(0).cast("bigint").alias("run_no"), F.col("_first").alias("run_start")
+    )
+    slim = sized.filter(~alone).select(*names, "_pos", "_w")
     own = F.floor(F.col("_pos") / span).cast("bigint")
     in_tail = (F.col("_pos") % span) >= span - max_span
     # a row belongs to its chunk and, when near its end, to the next one's tail
@@ -147,4 +158,4 @@ def greedy_runs(
         return pd.DataFrame({**out, "_pos": positions[first:], "run_no": numbers, "run_start": starts}, columns=names_out)
 
     cuts = spread.groupBy(*names, "_chunk").cogroup(entries.groupBy(*names, "_chunk")).applyInPandas(cut, run_schema)
-    return cuts.withColumnRenamed("_pos", pos)
+    return whole.unionByName(cuts.withColumnRenamed("_pos", pos))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import wire
 from ..functions.headers import headers_json, redact_headers
-from ..functions.jsontext import ENTRY, entry, joined_objects, number, object_text, overlay, present, quoted
+from ..functions.jsontext import ENTRY, entry, joined_objects, number, overlay_text, present, quoted, record_text
 from .recover import _PARSED, envelope_columns, wrapped_variant
 
 
@@ -24,12 +24,12 @@ def json_value(df: DataFrame, name: str) -> Column:
     return F.to_json(F.col(name))
 
 
-def _context_entries(df: DataFrame) -> list[Column]:
-    return [entry(field, json_value(df, source)) for source, field in wire.CONTEXT_FIELDS if source in df.columns]
-
-
-def _partner_entry(df: DataFrame) -> list[Column]:
-    return [entry("partnerId", quoted("partner_id"))] if "partner_id" in df.columns else []
+def _base_fields(df: DataFrame) -> list[tuple[str, Column]]:
+    """The fields every line has, then the context fields that are set."""
+    fields = [("level", quoted("level")), ("message", quoted("message"))]
+    if "partner_id" in df.columns:
+        fields.append(("partnerId", quoted("partner_id")))
+    return fields + [(field, json_value(df, source)) for source, field in wire.CONTEXT_FIELDS if source in df.columns]
 
 
 def drop_reserved_keys(data: Column) -> Column:
@@ -48,38 +48,28 @@ def compose_lines(calls: DataFrame, line: str = "line") -> DataFrame:
     ``data`` (ordered fields). The envelope and the fields are written separately and
     joined as text, so nothing in the data can come before the marker."""
 
-    def extra(key: str, source: str) -> list[Column]:
-        return [entry(key, quoted(F.nullif(F.col(source), F.lit(""))))] if source in calls.columns else []
-
-    envelope = present(
-        entry(wire.MARKER_KEY, F.lit(f'"{wire.LINE_VERSION}"')),
-        entry(wire.PARTNER_REF_KEY, quoted("partner_ref")),
-        entry(wire.TIMESTAMP_KEY, quoted("ts_ns")),
-        entry(wire.LEVEL_KEY, quoted("level")),
-        *extra(wire.DIRECTION_KEY, "direction"),
-        *extra(wire.UPSTREAM_INTEGRATION_KEY, "upstream_integration"),
-        *extra(wire.UPSTREAM_BASE_URL_KEY, "upstream_base_url"),
-    )
-    base = present(
-        entry("level", quoted("level")),
-        entry("message", quoted("message")),
-        *_partner_entry(calls),
-        *_context_entries(calls),
+    def extra(key: str, source: str) -> list[tuple[str, Column]]:
+        return [(key, quoted(F.nullif(F.col(source), F.lit(""))))] if source in calls.columns else []
+
+    envelope = record_text(
+        [
+            (wire.MARKER_KEY, F.lit(f'"{wire.LINE_VERSION}"')),
+            (wire.PARTNER_REF_KEY, quoted("partner_ref")),
+            (wire.TIMESTAMP_KEY, quoted("ts_ns")),
+            (wire.LEVEL_KEY, quoted("level")),
+            *extra(wire.DIRECTION_KEY, "direction"),
+            *extra(wire.UPSTREAM_INTEGRATION_KEY, "upstream_integration"),
+            *extra(wire.UPSTREAM_BASE_URL_KEY, "upstream_base_url"),
+        ]
     )
-    fields = overlay(base, drop_reserved_keys(_data(calls)))
-    return calls.withColumn(line, joined_objects(object_text(envelope), object_text(fields)))
+    fields = overlay_text(_base_fields(calls), drop_reserved_keys(_data(calls)))
+    return calls.withColumn(line, joined_objects(envelope, fields))
 
 
 def compose_entries(calls: DataFrame, line: str = "line") -> DataFrame:
     """The direct-delivery form: the line is the fields alone (no reserved keys to drop),
     with ``labels`` and ``root`` as they were at the time of the call."""
-    base = present(
-        entry("level", quoted("level")),
-        entry("message", quoted("message")),
-        *_partner_entry(calls),
-        *_context_entries(calls),
-    )
-    return delivery_labels(calls).withColumn(line, object_text(overlay(base, _data(calls))))
+    return delivery_labels(calls).withColumn(line, overlay_text(_base_fields(calls), _data(calls)))
 
 
 def delivery_labels(calls: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Session settings and the two checks every job shares."""
+"""Session settings, shipping the package to the executors, and cutting lineage."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,31 @@ def build_session(app: str = "linewise", master: str | None = None, **conf: str)
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Sends this package's own modules to the executors, once per application, so that
+    Python workers can import them. Nothing is done when it already runs from an archive
+    (``--py-files``) or there is no session yet."""
+    session = spark or SparkSession.getActiveSession()
+    here = os.path.dirname(os.path.abspath(__file__))
+    if session is None or not os.path.isdir(here) or session.sparkContext.applicationId in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="linewise-"), "linewise.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(here):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(here)))
+    session.sparkContext.addPyFile(archive)
+    _shipped.add(session.sparkContext.applicationId)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

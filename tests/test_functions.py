@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from linewise.functions.calls import cut, error_code, pick_request_id, reject_reason, scrub_message, strip_url
 from linewise.functions.headers import redact_header_lists, redact_headers
-from linewise.functions.jsontext import ascii_length, entries_of, is_whole_line, object_text, overlay, quoted
+from linewise.functions.jsontext import ascii_length, entries_of, is_whole_line, overlay_text, quoted
 from linewise.functions.references import partner_ref
 from linewise.functions.timestamps import ms_number_to_ns, ms_to_ns
 from linewise.wire import LINE_START
@@ -131,7 +131,7 @@ def test_whole_line_must_start_with_the_marker(spark):
 def test_json_text(spark):
     df = spark.createDataFrame([('{"b": 1, "level": "x", "n": null, "2024": {"z": [1, 2]}}', 'a"\\\n/é')], "j string, s string")
     row = df.select(
-        object_text(overlay(entries_of(F.lit('{"level":"info","message":"m"}')), entries_of("j"))),
+        overlay_text([("level", F.lit('"info"')), ("message", F.lit('"m"')), ("n", F.lit(None))], entries_of("j")),
         quoted("s"), ascii_length(quoted("s")), ascii_length(F.lit('"\U0001f600é/"'))).first()
     assert row[0] == '{"level":"x","message":"m","b":1,"n":null,"2024":{"z":[1,2]}}'
     assert row[1] == '"a\\"\\\\\\n/é"'
