@@ -419,3 +419,13 @@ _HITS = " UNION ALL ".join(
 ORACLE["pii_report"] = f"""WITH done AS (SELECT lang, {_PII} AS t FROM documents), hits AS ({_HITS})
   SELECT marker, lang AS grp, count(*) AS rows, sum(n)::BIGINT AS hits, 0 AS all_groups FROM hits WHERE n > 0 GROUP BY marker, lang
   UNION ALL SELECT marker, NULL, count(*), sum(n)::BIGINT, 1 FROM hits WHERE n > 0 GROUP BY marker"""
+
+# --- streams: what the batch operators give -------------------------------------------------
+ORACLE["stream_classify"] = ORACLE["classify_lines"]
+ORACLE["stream_unique_lines"] = f"WITH {EVENT_LINES} SELECT event_id, md5(line) AS line_md5 FROM event_lines"
+ORACLE["stream_rejoin_parts"] = f"WITH {_WHOLE_TEXT} SELECT file, line_start, parts, md5(line) AS line_md5 FROM lines"
+ORACLE["stream_pair_exchanges"] = f"""WITH {CUSTOMERS} SELECT partner_ref, o_orderkey::VARCHAR AS correlation_id, {_METHOD} AS method,
+  {_STATUS}::BIGINT AS status_code, {_DURATION}::DOUBLE AS duration_ms FROM orders JOIN customers ON app_key = 'cust-' || o_custkey WHERE o_orderstatus <> 'O'"""
+ORACLE["stream_collect_trails"] = f"""WITH {_TRAIL} SELECT l_orderkey::VARCHAR AS exchange_id, n_calls, total - n_calls AS upstream_dropped
+  FROM trails JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'O'"""
+ORACLE["stream_drop_reports"] = f"""WITH reports AS ({ORACLE["rate_limited_reports"]}) SELECT tenant_id AS logger, at_ms, reported, total FROM reports WHERE at_ms IS NOT NULL"""

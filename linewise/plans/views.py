@@ -118,14 +118,18 @@ def break_lines(lines: DataFrame) -> DataFrame:
 
 # --- container text, from documents ---------------------------------------------------
 
-def _pieces(spark: SparkSession, d: str) -> DataFrame:
+def _pieces(documents: DataFrame) -> DataFrame:
     text = F.replace("text", F.lit("\n"), F.lit(" "))
-    docs = table(spark, d, "documents").select(s("doc_id").alias("file"), "doc_id", text.alias("t")).filter(F.col("t") != "")
+    docs = documents.select(s("doc_id").alias("file"), "doc_id", text.alias("t")).filter(F.col("t") != "")
     found = F.regexp_extract_all("t", F.lit(f"(?s).{{1,{PIECE}}}"), 0)
     return docs.select("file", "doc_id", F.size(found).alias("n"), F.posexplode(found).alias("k", "piece"))
 
 
 def cri_rows(spark: SparkSession, d: str) -> DataFrame:
+    return document_cri_rows(table(spark, d, "documents"))
+
+
+def document_cri_rows(documents: DataFrame) -> DataFrame:
     """Each text as the parts a runtime would write, with stderr and broken rows mixed in."""
     last = F.col("k") == F.col("n") - 1
     tag = F.when(last, "F").otherwise("P")
@@ -135,7 +139,7 @@ def cri_rows(spark: SparkSession, d: str) -> DataFrame:
     noise = F.struct((F.col("k") * 3 + 1).cast("bigint").alias("pos"), F.lit("2024-01-01T00:00:01Z stderr P noise").alias("text"))
     broken = F.struct((F.col("k") * 3 + 2).cast("bigint").alias("pos"), F.lit("stdout F broken").alias("text"))
     rows = F.when(F.col("doc_id") % 3 == 0, F.array(own, noise, broken)).otherwise(F.array(own))
-    return _pieces(spark, d).select("file", F.explode(rows).alias("r")).select("file", "r.pos", "r.text")
+    return _pieces(documents).select("file", F.explode(rows).alias("r")).select("file", "r.pos", "r.text")
 
 
 def docker_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -143,19 +147,23 @@ def docker_rows(spark: SparkSession, d: str) -> DataFrame:
     log = F.concat(F.col("piece"), F.when(last, "\n").otherwise(""))
     wrapped = F.to_json(F.struct(log.alias("log"), F.lit("stdout").alias("stream"), F.lit("2024-01-01T00:00:00Z").alias("time")))
     text = F.when((F.col("doc_id") % 4 == 0) & last, F.array(F.lit("{broken"), wrapped)).otherwise(F.array(wrapped))
-    rows = _pieces(spark, d).select("file", "k", F.posexplode(text).alias("i", "text"))
+    rows = _pieces(table(spark, d, "documents")).select("file", "k", F.posexplode(text).alias("i", "text"))
     return rows.select("file", (F.col("k") * 2 + F.col("i")).cast("bigint").alias("pos"), "text")
 
 
 # --- exchanges, from orders -------------------------------------------------------------
 
 def requests(spark: SparkSession, d: str) -> DataFrame:
+    return order_requests(table(spark, d, "orders"))
+
+
+def order_requests(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     body = (
         F.when(key % 4 == 1, F.lit('"text"'))
         .when(key % 4 > 1, text_of('{"total":', s(F.floor("o_totalprice").cast("bigint")), ',"priority":"', F.col("o_orderpriority"), '"}'))
     )
-    return table(spark, d, "orders").select(
+    return orders.select(
         "o_orderkey",
         "o_orderstatus",
         text_of("t", s(F.col("o_custkey") % 3)).alias("tenant_id"),
@@ -172,8 +180,12 @@ def requests(spark: SparkSession, d: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, d: str) -> DataFrame:
+    return order_responses(table(spark, d, "orders"))
+
+
+def order_responses(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
-    answered = table(spark, d, "orders").filter(F.col("o_orderstatus") != "O")
+    answered = orders.filter(F.col("o_orderstatus") != "O")
     body = F.when(key % 5 == 0, F.lit("null")).when(key % 5 > 1, text_of('{"state":"', F.col("o_orderstatus"), '"}'))
     return answered.select(
         "o_orderkey",
@@ -193,9 +205,13 @@ CALL_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantit
 
 
 def upstream_calls(spark: SparkSession, d: str) -> DataFrame:
+    return item_calls(table(spark, d, "lineitem"))
+
+
+def item_calls(items: DataFrame) -> DataFrame:
     status = F.when(F.col("l_returnflag") == "A", 200.0).when(F.col("l_returnflag") == "R", 500.0)
     failed = status.isNull()
-    return table(spark, d, "lineitem").select(
+    return items.select(
         "l_orderkey",
         *CALL_ORDER,
         text_of(" supplier-", s("l_suppkey"), " ").alias("name"),

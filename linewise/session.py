@@ -57,12 +57,17 @@ def ship_package(spark: SparkSession | None = None) -> None:
     _shipped.add(session.sparkContext.applicationId)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so that lost executors can
-    re-read it. The folder comes from ``spark.checkpoint.dir``; a private one is set
-    only where the session names none (tests on one machine)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can read: the one ``spark.checkpoint.dir`` names. Only
+    where the session names none (tests on one machine) a private one is set."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or os.path.join(tempfile.gettempdir(), "linewise-checkpoints"))
+        configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="linewise-checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder, so that lost executors can re-read it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
