@@ -429,3 +429,11 @@ ORACLE["stream_pair_exchanges"] = f"""WITH {CUSTOMERS} SELECT partner_ref, o_ord
 ORACLE["stream_collect_trails"] = f"""WITH {_TRAIL} SELECT l_orderkey::VARCHAR AS exchange_id, n_calls, total - n_calls AS upstream_dropped
   FROM trails JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'O'"""
 ORACLE["stream_drop_reports"] = f"""WITH reports AS ({ORACLE["rate_limited_reports"]}) SELECT tenant_id AS logger, at_ms, reported, total FROM reports WHERE at_ms IS NOT NULL"""
+
+# --- phones: the documents hold numbers written "+1 (ddd) ddd-dddd" -----------------------------
+PHONE = (r"(?:\+1 )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b", "[PHONE_REDACTED]")
+ORACLE["redact_phones"] = f"""SELECT doc_id, {chain("(text || chr(10) || 'call (415) 555-' || lpad((doc_id % 10000)::VARCHAR, 4, '0') || ' today')", PHONE)} AS text FROM documents"""
+ORACLE["redact_all"] = f"""SELECT doc_id, {chain(
+    "text", JWT, BEARER, OAUTH, ISSUER, PREFIXED, LONG, ENCODED, EMAIL, PASSWORD_JSON, PASSWORD, PHONE, CARD, CVV, IPV4, IPV6, URL)} AS text FROM documents"""
+# no character outside the basic plane in these texts, so units are characters
+ORACLE["cut_fields"] = "SELECT doc_id, left(text, 128) AS head FROM documents"
