@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,6 +77,7 @@ _hump, _acronym = regex.compile(_HUMP), regex.compile(_ACRONYM)
 _parting, _sensitive = regex.compile(r"[^a-z0-9]++"), regex.compile(_SENSITIVE)
 
 
+@lru_cache(maxsize=65536)
 def name_is_sensitive(name: str) -> bool:
     humps = _acronym.sub(r"\1_", _hump.sub(r"\1_\2", name))
     return _sensitive.search(_parting.sub("_", f"_{humps.translate(_TO_LOWER)}_")) is not None

@@ -7,7 +7,7 @@ that can fail late starts only once per run of its characters, so each is linear
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values: character classes and edges ----------------------------------
 SPACE = r"\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
@@ -36,12 +36,25 @@ ISSUER_SHAPES = (
     r"psa_[A-Za-z0-9_-]{43}",
 )
 
+# a text each of the shapes above holds
+ISSUER_NEEDS = (
+    "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "AKIA", "ASIA", "xox", "_live_", "_test_", "whsec_", "sk-", "AIza", "npm_",
+    "glpat-", "papi_admin_", "psa_",
+)
+
 # --- fixed values: markers ---------------------------------------------------------
 PHONE_MARKER = "[PHONE_REDACTED]"
 ENCODED_MARKER = "[ENCODED_KEY_REDACTED]"
 EMAIL_MARKER = "[EMAIL_REDACTED]"
 FAILED_MARKER = "[REDACTION_FAILED]"
 
+def run_of(size: int) -> str:
+    """Finds a run of at least ``size`` base64 characters, reading each character once."""
+    return rf"^(?:[A-Za-z0-9+/]{{0,{size - 1}}}+[^A-Za-z0-9+/])*+[A-Za-z0-9+/]{{{size}}}"
+
+
+LONG_RUN = run_of(32)
+
 # --- fixed values: runs of base64 characters -----------------------------------------
 ENCODED_RUN = BOUNDARY + r"[A-Za-z0-9+/]{40,}={0,2}" + BOUNDARY
 
@@ -49,7 +62,8 @@ ENCODED_RUN = BOUNDARY + r"[A-Za-z0-9+/]{40,}={0,2}" + BOUNDARY
 @dataclass(frozen=True)
 class Rule:
     """One replacement. ``group`` is the option that switches it; ``needs`` are texts of
-    which one must occur (any case when ``caseless``) for it to be worth running."""
+    which one must occur (any case when ``caseless``) for it to be worth running, and
+    ``screen`` is a cheap pattern that must be found as well."""
 
     name: str
     group: str
@@ -58,16 +72,17 @@ class Rule:
     needs: tuple[str, ...] = ()
     caseless: bool = False
     in_names: bool = True
-    special: str = field(default="")
+    special: str = ""
+    screen: str = ""
 
 
-def _at_word_start(name, group, body, replacement, needs=(), caseless=False, in_names=True):
+def _at_word_start(name, group, body, replacement, needs=(), caseless=False, in_names=True, screen=""):
     """A rule that starts at a word, and the same right after a JSON string escape,
     whose last letter hides the word's start."""
     flag = "(?i)" if caseless else ""
     return [
         Rule(name + " after escape", group, flag + ESCAPE + body, "$1" + replacement, ("\\",), False, in_names),
-        Rule(name, group, flag + WORD_START + body, replacement, needs, caseless, in_names),
+        Rule(name, group, flag + WORD_START + body, replacement, needs, caseless, in_names, screen=screen),
     ]
 
 
@@ -108,14 +123,14 @@ RULES: tuple[Rule, ...] = (
     Rule(
         "issuer", "api_keys",
         rf"(?:(?<![A-Za-z0-9])|{AFTER_ESCAPE})(?:" + "|".join(f"(?:{s})" for s in ISSUER_SHAPES) + ")(?![A-Za-z0-9])",
-        "[API_KEY_REDACTED]", ("_", "-", "AKIA", "ASIA", "AIza"),
+        "[API_KEY_REDACTED]", ISSUER_NEEDS,
     ),
     *_at_word_start(
         "prefixed key", "api_keys", r"(?:sk-|pk_|rk_|ak_|key_|token_)[A-Za-z0-9_-]{10,}" + BOUNDARY, "[API_KEY_REDACTED]",
         ("sk-", "pk_", "rk_", "ak_", "key_", "token_"), in_names=False,
     ),
-    Rule("long token", "api_keys", WORD_START + r"[A-Za-z0-9]{32,}+" + WORD_END, "[POTENTIAL_KEY_REDACTED]", in_names=False),
-    Rule("encoded", "api_keys", ENCODED_RUN, ENCODED_MARKER, in_names=False, special="encoded"),
+    Rule("long token", "api_keys", WORD_START + r"[A-Za-z0-9]{32,}+" + WORD_END, "[POTENTIAL_KEY_REDACTED]", in_names=False, screen=LONG_RUN),
+    Rule("encoded", "api_keys", ENCODED_RUN, ENCODED_MARKER, in_names=False, special="encoded", screen=LONG_RUN),
     Rule("email", "emails", _email(), "$1$2" + EMAIL_MARKER, ("@",)),
     Rule(
         "password json", "passwords", rf'(?i)"password"[{SPACE}]*+:[{SPACE}]*+"[^"]*+"', '"password": "[PASSWORD_REDACTED]"',
@@ -125,12 +140,12 @@ RULES: tuple[Rule, ...] = (
         "password", "passwords", rf"(?i)(?:password|pwd)[=:][^&{SPACE}]*+", "password=[PASSWORD_REDACTED]", ("password", "pwd"), True,
     ),
     Rule("phone", "phones", "", PHONE_MARKER, special="phone"),
-    *_at_word_start("card", "cards", rf"(?:[0-9]{{4}}(?:-|[{SPACE}])?){{3}}[0-9]{{4}}{WORD_END}", "[CARD_REDACTED]"),
+    *_at_word_start("card", "cards", rf"(?:[0-9]{{4}}(?:-|[{SPACE}])?){{3}}[0-9]{{4}}{WORD_END}", "[CARD_REDACTED]", screen="[0-9]{4}"),
     *_at_word_start(
         "cvv", "cards", rf"cvv[{SPACE}]*+[=:][{SPACE}]*+[0-9]{{3,4}}{WORD_END}", "cvv=[CVV_REDACTED]", ("cvv",), True
     ),
-    *_at_word_start("ipv4", "ips", rf"(?:[0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}{WORD_END}", "[IP_REDACTED]", (".",), in_names=False),
-    *_at_word_start("ipv6", "ips", rf"(?:[0-9a-fA-F]{{1,4}}:){{7}}[0-9a-fA-F]{{1,4}}{WORD_END}", "[IPV6_REDACTED]", (":",), in_names=False),
+    *_at_word_start("ipv4", "ips", rf"(?:[0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}{WORD_END}", "[IP_REDACTED]", (".",), in_names=False, screen=r"[0-9]\.[0-9]"),
+    *_at_word_start("ipv6", "ips", rf"(?:[0-9a-fA-F]{{1,4}}:){{7}}[0-9a-fA-F]{{1,4}}{WORD_END}", "[IPV6_REDACTED]", (":",), in_names=False, screen="[0-9a-fA-F]:[0-9a-fA-F]"),
     Rule("uuid", "uuids", r"(?i)[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}", "[ID]", ("-",), in_names=False),
     Rule("url", "urls", _url(), "$1$2?[QUERY_REDACTED]", ("://",), in_names=False),
 )
@@ -143,11 +158,13 @@ PHONE = (
 # characters a text may hold without being folded before the phone rule reads it
 PLAIN = r"\x00-\x7F\u00C0-\u024F\u0400-\u04FF\u3001\u3002\u3041-\u3096\u30A1-\u30FF\u4E00-\u9FFF\uAC00-\uD7A3"
 NBSP_ENTITY = r"&(?:nbsp|#0{0,8}160|#x0{0,8}a0);"
-FOLD_NEEDED = rf"[^{PLAIN}]|=\r?\n|(?i:{NBSP_ENTITY})"
+FOLDABLE = rf"[^{PLAIN}]"
+FOLD_NEEDED = rf"{FOLDABLE}|=\r?\n|(?i:{NBSP_ENTITY})"
 
 # Loose screens: text they do not hit cannot be changed by the two rules that are not
-# plain patterns. Characters that fold to digits are numbers or symbols.
+# plain patterns. Characters that fold to digits are numbers or symbols, none to more
+# than two digits, and a phone number has at least seven.
 PHONE_SCREEN = rf"[0-9]{{3}}\)?[-.{SPACE}]?[0-9]{{3}}[-.{SPACE}]?[0-9]{{4}}|\+[1-9]"
 NUMBERISH = r"[\p{N}\p{So}]"
 MIN_NUMBERISH = 4
-ENCODED_SCREEN = r"[A-Za-z0-9+/]{40}"
+ENCODED_SCREEN = run_of(40)

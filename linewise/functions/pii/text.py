@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,39 +13,66 @@ from ...session import ship_package
 from .. import bind, col
 from .leaf import redact_string
 from .options import DEFAULT, Options
-from .rules import ENCODED_SCREEN, FOLD_NEEDED, MIN_NUMBERISH, NUMBERISH, PHONE_MARKER, PHONE_SCREEN, RULES
+from .rules import ENCODED_SCREEN, FOLDABLE, LONG_RUN, MIN_NUMBERISH, NBSP_ENTITY, NUMBERISH, PHONE_MARKER, PHONE_SCREEN, RULES
 
 
-def native_chain(value: Column, options: Options, names: bool = False) -> Column:
+def native_chain(value: Column, options: Options, names: bool = False, share: bool = True) -> Column:
     """The rules as one JVM expression. Each is a regular expression behind a search for
     a text it needs, which is far cheaper and usually fails. Only the phone rule is left
     out, and encoded runs count as whole: ``needs_python`` finds the texts where that
-    would differ."""
-
-    def step(rule):
-        def apply(v: Column) -> Column:
-            replaced = F.regexp_replace(v, rule.pattern, rule.replacement)
-            if not rule.needs:
-                return replaced
-            seen = F.lower(v) if rule.caseless else v
-            worth = reduce(or_, [F.contains(seen, F.lit(n)) for n in rule.needs])
-            return F.when(worth, replaced).otherwise(v)
-
-        return apply
-
-    for rule in RULES:
-        if rule.special != "phone" and getattr(options, rule.group) and (rule.in_names or not names):
-            value = bind(value, step(rule))
-    return value
+    would differ.
+
+    ``share`` makes the two costly tests once for all rules. Inside another lambda, where
+    the texts are short, that is left off: a Python function whose argument holds lambdas
+    that refer to outer lambdas is not planned right."""
+
+    rules = [r for r in RULES if r.special != "phone" and getattr(options, r.group) and (r.in_names or not names)]
+
+    def has_any(text: Column, needs) -> Column:
+        return reduce(or_, [F.contains(text, F.lit(n)) for n in needs])
+
+    def run(text: Column, any_case: Column, long_run: Column) -> Column:
+        def step(rule):
+            def apply(v: Column) -> Column:
+                worth = []
+                if rule.screen == LONG_RUN:
+                    there = v.rlike(LONG_RUN) if long_run is None else long_run
+                    return F.when(there, F.regexp_replace(v, rule.pattern, rule.replacement)).otherwise(v)
+                if rule.needs:
+                    worth.append(any_case & has_any(F.lower(v), rule.needs) if rule.caseless else has_any(v, rule.needs))
+                if rule.screen:
+                    worth.append(v.rlike(rule.screen))
+                replaced = F.regexp_replace(v, rule.pattern, rule.replacement)
+                return F.when(reduce(and_, worth), replaced).otherwise(v) if worth else replaced
+
+            return apply
+
+        for rule in rules:
+            text = bind(text, step(rule))
+        return text
+
+    # one lower-case pass tells whether any rule that ignores case has a chance; no
+    # replacement brings in a word that was not there
+    caseless = sorted({n for r in rules if r.caseless for n in r.needs})
+    any_case = has_any(F.lower(value), caseless) if caseless else F.lit(False)
+    if not share:
+        return run(value, F.lit(True), None)
+    # a run of 32 needs a word that long; markers bring in none
+    long_word = F.exists(F.split(value, " "), lambda w: F.octet_length(w) >= 32) if any(r.screen == LONG_RUN for r in rules) else F.lit(False)
+    long_run = long_word & value.rlike(LONG_RUN)
+    return bind(any_case, lambda a: bind(long_run, lambda b: run(value, a, b)))
 
 
 def needs_python(value: Column, options: Options, names: bool = False) -> Column:
-    """Whether the text may hold a phone number, or an encoded run with a slash."""
+    """Whether the text may hold a phone number, or an encoded run with a slash. The
+    cheap tests come first; most texts stop at the count of digits."""
     out = F.lit(False)
     if options.phones:
-        folded = value.rlike(FOLD_NEEDED) & (F.regexp_count(value, F.lit(NUMBERISH)) >= MIN_NUMBERISH)
-        marked = F.contains(value, F.lit(PHONE_MARKER))
-        out = out | marked | value.rlike(PHONE_SCREEN) | folded
+        accented = (F.octet_length(value) != F.char_length(value)) & value.rlike(FOLDABLE)
+        entity = F.contains(value, F.lit("&")) & value.rlike(f"(?i){NBSP_ENTITY}")
+        soft = F.contains(value, F.lit("=\n")) | F.contains(value, F.lit("=\r\n"))
+        digits = F.regexp_count(value, F.lit(NUMBERISH)) >= MIN_NUMBERISH
+        out = F.contains(value, F.lit(PHONE_MARKER)) | (digits & (value.rlike(PHONE_SCREEN) | accented | soft | entity))
     if options.api_keys and not names:
         out = out | (F.contains(value, F.lit("/")) & value.rlike(ENCODED_SCREEN))
     return F.coalesce(out, F.lit(False))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ...session import ship_package
 from .. import col
 from .keys import DROPPED_NAME, is_sensitive_key, key_marker, name_is_sensitive, name_marker
-from .leaf import redact_string
+from .leaf import redact_name, redact_string
 from .options import DEFAULT, Options
 from .rules import FAILED_MARKER
 from .text import native_chain, needs_python, redact_text
@@ -47,7 +47,7 @@ def _walk(value, options: Options):
             inner = name_marker(key)
         else:
             inner = _walk(inner, options)
-        name = redact_string(key, options, names=True) if key else key
+        name = redact_name(key, options)
         if name != DROPPED_NAME:
             out[_free_name(name, out)] = inner
     return out
@@ -95,7 +95,7 @@ def _fields(kind: T.StructType, options: Options):
         marker = name_marker(field.name) if name_is_sensitive(field.name) else None
         if marker is not None and not options.preserve_structure:
             continue
-        new = redact_string(field.name, options, names=True)
+        new = redact_name(field.name, options)
         if new == DROPPED_NAME:
             continue
         new = _free_name(new, taken)
@@ -105,7 +105,7 @@ def _fields(kind: T.StructType, options: Options):
 
 def _native(value: Column, kind: T.DataType, options: Options) -> Column:
     if isinstance(kind, T.StringType):
-        return native_chain(value, options)
+        return native_chain(value, options, share=False)
     if isinstance(kind, T.ArrayType):
         return F.transform(value, lambda v: _native(v, kind.elementType, options))
     if isinstance(kind, T.StructType):
@@ -122,7 +122,7 @@ def _native(value: Column, kind: T.DataType, options: Options) -> Column:
         changed = F.transform(
             entries,
             lambda e: F.struct(
-                native_chain(e["key"], options, names=True).alias("key"),
+                native_chain(e["key"], options, names=True, share=False).alias("key"),
                 (
                     F.when(is_sensitive_key(e["key"]), key_marker(e["key"])).otherwise(_native(e["value"], kind.valueType, options))
                     if isinstance(kind.valueType, T.StringType)
@@ -147,7 +147,7 @@ def _gate(value: Column, kind: T.DataType, options: Options) -> Column:
                 out = out | _gate(value.getField(f.name), f.dataType, options)
         return out
     if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
-        names = F.transform(F.map_keys(value), lambda k: native_chain(k, options, names=True))
+        names = F.transform(F.map_keys(value), lambda k: native_chain(k, options, names=True, share=False))
         clash = F.size(F.array_distinct(names)) < F.size(names)
         special = F.exists(F.map_keys(value), lambda k: needs_python(k, options, names=True))
         inner = F.exists(F.map_values(value), lambda v: _gate(v, kind.valueType, options))

@@ -11,8 +11,14 @@ APPROVED = "approved"
 
 
 def with_references(apps: DataFrame) -> DataFrame:
-    """The app registry with each app's reference, computed once per app and token."""
-    return apps.withColumn("partner_ref", partner_ref("tenant_token", "app_key"))
+    """The app registry with each app's reference, computed once per app and token. An
+    app without key or token has none.
+
+    The reference is declared non-null: otherwise a join on it makes Catalyst push
+    "reference is not null", and with it the whole HMAC, below the registry's distinct
+    and on to every row of the scan."""
+    known = apps.filter(F.col("tenant_token").isNotNull() & F.col("app_key").isNotNull())
+    return known.withColumn("partner_ref", F.coalesce(partner_ref("tenant_token", "app_key"), F.lit("")))
 
 
 def approved_references(apps: DataFrame) -> DataFrame:
@@ -35,8 +41,8 @@ def resolve_partner(lines: DataFrame, apps: DataFrame, previous_tokens: DataFram
         apps.filter(F.col("state") == APPROVED)
         .drop("tenant_token")
         .join(previous_tokens, "tenant_id")
-        .select("tenant_id", partner_ref("tenant_token", "app_key").alias("partner_ref"), "app_id", "valid_to_s")
     )
+    old = with_references(old).select("tenant_id", "partner_ref", "app_id", "valid_to_s")
     current = known.withColumn("valid_to_s", F.lit(None).cast("bigint"))
     # one row per reference: a current token outlives any earlier validity
     every = (

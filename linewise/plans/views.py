@@ -11,6 +11,7 @@ from ..functions.jsontext import entries_of
 from ..functions.timestamps import epoch_micros, ms_to_ns
 from ..operators.lines import compose_lines
 from ..operators.partner import with_references
+from ..session import spread
 
 DAY_US = 86_400_000_000
 NOW_SECONDS = 1_704_067_200 + 12 * 86_400
@@ -19,7 +20,7 @@ STEP = 10_000_000_000  # one step of the scope clock
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 def text_of(*parts) -> Column:
