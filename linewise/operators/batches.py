@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import wire
+from ..session import cut_lineage
 from .greedy import greedy_runs
 from .ordered import by_position, running_sum
 
@@ -51,11 +52,14 @@ def pack_batches(
     max_rows, max_bytes = limits
     # one short key stands for the group, nulls and nested columns included
     keyed = rows.withColumn("_g", F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})))
+    # all the packing sees is key, position and size, written once: the lines themselves
+    # are made and moved only for the final join
+    slim = cut_lineage(keyed.select("_g", order, size.alias("_size")))
     chunk = position_chunk if position_chunk is not None else by_position(order)
-    ranked = running_sum(keyed, ["_g"], [order], chunk, {"_rank": F.lit(1)}, before=True).withColumn("_size", size)
+    ranked = running_sum(slim, ["_g"], [order], chunk, {"_rank": F.lit(1)}, before=True)
     runs = greedy_runs(ranked, ["_g"], "_rank", "_size", max_rows, max_bytes, chunk_rows)
-    numbered = runs.select("_g", "_rank", F.col("run_no").alias("batch_no"))
-    return ranked.join(numbered, ["_g", "_rank"]).drop("_g", "_rank", "_size")
+    numbered = ranked.select("_g", order, "_rank").join(runs.select("_g", "_rank", F.col("run_no").alias("batch_no")), ["_g", "_rank"])
+    return keyed.join(numbered.drop("_rank"), ["_g", order]).drop("_g")
 
 
 def export_records(batched: DataFrame, keys: Sequence[str], order: str, line: str = "line") -> DataFrame:

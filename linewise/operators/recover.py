@@ -13,19 +13,21 @@ from ..functions.jsontext import entries_of, entry, is_whole_line, object_text,
 from ..functions.timestamps import ns_to_seconds
 from .ordered import CHUNK, DEFAULT_CHUNK_ROWS, by_position, join_carry, local_window
 
-_CRI = r"(?s)^(\S+) (stdout|stderr) ([PF]) (.*)$"
-
-
 def read_cri(df: DataFrame, text: str = "text") -> DataFrame:
-    """``<time> <stream> <P|F> <log>`` rows taken apart; a row of another shape goes."""
-    part = lambda i: F.regexp_extract(F.col(text), _CRI, i)
-    return df.filter(F.col(text).rlike(_CRI)).select(
+    """``<time> <stdout|stderr> <P|F> <log>`` rows taken apart; a row of another shape
+    goes. One split at the first three spaces; the log keeps all of its own."""
+    parts = df.withColumn("_p", F.split(F.col(text), " ", 4))
+    part = lambda i: F.get("_p", F.lit(i))
+    well_formed = (
+        (F.size("_p") == 4) & part(0).rlike(r"^\S+\z") & part(1).isin("stdout", "stderr") & part(2).isin("P", "F")
+    )
+    return parts.filter(well_formed).select(
         *[c for c in df.columns if c != text],
-        part(1).alias("time"),
-        part(2).alias("stream"),
-        part(3).alias("tag"),
-        part(4).alias("log"),
-        (part(3) == "F").alias("is_last"),
+        part(0).alias("time"),
+        part(1).alias("stream"),
+        part(2).alias("tag"),
+        part(3).alias("log"),
+        (part(2) == "F").alias("is_last"),
     )
 
 
