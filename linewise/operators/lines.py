@@ -176,7 +176,7 @@ _FIELDS = {
 def parse_lines(df: DataFrame, line: str = "line", attributes: str | None = None) -> DataFrame:
     """Envelope and documented fields of each line as columns; what a query does not
     select is never extracted. ``attributes`` names a map column whose
-    ``partnerapi.data.<name>`` entries (the wire's prefix) count as fields."""
+    ``<prefix>.data.<name>`` entries (the wire's prefix) count as fields."""
     parsed = df.withColumn(_PARSED, wrapped_variant(line))
     rows = envelope_columns(parsed, line)
 

@@ -116,7 +116,7 @@ def test_headers_and_ids(spark):
 
 
 @pytest.mark.parametrize("tail,kept", [
-    ('"1.6.0","a":1}', True), ('"1.6.0","a":1', False), ('"1.6.0","a":{"partnerapi_line":"1.6.0"}', False),
+    ('"1.6.0","a":1}', True), ('"1.6.0","a":1', False), ('"1.6.0","a":' + LINE_START + '"1.6.0"}', False),
     ('"1.6.0","a":1}{"b":2}', False), ('"1.6.0"}\r', False), ('"1.6.0"},{"b":1}', False), ('"1.6.0"]', False),
     ('"1.6.0","d":' + "[" * 70 + "]" * 70 + "}", True),
 ])

@@ -10,6 +10,7 @@ from linewise.functions.jsontext import entries_of
 from linewise.operators import batches, exchange, metrics, recover, report, trail
 from linewise.operators.greedy import greedy_runs
 from linewise.operators.lines import compose_lines, parse_lines, request_lines, response_lines, validate_calls
+from linewise.wire import ENVELOPE_PREFIX
 from linewise.operators.partner import leak_scan, matched_lines, resolve_partner, secret_forms, unmatched_lines
 
 
@@ -141,10 +142,10 @@ def test_exchanges_from_lines(spark):
 
 
 def test_reserved_and_overridden_fields(spark):
-    df = spark.createDataFrame([("r", "1", "info", "m", "p", '{"level":"mine","partnerapi_level":"no","2026":"season"}')],
+    df = spark.createDataFrame([("r", "1", "info", "m", "p", f'{{"level":"mine","{ENVELOPE_PREFIX}level":"no","2026":"season"}}')],
                                "partner_ref string, ts_ns string, level string, message string, partner_id string, j string")
     line = compose_lines(df.withColumn("data", entries_of("j"))).first().line
-    assert line.endswith('"partnerapi_level":"info","level":"mine","message":"m","partnerId":"p","2026":"season"}')
+    assert line.endswith(ENVELOPE_PREFIX + 'level":"info","level":"mine","message":"m","partnerId":"p","2026":"season"}')
 
 
 def test_partner_resolution(spark):
@@ -183,16 +184,16 @@ def test_leak_scan_equals_contains(spark):
 
 def test_classify_reasons_in_order(spark):
     def line(**over):
-        env = {"partnerapi_line": "1.6.0", "partnerapi_partner_ref": "r", "partnerapi_timestamp": str(1000 * 10**9), "partnerapi_level": "info", **over}
-        return json.dumps({k: v for k, v in env.items() if v is not ...}, separators=(",", ":"))
+        env = {"line": "1.6.0", "partner_ref": "r", "timestamp": str(1000 * 10**9), "level": "info", **over}
+        return json.dumps({ENVELOPE_PREFIX + k: v for k, v in env.items() if v is not ...}, separators=(",", ":"))
     cases = {
         line(): None, "hello": "no_marker", "x" + line(): "unparseable_line", line()[:-1]: "unparseable_line",
-        line(partnerapi_line="2.0"): "unsupported_marker", line(partnerapi_line=1.6): "unsupported_marker",
-        line(partnerapi_partner_ref=""): "missing_partner_ref", line(partnerapi_partner_ref=...): "missing_partner_ref",
-        line(partnerapi_level=5): "bad_level", line(partnerapi_timestamp="soon"): "bad_timestamp",
-        line(partnerapi_timestamp=str(10 * 10**9)): "timestamp_out_of_range", line(partnerapi_timestamp=str(9000 * 10**9)): "timestamp_out_of_range",
-        line(partnerapi_direction="up"): "bad_direction", line(partnerapi_direction="outbound"): None,
-        line(partnerapi_upstream_integration=""): "bad_upstream_attribution", line(partnerapi_upstream_base_url="é" * 513): "bad_upstream_attribution",
+        line(line="2.0"): "unsupported_marker", line(line=1.6): "unsupported_marker",
+        line(partner_ref=""): "missing_partner_ref", line(partner_ref=...): "missing_partner_ref",
+        line(level=5): "bad_level", line(timestamp="soon"): "bad_timestamp",
+        line(timestamp=str(10 * 10**9)): "timestamp_out_of_range", line(timestamp=str(9000 * 10**9)): "timestamp_out_of_range",
+        line(direction="up"): "bad_direction", line(direction="outbound"): None,
+        line(upstream_integration=""): "bad_upstream_attribution", line(upstream_base_url="é" * 513): "bad_upstream_attribution",
     }
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, line string")
     got = recover.classify_lines(df, F.lit(1000), max_age=600)
