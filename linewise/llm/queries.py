@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import packing, suffixes, unigram
+from linewise.llm import nearcopies, packing, suffixes, unigram
 from linewise.llm.wordids import default_tokenizer
 from linewise.session import ship_package
 
@@ -19,6 +19,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), length=400, digest_only=True)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(_table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.count_tokens(_table(spark, sf_dir, "documents"), unigram.default_model())
 
@@ -27,5 +31,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), default_tokenizer(), size=2048, end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op5_token_counts, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op8_best_fit_packing)}
 ORACLE: dict[str, str] = {}
