@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import nearcopies, packing, suffixes, unigram
+from linewise.llm import decontaminate, nearcopies, packing, suffixes, unigram
 from linewise.llm.wordids import default_tokenizer
 from linewise.session import ship_package
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), rate=0.08)
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), length=400, digest_only=True)
 
@@ -31,5 +35,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), default_tokenizer(), size=2048, end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op8_best_fit_packing)}
 ORACLE: dict[str, str] = {}
