@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import decontaminate, nearcopies, packing, quality, suffixes, unigram
+from linewise.llm import decontaminate, nearcopies, packing, quality, secrets, suffixes, unigram
 from linewise.llm.wordids import default_tokenizer
 from linewise.session import ship_package
 
@@ -40,5 +40,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op8_best_fit_packing, op9_quality_rules)}
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents")).drop("base")
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op8_best_fit_packing, op9_quality_rules, op10_secret_scans)}
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,87 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+from linewise.llm.secrets import mask, scan
+
+_A = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_ISSUED = r"gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
+
+
+def base(text):
+    out = []
+    for k, (kind, pattern, group, least) in enumerate((("assign", _A, 1, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16))):
+        out += [(m.start(), k, m.end(), kind, m[group]) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return sorted(out)
+
+
+def live(value):
+    return (
+        len(value) >= 12 and re.search("[0-9]", value) and re.search("[A-Za-z]", value) and len(set(value)) >= 7
+        and not re.search(r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|1234567|abcdef", value)
+    )
+
+
+def brute(rows):
+    owners = defaultdict(set)
+    spans = []
+    for _, text, _, source in rows:
+        own = base(text or "") + [(m.start(), 3, m.end(), "issued", m[0]) for m in re.finditer(_ISSUED, text or "")]
+        spans.append(sorted(own))
+        for s in own:
+            owners[s[4]].add(source or "")
+    out = []
+    for (key, *_), own in zip(rows, spans):
+        text = ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in own if k != "issued")
+        is_live = [len(owners[v]) == 1 and bool(live(v)) for *_, v in own]
+        every = ",".join(f"{s[3]}:{s[0]}:{s[2]}" for s, ok in zip(own, is_live) if s[3] != "issued" or ok)
+        n = lambda kind: sum(s[3] == kind for s in own)
+        out.append((key, n("assign"), n("access"), n("hex"), text, hashlib.sha256(text.encode()).hexdigest(), every, sum(is_live), sum(len(owners[s[4]]) >= 3 for s in own)))
+    return out
+
+
+def make(seed, n=300):
+    rng = random.Random(seed)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=rng.choice((8, 15, 16, 18, 40)))) for _ in range(12)]
+    tokens = ["ghp_" + "".join(rng.choices("abcXYZ0189", k=36)) for _ in range(5)] + ["sk-" + "x" * 24, "eyJhbGciOi.eyJzdWIiOjE.abcDEF0123_-"]
+    names = ["password", "PassWd", "secret", "toKEN", "apikey", "API_KEY", "pass", "ſecret", "toKen"]
+    bits = [
+        lambda: rng.choice(names) + rng.choice(['"', "'", "", " "]) + rng.choice(["=", " : ", ":", ""]) + rng.choice(['"', "", " "]) + rng.choice(hexes + ["short", "a/b+c=d.e_f-g", "token=x"]),
+        lambda: "AKIA" + "".join(rng.choices("ABC019", k=rng.randint(0, 20))), lambda: rng.choice(hexes), lambda: rng.choice(tokens),
+        lambda: rng.choice(["é😀", "the word", "\n", "AKIA", ""]),
+    ]
+    texts = [rng.choice(["", " ", "\n"]).join(rng.choice(bits)() for _ in range(rng.randint(0, 9))) for _ in range(n)]
+    return [(i, t, rng.choice(["en", "de", None]), rng.choice(["s1", "s2", "s3", "s4", None])) for i, t in enumerate([*texts, None, "", "a" * 40, "token: password: " + "ab12" * 9])]
+
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def test_against_brute_force(spark):
+    rows = make(5)
+    got = scan(spark.createDataFrame(rows, SCHEMA))
+    assert got.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base", "base_sha256", "spans", "n_live", "n_copied"]
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
+def test_mask_takes_out_what_is_not_copied(spark):
+    key, common = "0f1e2d3c4b5a69788796a5b4", "99887766554433221100"
+    rows = [(1, f"a password={key} b", "en", "s1"), (2, f"x {common} y", "en", "s1"), (3, f"{common}", "en", "s2"), (4, f"z{common}", "en", "s3"), (5, None, "en", "s1"), (6, "clean", None, None), (1, f"a password={key} b", "en", "s1"), (7, f"{key}{key}", "en", None), (8, f"é{key} {key}", "en", "s1")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = mask(docs)
+    assert got.columns == docs.columns
+    found = sorted((r.doc_id, r.text) for r in got.collect())
+    assert found == [(1, "a [SECRET] b"), (1, "a [SECRET] b"), (2, rows[1][1]), (3, common), (4, f"z{common}"), (5, None), (6, "clean"), (7, "[SECRET]"), (8, "é[SECRET] [SECRET]")]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert scan(docs).count() == 0 and mask(docs).count() == 0
+
+
+def test_no_python_on_the_main_path(spark):
+    docs = spark.createDataFrame(make(6, 20), SCHEMA)
+    for out in (scan(docs), mask(docs)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
