@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import decontaminate, nearcopies, packing, quality, secrets, suffixes, unigram
+from linewise.llm import decontaminate, idfiles, nearcopies, packing, quality, secrets, suffixes, unigram
+from linewise.llm.stored import shared_path
 from linewise.llm.wordids import default_tokenizer
 from linewise.session import ship_package
 
@@ -31,6 +32,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.count_tokens(_table(spark, sf_dir, "documents"), unigram.default_model())
 
 
+def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "ids")
+    idfiles.write_ids(_table(spark, sf_dir, "documents"), path, default_tokenizer(), end_id=1)
+    return idfiles.digests(spark, path)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), default_tokenizer(), size=2048, end_id=0)
 
@@ -44,5 +51,5 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents")).drop("base")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op8_best_fit_packing, op9_quality_rules, op10_secret_scans)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op5_token_counts, op7_token_id_files, op8_best_fit_packing, op9_quality_rules, op10_secret_scans)}
 ORACLE: dict[str, str] = {}

@@ -4,7 +4,7 @@ The vocabulary's pieces are found in a text by an Aho-Corasick automaton, which
 each end, the longest piece (the earliest start) first. Ties follow the tokenizers library's
 unigram model: of paths with equal scores into a place the one whose last piece starts
 first stays. A character that no piece of one character covers costs the least score less
-ten and counts as its UTF-8 bytes (byte fallback). White space is the library's Metaspace:
+ten; unknown ones in a row count as their UTF-8 bytes (byte fallback), or as one without it. White space is the library's Metaspace:
 a blank starts a new word, and a word mark is put before a text that has none.
 """
 
@@ -39,41 +39,54 @@ class UnigramCounter:
     """``count(text)``: number of pieces and best score. Segments are counted once and kept,
     up to a fixed number; of two sets the older goes when the newer is full."""
 
-    def __init__(self, pieces: list[tuple[str, float]]):
+    def __init__(self, pieces: list[tuple[str, float]], unknown_id: int = 0):
         import ahocorasick
 
+        self.literal = pieces[unknown_id][0]
         self.automaton = ahocorasick.Automaton()
-        for piece, score in pieces:
+        for k, (piece, score) in enumerate(pieces):
             if piece:
-                self.automaton.add_word(piece, (len(piece), score))
+                self.automaton.add_word(piece, (len(piece), score, k == unknown_id))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
         names = {piece for piece, _ in pieces}
         self.fallback = all(f"<0x{b:02X}>" in names for b in range(256))
         # Where no piece holds a line end, line ends cut a text into segments, as word marks do.
-        self.lines_cut = not any("\n" in piece for piece in names)
+        self.lines_cut = self.fallback and not any("\n" in piece for piece in names)
         self.kept: dict[str, complex] = {}
         self.older: dict[str, complex] = {}
 
+    def _worth(self, unknown: int, alone: bool) -> int:
+        """Pieces of a run of unknown characters of so many bytes; ``alone``: it is the unknown
+        piece as written."""
+        return unknown if unknown and self.fallback and not alone else int(unknown > 0)
+
     def _best(self, segment: str) -> complex:
+        """Of each place: best score, pieces before the run of unknown characters that ends
+        there, and that run's bytes."""
         n = len(segment)
-        score, count = [0.0] + [None] * n, [0] * (n + 1)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+        score, count, open_, alone = [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+        ends: list[list[tuple[int, float, bool]]] = [[] for _ in range(n)]
         for end, match in self.automaton.iter(segment):
             ends[end].append(match)
         for end in range(n):
             best = None
             single = False
-            for length, own in ends[end]:
+            for length, own, unknown in ends[end]:
                 start = end + 1 - length
                 single = single or length == 1
                 if best is None or score[start] + own > best:
-                    best, count[end + 1] = score[start] + own, count[start] + 1
+                    best, source, is_unknown = score[start] + own, start, unknown
             if not single and (best is None or score[end] + self.unknown > best):
-                best = score[end] + self.unknown
-                count[end + 1] = count[end] + (len(segment[end].encode()) if self.fallback else 1)
-            score[end + 1] = best
-        return complex(count[n], score[n] or 0.0)
+                best, source, is_unknown = score[end] + self.unknown, end, True
+            to = end + 1
+            score[to] = best
+            if is_unknown:
+                count[to], open_[to] = count[source], open_[source] + len(segment[source:to].encode())
+                alone[to] = not open_[source] and segment[source:to] == self.literal
+            else:
+                count[to] = count[source] + self._worth(open_[source], alone[source]) + 1
+        return complex(count[n] + self._worth(open_[n], alone[n]), score[n])
 
     def _of(self, segment: str) -> complex:
         found = self.older.get(segment)
@@ -90,7 +103,7 @@ class UnigramCounter:
         text = text.replace(" ", MARK)
         text = text if text.startswith(MARK) else MARK + text
         text = text.replace(MARK, " " + MARK)
-        if self.lines_cut:
+        if self.lines_cut and self.literal not in text:
             text = text.replace("\n", " \n ")
         kept, total = self.kept.get, 0j
         for segment in text.split(" "):
