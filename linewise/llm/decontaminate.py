@@ -13,6 +13,7 @@ never moved. Texts are compared with case folded and runs of white space as one
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -198,16 +199,47 @@ def _search(name: str, held, rate: float):
     return run
 
 
-def _in_blocks(items: DataFrame, limit: int):
+def _clean(name: str, held, rate: float, place: int):
+    """Whole rows without those whose text holds an item."""
+
+    def run(batches):
+        matcher = _matcher(name, held.value, rate)
+        for batch in batches:
+            narrow = pa.RecordBatch.from_arrays([batch.column(place).cast(pa.string())], ["text"])
+            keep = np.ones(batch.num_rows, dtype=bool)
+            done = 0
+            for block in blocks([narrow]):
+                asked, where = [], []
+                for row, text in enumerate(block.texts()):
+                    plain = normal(text.decode())
+                    for k, a, b in matcher.candidates(plain):
+                        asked.append((k, plain[a:b]))
+                        where.append(done + row)
+                for row, found in zip(where, matcher.verify(asked)):
+                    if found:
+                        keep[row] = False
+                done += len(block)
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def _in_blocks(items: DataFrame, limit: int, item_id: str, item_text: str):
+    """The items that hold anything, as ``(name, broadcast)`` of blocks of ``limit`` characters
+    at most (or one item); the driver holds one block at a time."""
+    send = items.sparkSession.sparkContext.broadcast
+    rows = items.select(F.col(item_id).cast("long").alias("k"), F.col(item_text).cast("string").alias("t")).filter("t is not null").orderBy("k", "t")
     held, size = [], 0
-    for key, text in items.toLocalIterator():
+    for key, text in rows.toLocalIterator():
+        if not normal(text):
+            continue
         if held and size + len(text) > limit:
-            yield held
+            yield uuid.uuid4().hex, send(held)
             held, size = [], 0
         held.append((key, text))
         size += len(text)
     if held:
-        yield held
+        yield uuid.uuid4().hex, send(held)
 
 
 def find_leaks(
@@ -220,13 +252,17 @@ def find_leaks(
     Null and blank items, and null or empty texts, are never found. Items with equal texts are
     each found; rows that share an id are each searched. Items are bounded by blocks of
     ``block_chars``; documents are read once a block. Only the named columns are read."""
-    spark = docs.sparkSession
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    wanted = items.select(F.col(item_id).cast("long").alias("k"), F.col(item_text).cast("string").alias("t")).filter(r"t rlike '\\S'")
     schema = "doc_id long, item_id long, edits long, n_chars long, start long, end long"
-    out, name = None, f"{spark.sparkContext.applicationId}-{id(wanted)}"
-    for number, held in enumerate(_in_blocks(wanted.orderBy("k", "t"), block_chars)):
-        held = [(k, t) for k, t in held if normal(t)]
-        part = text.mapInArrow(_search(f"{name}-{number}", spark.sparkContext.broadcast(held), rate), schema)
+    out = None
+    for name, held in _in_blocks(items, block_chars, item_id, item_text):
+        part = text.mapInArrow(_search(name, held, rate), schema)
         out = part if out is None else stored(out, "leaks").union(part)
-    return spark.createDataFrame([], schema) if out is None else out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, rate: float = 0.08, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which ``find_leaks`` finds no item, with all their columns."""
+    for name, held in _in_blocks(items, block_chars, item_id, item_text):
+        docs = docs.mapInArrow(_clean(name, held, rate, docs.columns.index(text_col)), docs.schema)
+    return docs

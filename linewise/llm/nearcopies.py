@@ -236,3 +236,12 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     out = sketch.select("id", "n_shingles").join(of.dropDuplicates(["id"]), "id", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row for each group of near-copies: the one with the least id. Rows
+    that share an id are one document and leave one row; rows without an id all stay."""
+    kept = near_copies(docs, id_col=id_col, text_col=text_col, **options).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_llm_id")).distinct()
+    named = docs.withColumn("_llm_id", F.col(id_col).cast("long"))
+    rest = named.filter(F.col("_llm_id").isNotNull()).join(stored(kept, "kept"), "_llm_id", "left_semi").dropDuplicates(["_llm_id"])
+    return rest.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
