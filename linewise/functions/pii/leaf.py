@@ -4,8 +4,11 @@ are not plain patterns: phone numbers and path-like encoded runs."""
 from __future__ import annotations
 
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import regex
 
@@ -57,6 +60,7 @@ _authority = _compiled(rf"://(?:[^{SPACE}/?#@]*+@)*+([A-Za-z0-9.-]*+(?::[0-9]*+)
 _word, _long_word = _compiled(PATH_WORD), _compiled(LONG_PATH_WORD)
 _clusters, _consonants, _name = _compiled(CLUSTERS), _compiled(CONSONANTS), _compiled(NAME_WORD)
 _letter = _compiled("[A-Za-z]")
+_context = regex.compile("|".join(CONTEXT_WORDS), regex.ASCII | regex.IGNORECASE)
 
 
 @lru_cache(maxsize=4096)
@@ -114,69 +118,94 @@ class _Folded:
         return origin_end + at - end, origin_end + at - end + 1
 
 
-def _number_end(text: str, end: int, digits: int) -> tuple[int, int]:
-    """How far the groups after ``end`` belong to a number, and its digits then."""
-    while m := _group.match(text, end):
-        if m.group(1):
-            end, digits = m.end(), max(digits, MARKER_DIGITS)
-            continue
-        size, full = len(m.group(2)), digits >= FULL_DIGITS
-        status = size == 3 and m.group(2)[0] in "12345"
-        measured = _unit.match(text, m.end()) is not None
-        too_long = digits + size > MAX_DIGITS or (full and size > 2)
-        if too_long or (digits >= STATUS_DIGITS and (status or measured)):
-            break
-        end, digits = m.end(), digits + size
-        if full:
-            break
-    return end, digits
+class _Units:
+    """Places of a text in UTF-16 units, and the context words between them."""
+
+    def __init__(self, text: str):
+        self.at = None if text.isascii() or max(text) <= "\uFFFF" else [0, *accumulate(1 + (c > "\uFFFF") for c in text)]
+        found = _context.finditer(text, overlapped=True)
+        self.words = sorted((self.of(m.start()), self.of(m.end())) for m in found)
+
+    def of(self, place: int) -> int:
+        return place if self.at is None else self.at[place]
+
+    def word_near(self, start: int, end: int) -> bool:
+        """Whether a context word lies whole within CONTEXT_UNITS of both ends."""
+        low, high = self.of(start) - CONTEXT_UNITS, self.of(end) + CONTEXT_UNITS
+        k = bisect_left(self.words, (low, 0))
+        return k < len(self.words) and self.words[k][1] <= high
+
+
+@dataclass(frozen=True)
+class _Group:
+    """Digits (or, with none, a marker) that may go on with a number, up to ``end``."""
 
+    end: int
+    digits: int
+    status: bool
+    measured: bool
 
-def _near(text: str, start: int, end: int) -> str:
-    """The text within CONTEXT_UNITS UTF-16 units of a match, lower case."""
-    low, left = start, CONTEXT_UNITS
-    while low > 0 and left - (2 if text[low - 1] > "\uFFFF" else 1) >= 0:
-        low -= 1
-        left -= 2 if text[low] > "\uFFFF" else 1
-    high, left = end, CONTEXT_UNITS
-    while high < len(text) and left - (2 if text[high] > "\uFFFF" else 1) >= 0:
-        left -= 2 if text[high] > "\uFFFF" else 1
-        high += 1
-    return regex.sub("[A-Z]", lambda m: m.group().lower(), text[low:high])
+    def fits(self, before: int) -> bool:
+        if before >= STATUS_DIGITS and (self.status or self.measured):
+            return False
+        return before + self.digits <= MAX_DIGITS and (before < FULL_DIGITS or self.digits <= 2)
 
 
-def _splice(text: str, pattern: regex.Pattern, judge) -> str:
-    """Replaces what ``judge(match, folded text)`` gives an end for."""
+def _groups(text: str, at: int):
+    while m := _group.match(text, at):
+        at, run = m.end(), m.group(2) or ""
+        yield _Group(at, len(run), len(run) == 3 and run[0] in "12345", bool(run) and _unit.match(text, at) is not None)
+
+
+def _reach(text: str, end: int, digits: int) -> tuple[int, int]:
+    """Where a number of ``digits`` up to ``end`` stops, and how many it has then."""
+    for group in _groups(text, end):
+        if not group.digits:
+            end, digits = group.end, max(digits, MARKER_DIGITS)
+        elif not group.fits(digits):
+            break
+        else:
+            last, end, digits = digits >= FULL_DIGITS, group.end, digits + group.digits
+            if last:
+                break
+    return end, digits
+
+
+def _replace_spans(text: str, pattern: regex.Pattern, end_of) -> str:
+    """Puts the phone marker on each span ``(match start, end_of(match, units))`` of the folded
+    text that is not None, at the places it came from."""
     view = _Folded(text)
-    out, cursor, at = [], 0, 0
+    units, spans, free, at = None, [], 0, 0
     while m := pattern.search(view.text, at):
         at = m.end()
-        start = view.original(m.start())[0]
-        if start < cursor:
-            continue
-        end = judge(m, view.text)
-        if end is None:
+        first = view.original(m.start())[0]
+        if first < free:
             continue
-        at = end
-        out += [text[cursor:start], PHONE_MARKER]
-        cursor = view.original(end - 1)[1]
-    return "".join(out) + text[cursor:] if out else text
+        units = units or _Units(view.text)
+        end = end_of(m, units)
+        if end is not None:
+            at, free = end, view.original(end - 1)[1]
+            spans.append((first, free))
+    edges = [0, *(edge for span in spans for edge in span), len(text)]
+    return PHONE_MARKER.join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
+def _after_marker(m: regex.Match, units: _Units) -> int:
+    return _reach(m.string, m.end(), MARKER_DIGITS)[0]
 
 
-def _judge_phone(m: regex.Match, text: str) -> int | None:
-    number = m.group()
-    if _international.fullmatch(number):
-        end, digits = _number_end(text, m.end(), len(number) - 1)
+def _phone_end(m: regex.Match, units: _Units) -> int | None:
+    if _international.fullmatch(m.group()):
+        end, digits = _reach(m.string, m.end(), m.end() - m.start() - 1)
         return end if digits >= MIN_DIGITS else None
-    if _formatting.search(number) or any(w in _near(text, m.start(), m.end()) for w in CONTEXT_WORDS):
-        return m.end()
-    return None
+    written = _formatting.search(m.group()) is not None
+    return m.end() if written or units.word_near(m.start(), m.end()) else None
 
 
 def redact_phones(text: str) -> str:
     if PHONE_MARKER in text:
-        text = _splice(text, _marker, lambda m, folded: _number_end(folded, m.end(), MARKER_DIGITS)[0])
-    return _splice(text, _phone, _judge_phone)
+        text = _replace_spans(text, _marker, _after_marker)
+    return _replace_spans(text, _phone, _phone_end)
 
 
 @lru_cache(maxsize=8192)
@@ -190,35 +219,38 @@ def _path_word(piece: str) -> bool:
     return len(piece) < 8 or _long_word.fullmatch(piece) is not None
 
 
-def _judge_run(run: str, following: str) -> str:
-    """An encoded run whole, or, when it reads as a URL path, without its other pieces."""
-    if following == "=" or "+" in run or "=" in run:
-        return ENCODED_MARKER
+def _encoded(run: str, following: str) -> str:
+    """What stays of an encoded run: nothing, or, where its pieces read as a URL path, those
+    that are words of one."""
     pieces = run.split("/")
-    kept = [p == "" or _path_word(p) for p in pieces]
-    words = sum(k and len(p) >= 2 and _letter.search(p) is not None for p, k in zip(pieces, kept))
-    names = sum(_name.fullmatch(p) is not None for p in pieces)
-    if words < 4 or words <= len(pieces) - sum(kept) or names < 2:
-        return ENCODED_MARKER
-    return "/".join(p if k else ENCODED_MARKER for p, k in zip(pieces, kept))
+    facts = Counter()
+    shown = []
+    for piece in pieces:
+        kept = not piece or _path_word(piece)
+        facts["kept"] += kept
+        facts["words"] += kept and len(piece) > 1 and _letter.search(piece) is not None
+        facts["names"] += _name.fullmatch(piece) is not None
+        shown.append(piece if kept else ENCODED_MARKER)
+    padded = following == "=" or not {"+", "="}.isdisjoint(run)
+    is_path = facts["words"] >= 4 and facts["names"] >= 2 and facts["words"] > len(pieces) - facts["kept"]
+    return "/".join(shown) if is_path and not padded else ENCODED_MARKER
 
 
 def redact_encoded(text: str) -> str:
-    if not _run.search(text):
+    runs = [m.span() for m in _run.finditer(text)]
+    if not runs:
         return text
-    hosts = (m.span(1) for m in _authority.finditer(text, overlapped=False) if m.end(1) > m.start(1))
-    host = next(hosts, None)
-    out, cursor = [], 0
-    for m in _run.finditer(text):
-        run, start = m.group(), m.start()
-        while host is not None and host[1] <= start:
-            host = next(hosts, None)
-        cut = 0
-        if host is not None and host[0] <= start and run[host[1] - start : host[1] - start + 1] == "/":
-            cut = host[1] - start + 1  # the run leaves the host: what is before stays
-        out += [text[cursor:start], run[:cut], _judge_run(run[cut:], text[m.end() : m.end() + 1])]
-        cursor = m.end()
-    return "".join(out) + text[cursor:]
+    hosts = [m.span(1) for m in _authority.finditer(text) if m.end(1) > m.start(1)]
+    edges = []
+    for start, end in runs:
+        # A run that starts in a host and leaves it by a slash counts from behind that slash.
+        k = bisect_right(hosts, (start, len(text))) - 1
+        leaves = k >= 0 and start < hosts[k][1] < end and text[hosts[k][1]] == "/"
+        edges.append((hosts[k][1] + 1 if leaves else start, end))
+    between = [0, *(end for _, end in edges)], [*(start for start, _ in edges), len(text)]
+    clear = [text[a:b] for a, b in zip(*between)]
+    shown = [_encoded(text[a:b], text[b : b + 1]) for a, b in edges]
+    return "".join(part for pair in zip(clear, [*shown, ""]) for part in pair)
 
 
 @lru_cache(maxsize=65536)

@@ -2,6 +2,8 @@
 
 import json
 import time
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +149,36 @@ def test_nested_columns(spark):
     assert dropped.columns == ["id", "s", "a", "m", "list"] and "password" not in dropped.schema["s"].dataType.fieldNames()
 
 
+def test_sensitive_names_hide_values_of_any_type(spark):
+    """Half of the rows hold a phone number; nothing else may differ between the halves."""
+    schema = """id int, m map<string,int>, b map<string,boolean>, a map<string,array<string>>, s map<string,struct<x:string,y:double>>, mm map<string,map<string,int>>,
+                l array<map<string,array<string>>>, k map<int,string>, t struct<note:string,at:timestamp,d:decimal(20,6),n:map<string,int>,i:map<int,double>>"""
+    at = datetime(2024, 1, 2, 3, 4, 5, 123456)
+
+    def row(key, note):
+        return (key, {"pin": 1234, "n": 7}, {"token": True, "ok": False}, {"password": ["hunter2"], "x": ["a@b.com", None]}, {"accessToken": ("opaque", 1.5), "o": ("a@b.com", 2.5)},
+                {"secret": {"q": 1}, "z": {"pin": 2, "q": 3}}, [{"apiKey": ["k"], "w": ["v"]}, None], {5: "a@b.com", 6: None}, (note, at, Decimal("1.500000"), {"pin": 9, "n": 1}, {1: 2.0}))
+
+    df = spark.createDataFrame([row(1, "fine"), row(2, "call +44 20 7946 0000"), (3, *[None] * 8)], schema)
+    first, second, none = redact(df).orderBy("id").collect()
+    assert first.asDict(True) | {"id": 0, "t": 0} == second.asDict(True) | {"id": 0, "t": 0}
+    assert first.m == {"pin": "[SENSITIVE_DATA_REDACTED]", "n": "7"} and first.b == {"token": "[TOKEN_REDACTED]", "ok": "false"}
+    assert first.a == {"password": "[PASSWORD_REDACTED]", "x": '["[EMAIL_REDACTED]",null]'}
+    assert first.s == {"accessToken": "[TOKEN_REDACTED]", "o": '{"x":"[EMAIL_REDACTED]","y":2.5}'}
+    assert first.mm == {"secret": "[SECRET_REDACTED]", "z": '{"pin":"[SENSITIVE_DATA_REDACTED]","q":"3"}'}
+    assert first.l == [{"apiKey": "[KEY_REDACTED]", "w": '["v"]'}, None] and first.k == {5: "[EMAIL_REDACTED]", 6: None}
+    for got, note in ((first, "fine"), (second, "call [PHONE_REDACTED]")):
+        assert got.t.asDict(True) == {"note": note, "at": at, "d": Decimal("1.500000"), "n": {"pin": "[SENSITIVE_DATA_REDACTED]", "n": "1"}, "i": {1: 2.0}}
+    assert all(v is None for k, v in none.asDict().items() if k != "id")
+    kept = redact(df, options=Options(preserve_structure=False))
+    assert kept.schema["m"].dataType == df.schema["m"].dataType and kept.orderBy("id").first().m == {"n": 7}
+
+
+def test_json_numbers_and_repeated_names(spark):
+    df = spark.createDataFrame([('{"a":1.50,"b":1e400,"a":2,"l":[-0.0,1E+2]}',), ('{"a":NaN}',), ("[Infinity]",), (' {"x" : true} ',)], "j string")
+    assert [r[0] for r in df.select(redact_json("j")).collect()] == ['{"a":1.50,"b":1e400,"a#2":2,"l":[-0.0,1E+2]}', '"[REDACTION_FAILED]"', '"[REDACTION_FAILED]"', '{"x":true}']
+
+
 # shapes that have made rules like these slow elsewhere
 SHAPES = ["a.", "1.2.", "password=", "0000-", "eyJ-", "eyJa.", "eyJa.b-", "_", "-", "_-", "a", "a/", "1 ", "+1 ", "7", "[PHONE_REDACTED] 1 ",
           "\uff10 ", "0\u00a0", "0&nbsp;", "@ ", "Bearer ", "access_token=", "key_", "x_ghp_", "AKIA", "4111 ", "1.1.1.", "3f2b8c1e-", "https://a",
@@ -165,7 +197,7 @@ def _texts(size):
 
 
 def test_growth_is_linear_in_python():
-    for small, large in list(zip(_texts(60_000), _texts(480_000)))[::2]:
+    for small, large in zip(_texts(60_000), _texts(480_000)):
         base = _timed(lambda: redact_string(small, DEFAULT))
         spent = _timed(lambda: redact_string(large, DEFAULT))
         assert spent <= max(24 * max(base, 0.008), 2.0), (small[:20], base, spent)
