@@ -92,11 +92,11 @@ def validate_calls(calls: DataFrame) -> DataFrame:
     """Adds ``drop_reason`` to calls that cannot be logged; null for the others.
 
     Reads ``app_key, ts_ns`` (null when the time was no time) and, on request and
-    response rows (``kind``), the fields such a row must have. The text '0' counts as
-    an empty key."""
+    response rows (``kind``), the fields such a row must have, which are described before
+    the key is looked at. The text '0' counts as an empty key."""
     unusable = F.coalesce("app_key", F.lit("")).isin("", "0")
     has = calls.columns
-    reason = F.when(unusable, "API key is required for logging")
+    reason = F.when(F.lit(False), F.lit(None).cast("string"))
     if "kind" in has:
         lacks = lambda names: F.coalesce(
             *[F.when(F.col(n).isNull() if n in has else F.lit(True), n) for n in names]
@@ -105,11 +105,12 @@ def validate_calls(calls: DataFrame) -> DataFrame:
         response = lacks(["status_code", "duration", "correlation_id"])
         reason = reason.when(
             (F.col("kind") == "request") & request.isNotNull(),
-            F.concat(F.lit("request could not be described: "), request),
+            F.concat(F.lit("Failed to send log: request could not be described: "), request),
         ).when(
             (F.col("kind") == "response") & response.isNotNull(),
-            F.concat(F.lit("response could not be described: "), response),
+            F.concat(F.lit("Failed to send log: response could not be described: "), response),
         )
+    reason = reason.when(unusable, "API key is required for logging")
     reason = reason.when(F.col("ts_ns").isNull(), "timestamp is not epoch milliseconds")
     if "data_json" in has:
         broken = F.col("data_json").isNotNull() & F.try_parse_json("data_json").isNull()

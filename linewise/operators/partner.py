@@ -95,21 +95,18 @@ def secret_forms(apps: DataFrame) -> DataFrame:
 def leak_scan(lines: DataFrame, secrets: DataFrame, line_id: str = "line_id", gram: int = 8) -> DataFrame:
     """(line_id, tenant_id, form) for every line holding a secret of its tenant.
 
-    "Contains" alone is a nested loop of all lines and all secrets. Each secret gives
-    its first ``gram`` characters (all of a shorter one), each line its distinct
-    substrings of those lengths, and an equi-join finds the few pairs worth checking;
-    every pair is then checked in full, so nothing is missed or invented."""
-    size = F.least(F.char_length("secret"), F.lit(gram))
-    probes = secrets.withColumn("_n", size).withColumn("_g", F.expr("substring(secret, 1, _n)"))
-    lengths = [r["_n"] for r in probes.select("_n").distinct().limit(gram).collect()]  # at most `gram` small integers
-
-    def grams_of(n: int):
-        found = F.array_distinct(F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
-        return F.transform(found, lambda g: F.struct(F.lit(n).alias("_n"), g.alias("_g")))
-
-    per_length = [grams_of(n) for n in lengths]
-    if not per_length:
-        return lines.select(line_id, "tenant_id", F.lit(None).cast("string").alias("form")).filter(F.lit(False))
-    grams = lines.select("tenant_id", line_id, "line", F.explode(F.concat(*per_length)).alias("_e"))
-    pairs = grams.select("tenant_id", line_id, "line", "_e._n", "_e._g").join(probes, ["tenant_id", "_n", "_g"])
-    return pairs.filter(F.contains("line", "secret")).select(line_id, "tenant_id", "form").distinct()
+    "Contains" alone is a nested loop of all lines and all secrets. A secret of at least
+    ``gram`` characters gives its last ones (secrets of a kind often start alike), a line its
+    distinct substrings of that length, which travel with the line's id and not with its text;
+    an equi-join finds the pairs worth checking. Shorter secrets meet their tenant's lines.
+    Every pair is then checked in full, so nothing is missed or invented. Lines need ids of
+    their own."""
+    texts = lines.select(F.col(line_id).alias("_line"), F.col("tenant_id").alias("_tenant"), F.col("line").alias("_text"))
+    known = secrets.select(F.col("tenant_id").alias("_tenant"), "form", "secret")
+    long = F.char_length("secret") >= gram
+    found = F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{gram}}}))"), 1)
+    grams = texts.select("_tenant", "_line", F.explode(F.array_distinct(found)).alias("_gram"))
+    ends = known.filter(long).withColumn("_gram", F.right("secret", F.lit(gram)))
+    near = grams.join(ends, ["_tenant", "_gram"]).select("_tenant", "_line", "form", "secret")
+    hits = near.join(texts, ["_tenant", "_line"]).unionByName(texts.join(known.filter(~long), "_tenant"))
+    return hits.filter(F.contains("_text", "secret")).select(F.col("_line").alias(line_id), F.col("_tenant").alias("tenant_id"), "form").distinct()

@@ -123,10 +123,10 @@ ORACLE["strip_long_bodies"] = f"""SELECT doc_id, CASE WHEN strlen({_DOC_LINE}) <
   ELSE '{{"doc_id":' || doc_id || ',"lang":' || {q('lang')} || ',"_bodyDropped":true}}' END AS line FROM documents"""
 ORACLE["classify_lines"] = f"WITH {CLASSIFIED} SELECT event_id, reason FROM classified"
 _VALID = f"""{CALLS}, checked AS (SELECT event_id, tenant_id, us, CASE
+    WHEN message = 'click' AND event_id % 4 = 0 THEN 'Failed to send log: request could not be described: method'
+    WHEN message = 'purchase' AND event_id % 3 = 0 THEN 'Failed to send log: response could not be described: status_code'
+    WHEN message = 'purchase' AND value IS NULL THEN 'Failed to send log: response could not be described: duration'
     WHEN event_id % 7 IN (0, 1) THEN 'API key is required for logging'
-    WHEN message = 'click' AND event_id % 4 = 0 THEN 'request could not be described: method'
-    WHEN message = 'purchase' AND event_id % 3 = 0 THEN 'response could not be described: status_code'
-    WHEN message = 'purchase' AND value IS NULL THEN 'response could not be described: duration'
     WHEN event_id % 5 = 0 THEN 'timestamp is not epoch milliseconds'
     WHEN event_id % 11 = 0 THEN 'log entry could not be serialised' END AS drop_reason FROM calls)"""
 ORACLE["validate_calls"] = f"WITH {_VALID} SELECT event_id, drop_reason FROM checked"
@@ -191,6 +191,7 @@ ORACLE["leak_scan"] = f"""WITH {EVENT_LINES}, secrets AS (
     UNION SELECT tenant_id, 'sha256_upper', upper(sha256(app_key)) FROM apps
     UNION SELECT tenant_id, 'sha256_base64', base64(unhex(sha256(app_key))) FROM apps
     UNION SELECT tenant_id, 'sha256_base64url', rtrim(translate(base64(unhex(sha256(app_key))), '+/', '-_'), '=') FROM apps
+    UNION SELECT tenant_id, 'key', app_key FROM apps
     UNION SELECT tenant_id, 'token', tenant_token FROM apps),
   planted AS (SELECT event_id, tenant_id, line || CASE event_id % 12 WHEN 0 THEN app_key WHEN 3 THEN sha256(app_key) WHEN 6 THEN tenant_token
     WHEN 9 THEN base64(unhex(sha256(app_key))) ELSE '' END || '.' AS line FROM event_lines)
@@ -424,11 +425,10 @@ ORACLE["pii_report"] = f"""WITH done AS (SELECT lang, {_PII} AS t FROM documents
 ORACLE["stream_classify"] = ORACLE["classify_lines"]
 ORACLE["stream_unique_lines"] = f"WITH {EVENT_LINES} SELECT event_id, md5(line) AS line_md5 FROM event_lines"
 ORACLE["stream_rejoin_parts"] = f"WITH {_WHOLE_TEXT} SELECT file, line_start, parts, md5(line) AS line_md5 FROM lines"
-ORACLE["stream_pair_exchanges"] = f"""WITH {CUSTOMERS} SELECT partner_ref, o_orderkey::VARCHAR AS correlation_id, {_METHOD} AS method,
-  {_STATUS}::BIGINT AS status_code, {_DURATION}::DOUBLE AS duration_ms FROM orders JOIN customers ON app_key = 'cust-' || o_custkey WHERE o_orderstatus <> 'O'"""
-ORACLE["stream_collect_trails"] = f"""WITH {_TRAIL} SELECT l_orderkey::VARCHAR AS exchange_id, n_calls, total - n_calls AS upstream_dropped
-  FROM trails JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'O'"""
-ORACLE["stream_drop_reports"] = f"""WITH reports AS ({ORACLE["rate_limited_reports"]}) SELECT tenant_id AS logger, at_ms, reported, total FROM reports WHERE at_ms IS NOT NULL"""
+ORACLE["stream_pair_exchanges"] = f"""SELECT partner_ref, correlation_id, method, path, status_code, duration_ms FROM ({ORACLE["pair_exchanges"]})"""
+ORACLE["stream_collect_trails"] = f"""WITH {_TRAIL} SELECT l_orderkey::VARCHAR AS exchange_id, o_orderstatus <> 'O' AS answered, n_calls, total - n_calls AS upstream_dropped
+  FROM trails JOIN orders ON o_orderkey = l_orderkey"""
+ORACLE["stream_drop_reports"] = f"""SELECT tenant_id AS logger, at_ms, reported, total FROM ({ORACLE["rate_limited_reports"]})"""
 
 # --- phones: the documents hold numbers written "+1 (ddd) ddd-dddd" -----------------------------
 PHONE = (r"(?:\+1 )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b", "[PHONE_REDACTED]")

@@ -297,9 +297,7 @@ def leak_scan(spark, d):
         F.when(kind == 0, F.col("app_key")).when(kind == 3, digest).when(kind == 6, F.col("tenant_token")).when(kind == 9, F.base64(F.unhex(digest))).otherwise("")
     )
     texts = rows.select("event_id", "tenant_id", F.concat("line", planted, F.lit(".")).alias("line"))
-    # raw keys such as app-1 lie inside app-12, so the digests and tokens are what is looked for
-    secrets = partner.secret_forms(registry).filter(F.col("form") != "key")
-    return partner.leak_scan(texts, secrets, "event_id")
+    return partner.leak_scan(texts, partner.secret_forms(registry), "event_id")
 
 
 @query

@@ -62,34 +62,52 @@ def stream_rejoin_parts(spark, d):
     return finished(out)
 
 
+def _in_triggers(rows: DataFrame, *closing: DataFrame) -> DataFrame:
+    """``rows``, then each of ``closing``, as a stream of several triggers: written to the shared
+    folder one after the other and read a few files at a time, oldest first. ``rows`` are at most
+    four files, which arrive together."""
+    spark = rows.sparkSession
+    folder = f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    for part in (rows, *closing):
+        part.write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(folder)
+
+
 @query
 def stream_pair_exchanges(spark, d):
+    """A line from long after the others moves the watermark past every unanswered request."""
     registry = views.customer_apps(spark, d)
-    asked = lines.compose_lines(views.with_ref(lines.request_lines(views.order_requests(table_stream(spark, d, "orders"))), registry))
-    answered = lines.compose_lines(views.with_ref(lines.response_lines(views.order_responses(table_stream(spark, d, "orders"))), registry))
+    asked = lines.compose_lines(views.with_ref(lines.request_lines(views.order_requests(views.table(spark, d, "orders"))), registry))
+    answered = lines.compose_lines(views.with_ref(lines.response_lines(views.order_responses(views.table(spark, d, "orders"))), registry))
     parsed = lines.parse_lines(asked.select("line").unionByName(answered.select("line")))
     timed = parsed.withColumn("ts", F.timestamp_micros((F.col("ts_ns").cast("decimal(38,0)") / 1000).cast("bigint")))
-    pairs = stream_pair(timed).filter(F.col("status_code").isNotNull())
-    return finished(pairs.select("partner_ref", "correlation_id", "method", big(F.col("status_code")).alias("status_code"), "duration_ms"))
+    timed = timed.select("partner_ref", "correlation_id", "message", "ts", "method", "path", "status_code", "duration_ms").repartition(4)
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in timed.schema.fields if f.name != "ts"]
+    later = timed.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("interval 60 days")).alias("ts"), *blank).select(*timed.columns)
+    pairs = stream_pair(_in_triggers(timed, later), delay="20 days")
+    return finished(pairs.select("partner_ref", "correlation_id", "method", "path", big(F.col("status_code")).alias("status_code"), "duration_ms"))
 
 
 @query
 def stream_collect_trails(spark, d):
+    """An order without an answer ends unanswered, and its calls are counted all the same."""
     calls = trail.normalise_calls(views.item_calls(table_stream(spark, d, "lineitem"))).filter(F.col("call").isNotNull())
     seq = F.col("l_linenumber") * 10**15 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
     made = calls.select(
         F.col("l_orderkey").cast("string").alias("exchange_id"), seq.alias("seq"), F.lit("call").alias("kind"), call_json(F.col("call")).alias("call_json")
     ).withColumn("call_bytes", ascii_length("call_json"))
-    answered = table_stream(spark, d, "orders").filter(F.col("o_orderstatus") != "O").select(
-        F.col("o_orderkey").cast("string").alias("exchange_id"), F.lit(10**18).alias("seq"), F.lit("response").alias("kind"),
+    ends = table_stream(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("exchange_id"), F.lit(10**18).alias("seq"), F.when(F.col("o_orderstatus") == "O", "end").otherwise("response").alias("kind"),
         F.lit(None).cast("string").alias("call_json"), F.lit(None).cast("int").alias("call_bytes"),
     )
-    rows = stream_trails(made.unionByName(answered), **SMALL_TRAIL)
-    return finished(rows.select("exchange_id", big(F.col("n_calls")).alias("n_calls"), big(F.col("upstream_dropped")).alias("upstream_dropped")))
+    rows = stream_trails(made.unionByName(ends), **SMALL_TRAIL)
+    return finished(rows.select("exchange_id", "answered", big(F.col("n_calls")).alias("n_calls"), big(F.col("upstream_dropped")).alias("upstream_dropped")))
 
 
 @query
 def stream_drop_reports(spark, d):
-    calls = views.event_calls(table_stream(spark, d, "events")).filter(F.col("level") == "error")
+    calls = views.event_calls(views.table(spark, d, "events")).filter(F.col("level") == "error")
     drops = calls.select(F.col("tenant_id").alias("logger"), F.floor(F.col("us") / 1000).cast("bigint").alias("ms"), F.lit(1).cast("bigint").alias("n"))
-    return finished(stream_reports(drops, 3_600_000))
+    drops = drops.repartitionByRange(4, "ms").sortWithinPartitions("ms")
+    closing = drops.groupBy("logger").agg(F.max("ms").alias("ms")).withColumn("n", F.lit(None).cast("bigint"))
+    return finished(stream_reports(_in_triggers(drops, closing), 3_600_000))

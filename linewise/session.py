@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -57,22 +58,14 @@ def ship_package(spark: SparkSession | None = None) -> None:
     _shipped.add(session.sparkContext.applicationId)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than there are cores, dealt out to all of them; for work
-    that costs far more per row than moving the row. A table large enough to fill the
-    cluster has more splits than cores, and is returned as it is: no shuffle at scale."""
-    width = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= width:
-        return df
-    return df.repartition(width)
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can read: the one ``spark.checkpoint.dir`` names. Only
-    where the session names none (tests on one machine) a private one is set."""
+    """The folder every executor can read: the one ``spark.checkpoint.dir`` names. Where the
+    session names none, a private one is set on one machine, and a cluster is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not configured and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="linewise-checkpoints-"))
     return context.getCheckpointDir()
 

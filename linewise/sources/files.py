@@ -36,9 +36,10 @@ def stream_line_files(
     reader = spark.readStream.format("text").option("wholetext", "true").option("maxFileAge", max_file_age)
     reader = reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader.option("maxFilesPerTrigger", max_files)
     whole = reader.load(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = whole.filter(F.col("value") != "")
     text = F.regexp_replace("value", r"\n\z", "")
     rows = whole.select("file", F.posexplode(F.split(text, "\n")).alias("pos", "text"))
-    return rows.filter(F.col("text") != "").withColumn("pos", F.col("pos").cast("bigint"))
+    return rows.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def read_apps(spark: SparkSession, path: str) -> DataFrame:

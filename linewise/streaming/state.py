@@ -57,8 +57,8 @@ def stream_trails(
     events: DataFrame, max_calls: int = wire.TRAIL_MAX_CALLS, max_bytes: int = wire.TRAIL_MAX_BYTES, expire_ms: int | None = None
 ) -> DataFrame:
     """The trail of each exchange, sent out when its response comes. Reads
-    ``exchange_id, seq, kind`` (call | response), ``call_json`` and ``call_bytes`` (its
-    escaped size). With ``expire_ms`` an exchange that stays silent that long goes out
+    ``exchange_id, seq, kind`` (call | response | end), ``call_json`` and ``call_bytes`` (its
+    escaped size). An ``end`` sends out what waits with ``answered`` false. With ``expire_ms`` an exchange that stays silent that long goes out
     with ``answered`` false, so that its calls are counted as lost."""
     ship_package(events.sparkSession)
     columns = ["exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped"]
@@ -85,7 +85,7 @@ def stream_trails(
             if kind == "call":
                 calls, dropped = newest([*calls, (int(seq), text, int(size))], dropped)
             elif calls or dropped:
-                out.append(fitted(key, calls, dropped, True))
+                out.append(fitted(key, calls, dropped, kind == "response"))
                 calls, dropped = [], 0
         if calls or dropped:
             state.update(([c[0] for c in calls], [c[1] for c in calls], [c[2] for c in calls], dropped))
@@ -104,8 +104,8 @@ def stream_trails(
 
 def stream_reports(drops: DataFrame, interval_ms: int = wire.REPORT_INTERVAL_MS, flush_ms: int | None = None) -> DataFrame:
     """Rate-limited drop reports per logger: ``logger, at_ms, reported, total``. Reads
-    ``logger, ms, n``. With ``flush_ms`` what is held is reported once a logger has been
-    silent that long."""
+    ``logger, ms, n``. A null ``n`` closes the logger: what it holds then is reported with a
+    null time. With ``flush_ms`` that also happens once a logger has been silent that long."""
     ship_package(drops.sparkSession)
     columns = ["logger", "at_ms", "reported", "total"]
 
@@ -116,12 +116,17 @@ def stream_reports(drops: DataFrame, interval_ms: int = wire.REPORT_INTERVAL_MS,
             yield from _frame([[*key, None, held, total]] if held else [], columns)
             return
         out = []
-        ticks = _sorted_rows(frames, "ms").groupby("ms", sort=True)["n"].sum()
+        rows = _sorted_rows(frames, "ms")
+        closes = bool(rows["n"].isna().any())
+        ticks = rows.dropna(subset=["n"]).groupby("ms", sort=True)["n"].sum()
         for ms, n in ticks.items():
             held, total = held + int(n), total + int(n)
             if last is None or ms - last >= interval_ms:
                 out.append([*key, int(ms), held, total])
                 last, held = int(ms), 0
+        if closes and held:
+            out.append([*key, None, held, total])
+            held = 0
         state.update((last, held, total))
         if flush_ms:
             state.setTimeoutDuration(flush_ms)

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__sql__files__maxPartitionBytes="512k",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -214,7 +214,7 @@ def test_call_validation(spark):
                                "app_key string, ts_ns string, kind string, method string, path string, data_json string")
     got = [r.drop_reason for r in validate_calls(df).collect()]
     assert got[0] is None and got[1] == got[2] == "API key is required for logging" and got[3] == "timestamp is not epoch milliseconds"
-    assert got[4] == "request could not be described: method" and got[5] == "log entry could not be serialised"
+    assert got[4] == "Failed to send log: request could not be described: method" and got[5] == "log entry could not be serialised"
 
 
 def test_metrics(spark):

@@ -100,15 +100,26 @@ def test_trails_equal_the_batch(spark, tmp_path):
         tuple(r) for r in batch.select("exchange_id", "trail_json", "n_calls", "upstream_dropped").collect()}
 
 
+def test_an_end_sends_out_unanswered_calls(spark, tmp_path):
+    folder = str(tmp_path / "ended")
+    schema = "exchange_id string, seq bigint, kind string, call_json string, call_bytes int"
+    for rows in ([("a", 1, "call", "{}", 2), ("b", 1, "call", "{}", 2)], [("a", 2, "end", None, None), ("c", 1, "end", None, None), ("b", 2, "response", None, None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = run(stream_trails(source), tmp_path, "ended-out").select("exchange_id", "answered", "n_calls").collect()
+    assert {tuple(r) for r in out} == {("a", False, 1), ("b", True, 1)}
+
+
 def test_reports_equal_the_batch(spark, tmp_path):
-    times = [0, 10, 59_999, 60_000, 60_001, 125_000, 500_000]
+    times = [0, 10, 59_999, 60_000, 60_001, 125_000, 500_000, 500_001]
     folder = str(tmp_path / "drops")
     for chunk in (times[:3], times[3:5], times[5:]):
         spark.createDataFrame([("l", t, 1) for t in chunk], "logger string, ms bigint, n bigint").coalesce(1).write.mode("append").parquet(folder)
+    batch = report.rate_limited_reports(spark.read.parquet(folder), ["logger"], "ms", F.col("n")).collect()
+    spark.createDataFrame([("l", times[-1], None)], "logger string, ms bigint, n bigint").coalesce(1).write.mode("append").parquet(folder)
     source = spark.readStream.schema("logger string, ms bigint, n bigint").option("maxFilesPerTrigger", 1).parquet(folder)
     streamed = run(stream_reports(source), tmp_path, "reports")
-    batch = report.rate_limited_reports(spark.read.parquet(folder), ["logger"], "ms", F.col("n")).filter("at_ms is not null")
-    assert {tuple(r) for r in streamed.collect()} == {tuple(r) for r in batch.collect()}
+    assert {tuple(r) for r in streamed.collect()} == {tuple(r) for r in batch}
 
 
 def test_sinks_hold_no_secret(spark, tmp_path):
