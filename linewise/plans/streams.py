@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import wire
 from ..functions.calls import call_json
 from ..functions.jsontext import ascii_length
 from ..operators import lines, recover, trail
@@ -75,15 +76,19 @@ def _in_triggers(rows: DataFrame, *closing: DataFrame) -> DataFrame:
 
 @query
 def stream_pair_exchanges(spark, d):
-    """A line from long after the others moves the watermark past every unanswered request."""
+    """A request and a response from long after the others, of different exchanges, move the
+    watermark past every unanswered request."""
     registry = views.customer_apps(spark, d)
     asked = lines.compose_lines(views.with_ref(lines.request_lines(views.order_requests(views.table(spark, d, "orders"))), registry))
     answered = lines.compose_lines(views.with_ref(lines.response_lines(views.order_responses(views.table(spark, d, "orders"))), registry))
     parsed = lines.parse_lines(asked.select("line").unionByName(answered.select("line")))
     timed = parsed.withColumn("ts", F.timestamp_micros((F.col("ts_ns").cast("decimal(38,0)") / 1000).cast("bigint")))
     timed = timed.select("partner_ref", "correlation_id", "message", "ts", "method", "path", "status_code", "duration_ms").repartition(4)
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in timed.schema.fields if f.name != "ts"]
-    later = timed.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("interval 60 days")).alias("ts"), *blank).select(*timed.columns)
+    last = timed.agg((F.max("ts") + F.expr("interval 60 days")).alias("ts"))
+    later = last.select(F.explode(F.array(F.lit(wire.REQUEST_MESSAGE), F.lit(wire.RESPONSE_MESSAGE))).alias("message"), "ts")
+    later = later.withColumns({"partner_ref": F.lit(""), "correlation_id": F.col("message")})
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in timed.schema.fields if f.name not in later.columns]
+    later = later.select("*", *blank).select(*timed.columns)
     pairs = stream_pair(_in_triggers(timed, later), delay="20 days")
     return finished(pairs.select("partner_ref", "correlation_id", "method", "path", big(F.col("status_code")).alias("status_code"), "duration_ms"))
 
