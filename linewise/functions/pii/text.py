@@ -6,7 +6,7 @@ from functools import reduce
 from operator import and_, or_
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ...session import ship_package
@@ -97,3 +97,8 @@ def redact_text(value: Column | str, options: Options = DEFAULT, names: bool = F
         return native_chain(text, options, names)
     gate = needs_python(text, options, names)
     return F.when(gate, _text_udf(options, names)(F.when(gate, text))).otherwise(native_chain(text, options, names))
+
+
+def register_sql(spark: SparkSession, name: str = "redact_text", options: Options = DEFAULT) -> None:
+    """Makes ``name(text)`` callable from ``spark.sql``, batch by batch in Python."""
+    spark.udf.register(name, _text_udf(options, False))

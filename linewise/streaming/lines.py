@@ -28,7 +28,7 @@ def stream_pair(parsed: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Requests with the response that came within ``delay``; an unanswered request
     comes out alone once the watermark has passed. Reads ``parse_lines`` columns and
     ``ts``."""
-    # the watermark follows every line, so it moves on while one side is silent
+    # each side has its own watermark, the slower of which counts: a silent side holds the other back
     sides = parsed.withWatermark("ts", delay).filter(F.col("correlation_id").isNotNull()).select(
         "partner_ref", "correlation_id", "message", "ts", "method", "path", "status_code", "duration_ms"
     )

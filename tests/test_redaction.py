@@ -12,7 +12,7 @@ from linewise.functions.pii import Options, is_sensitive_key, key_marker, redact
 from linewise.functions.pii.keys import name_is_sensitive, name_marker
 from linewise.functions.pii.leaf import redact_string
 from linewise.functions.pii.options import DEFAULT
-from linewise.functions.pii.text import native_chain, needs_python
+from linewise.functions.pii.text import native_chain, needs_python, register_sql
 
 UUID = "a1b2c3d4-e5f6-7890-abcd-ef1234567890"
 STRINGS = {
@@ -96,6 +96,12 @@ def test_strings_in_columns(spark):
         assert row.gate or row.native == want, row.t
 
 
+def test_redaction_in_sql(spark):
+    register_sql(spark)
+    spark.createDataFrame([(t,) for t in STRINGS] + [(None,)], "t string").createOrReplaceTempView("strings")
+    assert {r.t: r.o for r in spark.sql("SELECT t, redact_text(t) AS o FROM strings").collect()} == {**STRINGS, None: None}
+
+
 def test_rule_switches(spark):
     df = spark.createDataFrame([("a alice@example.com",), (f"id={UUID}",), (None,)], "t string")
     assert [r[0] for r in df.select(redact_text("t", Options(emails=False))).collect()] == ["a alice@example.com", f"id={UUID}", None]
