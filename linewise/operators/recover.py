@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import wire
-from ..functions.jsontext import entries_of, entry, is_whole_line, object_text, wrapped_variant
+from ..functions.jsontext import is_whole_line, wrapped_variant
 from ..functions.timestamps import ns_to_seconds
+from ..session import ship_package
 from .ordered import CHUNK, DEFAULT_CHUNK_ROWS, by_position, join_carry, local_window
 
 def read_cri(df: DataFrame, text: str = "text") -> DataFrame:
@@ -121,14 +125,42 @@ def drop_overlong(df: DataFrame, max_bytes: int = wire.MAX_LINE_BYTES, line: str
     return df.filter(F.octet_length(line) <= max_bytes)
 
 
+_skip = re.compile(r"[ \t\r\n]*+")
+_value = json.JSONDecoder()
+
+
+def without_field(text: str, name: str, instead: str) -> str:
+    """A JSON object's text without the top-level field ``name``, and with the field text
+    ``instead`` last; every other field stays byte for byte. A text that is no object stays."""
+    try:
+        at, kept = _skip.match(text).end() + 1, [instead]
+        if text[at - 1] != "{":
+            return text
+        while text[(at := _skip.match(text, at).end())] != "}":
+            start = at
+            key, at = _value.raw_decode(text, at)
+            at = _skip.match(text, _skip.match(text, at).end() + 1).end()  # over the colon
+            _, at = _value.raw_decode(text, at)
+            if key != name:
+                kept.insert(-1, text[start:at])
+            at = _skip.match(text, at).end()
+            at += text[at] == ","
+        return "{" + ",".join(kept) + "}"
+    except (ValueError, IndexError):
+        return text
+
+
 def strip_long_bodies(df: DataFrame, max_bytes: int = wire.STORED_LINE_BYTES, line: str = "line") -> DataFrame:
-    """A line longer than ``max_bytes`` keeps its fields but not its ``body``."""
-    def without(text: Column) -> Column:
-        fields = entries_of(text)
-        kept = F.filter(fields, lambda e: e["key"] != "body")
-        return object_text(F.concat(kept, F.array(entry("_bodyDropped", F.lit("true")))))
+    """A line longer than ``max_bytes`` keeps its fields, as written, but not its ``body``. Only
+    such lines cross to Python."""
+    ship_package(df.sparkSession)
+
+    @F.pandas_udf("string")
+    def stripped(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else without_field(t, "body", '"_bodyDropped":true') for t in texts], dtype=object)
 
-    return df.withColumn(line, F.when(F.octet_length(line) <= max_bytes, F.col(line)).otherwise(without(F.col(line))))
+    long = F.octet_length(line) > max_bytes
+    return df.withColumn(line, F.when(long, stripped(F.when(long, F.col(line)))).otherwise(F.col(line)))
 
 
 _PARSED = "_parsed"

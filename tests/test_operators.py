@@ -208,6 +208,18 @@ def test_long_bodies_and_duplicates(spark):
     assert got == ['{"x":1,"_bodyDropped":true}', '{"x":2}']
 
 
+def test_other_fields_of_long_lines_stay_as_written(spark):
+    body = "b" * 100
+    cases = {
+        '{"z":1.50,"a":2, "n" : {"b":1,"a":[1e400, "}"]} ,"body":"%s"}': '{"z":1.50,"a":2,"n" : {"b":1,"a":[1e400, "}"]},"_bodyDropped":true}',
+        ' { "body" : {"x":"%s"} , "é\\"":null } ': '{"é\\"":null,"_bodyDropped":true}',
+        '{"body":"%s","body":1}': '{"_bodyDropped":true}', '[1,"%s"]': None, '{"a":1,"b%s': None, '{"a":"%s"}': '{"a":"%s","_bodyDropped":true}',
+    }
+    rows = [(i, text % body) for i, text in enumerate(cases)]
+    got = recover.strip_long_bodies(spark.createDataFrame(rows, "i int, line string"), 50).orderBy("i").collect()
+    assert [r.line for r in got] == [(want.replace("%s", body) if want else text) for (_, text), want in zip(rows, cases.values())]
+
+
 def test_call_validation(spark):
     df = spark.createDataFrame([("k", "1", "request", "GET", "/", None), ("0", "1", "info", None, None, None), (None, "1", "info", None, None, None),
                                 ("k", None, "info", None, None, None), ("k", "1", "request", None, "/", None), ("k", "1", "info", None, None, "{bad")],
