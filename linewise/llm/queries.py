@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewise.llm import chat, decontaminate, idfiles, nearcopies, packing, quality, secrets, suffixes, unigram, urltree
+from linewise.llm.oracle import ORACLE as ORACLE
 from linewise.llm.stored import shared_path, stored
 from linewise.llm.wordids import default_tokenizer
 from linewise.session import ship_package
@@ -67,4 +68,3 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_url_filters, op5_token_counts, op6_chat_formatting, op7_token_id_files, op8_best_fit_packing, op9_quality_rules, op10_secret_scans)}
-ORACLE: dict[str, str] = {}
