@@ -10,6 +10,8 @@
    the full sets. First one pair for each member, then those whose ends are still apart.
 4. What still shares a bucket without being connected is compared in blocks of a bucket's
    members, so no bucket is too large and no link is lost; pairs connected by then are left out.
+   A shingle that only one of these texts has is in no intersection and in every union with
+   it, which bounds a pair's similarity: texts that each have many such are no pair.
 5. Alternating large-star and small-star rounds give the components.
 """
 
@@ -135,18 +137,30 @@ def _confirmed(num: int, den: int):
     return run
 
 
-def _across(least: float):
-    """Within two blocks of a bucket, the pairs of different components with like signatures."""
+def _grams(batches):
+    for batch in batches:
+        for key, values in zip(*(c.to_pylist() for c in batch.columns)):
+            grams = pa.array(np.frombuffer(values, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), key)), grams], ["id", "gram"])
+
+
+def _across(least: float, num: int, den: int):
+    """Within two blocks of a bucket, the pairs of different components that can be links: by
+    their sizes, by the shingles that each has alone, and by their signatures."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        side, ids, comp = (rows.column(k).to_numpy() for k in ("side", "id", "component"))
+        side, ids, comp, n, alone = (rows.column(k).to_numpy() for k in ("side", "id", "component", "n_shingles", "alone"))
         sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = not len(two)
+        common = n - alone
         left, right = [], []
         for k, i in enumerate(one.tolist()):
             others = one[k + 1 :] if within else two
             others = others[comp[others] != comp[i]]
+            most = np.minimum(common[others], common[i])
+            fewest = alone[others] + alone[i] + np.maximum(common[others], common[i])
+            others = others[den * most >= num * fewest]
             near = others[(sigs[others] == sigs[i]).mean(axis=1) >= least]
             left.append(np.full(len(near), ids[i]))
             right.append(ids[near])
@@ -177,7 +191,7 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     classes = stored(some.groupBy("digest", "n_shingles").agg(F.min("id").alias("rep")), "classes")
     member = some.select("id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("id", "rep")
     reps = classes.select(F.col("rep").alias("id"))
-    sketches = some.select("id", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"])
+    sketches = some.select("id", "n_shingles", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"])
     sketches = stored(sketches, "reps")
 
     member_of = sketches.select("id", F.explode("keys").alias("key"))
@@ -220,13 +234,18 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     left = tagged.select("key", "id", "component", "n").join(stored(mixed, "mixed"), "key")
     width_of = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int")
     left = left.withColumn("blocks", width_of).withColumn("block", F.pmod(F.xxhash64("id", "key"), "blocks").cast("int"))
-    left = left.join(sig, "id")
+    wanted = left.select("id").distinct()
+    grams = sets.join(wanted, "id", "left_semi").mapInArrow(_grams, "id long, gram long")
+    single = grams.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
+    alone = stored(single.groupBy("id").agg(F.count("*").alias("alone")), "alone")
+    facts = sketches.select("id", "n_shingles", "sig").join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    left = left.join(facts, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = left.select("key", "id", "component", "sig", "block", other).select(
-        "key", "id", "component", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    dealt = left.select("key", "id", "component", "n_shingles", "alone", "sig", "block", other).select(
+        "key", "id", "component", "n_shingles", "alone", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
-    rest = dealt.groupBy("key", "i", "j").applyInArrow(_across(least), "a long, b long").distinct()
+    rest = dealt.groupBy("key", "i", "j").applyInArrow(_across(least, num, den), "a long, b long").distinct()
     rest = stored(rest.join(led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
     links = links.union(confirm(rest, "third"))
     found = stored(components(links), "components")
