@@ -24,7 +24,8 @@ from linewise.llm.blocks import blocks, mix
 from linewise.llm.wordids import word_ids
 
 SHARD_IDS = 1 << 20
-BUCKET_KEYS = 4
+BUCKET_KEYS = 2
+_TRIES = np.arange(32, dtype=np.uint64)
 _DIRECT = 1 << 31
 
 
@@ -48,7 +49,8 @@ class PerfectHash:
 
     @classmethod
     def build(cls, keys: np.ndarray) -> tuple[PerfectHash, np.ndarray]:
-        """The hash, and each key's slot. Buckets are placed from the largest down."""
+        """The hash, and each key's slot. Buckets are placed from the largest down; about an eighth
+        of the keys have one of their own, so that slots are left for the last larger ones."""
         keys = keys.astype(np.uint64)
         n = len(keys)
         buckets = max(1, -(-n // BUCKET_KEYS))
@@ -60,13 +62,16 @@ class PerfectHash:
         for b in np.argsort(-sizes, kind="stable").tolist():
             if sizes[b] < 2:
                 break
-            own = order[cuts[b] : cuts[b + 1]]
-            seed = 0
-            while True:
-                at = cls._slot(keys[own], seed, n)
-                if free[at].all() and len(np.unique(at)) == len(at):
+            own = keys[order[cuts[b] : cuts[b + 1]]]
+            seed = np.uint64(0)
+            while True:  # many seeds at a time, of which the first that fits is taken
+                at = cls._slot(own[None, :], (seed + _TRIES)[:, None], n)
+                spread = np.sort(at, axis=1)
+                fits = np.flatnonzero(free[at].all(axis=1) & (spread[:, 1:] != spread[:, :-1]).all(axis=1))
+                if len(fits):
                     break
-                seed += 1
+                seed += np.uint64(len(_TRIES))
+            seed, at, own = seed + fits[0], at[fits[0]], order[cuts[b] : cuts[b + 1]]
             seeds[b], slots[own] = seed, at
             free[at] = False
         single = np.flatnonzero(sizes == 1)
