@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -52,6 +52,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = B
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield Block(batch.slice(start, stop - start), text)
             start, done = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()  # a worker goes on to other tasks
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from linewise.llm.blocks import blocks
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the library
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 300_000
 
 
 def vocabulary(model: str) -> list[tuple[str, float]]:

@@ -15,7 +15,7 @@ import numpy as np
 
 from linewise.llm.blocks import _FOLD, _SPACE, Block
 
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 400_000
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 
