@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from linewise.llm.components import components
+from linewise.llm.components import components, with_links
 from linewise.llm.nearcopies import near_copies
 
 
@@ -65,5 +65,9 @@ def test_empty_null_and_repeated_rows(spark):
 
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, k) for k in range(200, 230)] + [(500, 500)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{k: 100 for k in range(100, 141)}, 7: 7, **{k: 7 for k in range(200, 230)}}
+    want = {**{k: 100 for k in range(100, 141)}, 7: 7, **{k: 7 for k in range(200, 230)}}
+    found = components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.component for r in found.collect()} == want
+    more = with_links(found, spark.createDataFrame([(140, 229), (900, 901), (901, 902)], "a long, b long"))
+    assert {r.node: r.component for r in more.collect()} == {**{k: 7 for k in want}, 900: 900, 901: 900, 902: 900}
+    assert {r.node: r.component for r in with_links(found, spark.createDataFrame([], "a long, b long")).collect()} == want
