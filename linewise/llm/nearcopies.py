@@ -10,8 +10,8 @@
    the full sets. First one pair for each member, then those whose ends are still apart.
 4. What still shares a bucket without being connected is compared in blocks of a bucket's
    members, so no bucket is too large and no link is lost; pairs connected by then are left out.
-   A shingle that only one of these texts has is in no intersection and in every union with
-   it, which bounds a pair's similarity: texts that each have many such are no pair.
+   There shingles count by half of their bits, which can only find too much, and only a pair
+   that still may be a link leaves its block, for the check on full sets.
 5. Alternating large-star and small-star rounds give the components.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewise.llm.blocks import Block, blocks, mix, shingle_hashes, whole_hash, word_bounds, word_hashes
-from linewise.llm.components import components
+from linewise.llm.components import components, with_links
 from linewise.llm.stored import stored
 
 BUCKET_BLOCK = 256
@@ -100,8 +100,9 @@ def _sketch(width: int, bands: int, rows: int):
 def _sets(width: int):
     def run(batches):
         for block in blocks(batches):
-            found = [values.tobytes() for values in shingle_sets(block, width)]
-            yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(found, pa.binary())], ["id", "set"])
+            found = shingle_sets(block, width)
+            whole, short = [v.tobytes() for v in found], [(v >> np.uint64(32)).astype(np.uint32).tobytes() for v in found]
+            yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(whole, pa.binary()), pa.array(short, pa.binary())], ["id", "set", "short"])
 
     return run
 
@@ -137,35 +138,34 @@ def _confirmed(num: int, den: int):
     return run
 
 
-def _grams(batches):
-    for batch in batches:
-        for key, values in zip(*(c.to_pylist() for c in batch.columns)):
-            grams = pa.array(np.frombuffer(values, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), key)), grams], ["id", "gram"])
-
-
 def _across(least: float, num: int, den: int):
-    """Within two blocks of a bucket, the pairs of different components that can be links: by
-    their sizes, by the shingles that each has alone, and by their signatures."""
+    """Within two blocks of a bucket, the pairs of different components whose signatures are
+    alike and whose shortened shingles (32 bits each) allow a link: equal shingles are equal
+    when shortened, so what is counted is never less than the intersection."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        side, ids, comp, n, alone = (rows.column(k).to_numpy() for k in ("side", "id", "component", "n_shingles", "alone"))
+        side, ids, comp = (rows.column(k).to_numpy() for k in ("side", "id", "component"))
         sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+        held = [np.frombuffer(b, np.uint32) for b in rows.column("short").to_pylist()]
+        sizes = np.array([len(h) for h in held])
+        distinct, places = np.unique(np.concatenate(held), return_inverse=True)
+        places = np.split(places, np.cumsum(sizes)[:-1])
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = not len(two)
-        common = n - alone
+        mark = np.zeros(len(distinct), dtype=bool)
         left, right = [], []
         for k, i in enumerate(one.tolist()):
             others = one[k + 1 :] if within else two
             others = others[comp[others] != comp[i]]
-            most = np.minimum(common[others], common[i])
-            fewest = alone[others] + alone[i] + np.maximum(common[others], common[i])
-            others = others[den * most >= num * fewest]
             near = others[(sigs[others] == sigs[i]).mean(axis=1) >= least]
-            left.append(np.full(len(near), ids[i]))
-            right.append(ids[near])
-        a, b = np.concatenate(left or [ids[:0]]), np.concatenate(right or [ids[:0]])
-        return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+            mark[places[i]] = True
+            for j in near.tolist():
+                shared = np.count_nonzero(mark[places[j]])
+                if den * shared >= num * (sizes[i] + sizes[j] - shared):
+                    left.append(min(ids[i], ids[j]))
+                    right.append(max(ids[i], ids[j]))
+            mark[places[i]] = False
+        return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return run
 
@@ -191,7 +191,7 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     classes = stored(some.groupBy("digest", "n_shingles").agg(F.min("id").alias("rep")), "classes")
     member = some.select("id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("id", "rep")
     reps = classes.select(F.col("rep").alias("id"))
-    sketches = some.select("id", "n_shingles", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"])
+    sketches = some.select("id", "sig", "keys").join(reps, "id", "left_semi").dropDuplicates(["id"])
     sketches = stored(sketches, "reps")
 
     member_of = sketches.select("id", F.explode("keys").alias("key"))
@@ -210,7 +210,7 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
 
     led = stored(like(_pairs(inside.select(F.col("leader").alias("a"), F.col("id").alias("b")))), "led")
     wanted = inside.select("id").distinct()
-    sets = text.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(width), "id long, set binary")
+    sets = text.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(width), "id long, set binary, short binary")
     sets = stored(sets, "sets")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
@@ -224,31 +224,23 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
         both = pairs.join(tag("a"), "a", "left").join(tag("b"), "b", "left")
         return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    links = confirm(led.groupBy("b").agg(F.min("a").alias("a")), "first")
-    found = stored(components(links), "components")
-    links = links.union(confirm(apart(led, found), "second"))
-    found = stored(components(links), "components")
+    found = stored(components(confirm(led.groupBy("b").agg(F.min("a").alias("a")), "first")), "components")
+    found = stored(with_links(found, confirm(apart(led, found), "second")), "components")
 
     tagged = inside.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = tagged.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("key")
     left = tagged.select("key", "id", "component", "n").join(stored(mixed, "mixed"), "key")
     width_of = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int")
     left = left.withColumn("blocks", width_of).withColumn("block", F.pmod(F.xxhash64("id", "key"), "blocks").cast("int"))
-    wanted = left.select("id").distinct()
-    grams = sets.join(wanted, "id", "left_semi").mapInArrow(_grams, "id long, gram long")
-    single = grams.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
-    alone = stored(single.groupBy("id").agg(F.count("*").alias("alone")), "alone")
-    facts = sketches.select("id", "n_shingles", "sig").join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
-    left = left.join(facts, "id")
+    left = left.join(sketches.select("id", "sig"), "id").join(sets.select("id", "short"), "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = left.select("key", "id", "component", "n_shingles", "alone", "sig", "block", other).select(
-        "key", "id", "component", "n_shingles", "alone", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    dealt = left.select("key", "id", "component", "sig", "short", "block", other).select(
+        "key", "id", "component", "sig", "short", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
     rest = dealt.groupBy("key", "i", "j").applyInArrow(_across(least, num, den), "a long, b long").distinct()
     rest = stored(rest.join(led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
-    links = links.union(confirm(rest, "third"))
-    found = stored(components(links), "components")
+    found = stored(with_links(found, confirm(rest, "third")), "components")
 
     of = member.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
     # A component's least id is the least of its classes' least ids, as each class is named by its own.
