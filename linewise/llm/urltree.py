@@ -2,9 +2,9 @@
 
 Per host, segments that vary by their look (numbers, hashes, dates, names with a number) become
 wildcards, so that a host's paths shrink to few shapes before anything is shuffled by host. The
-tree then grows level by level over those shapes: at each node, rare children of a node with
-many become a wildcard, and so does every child whose share of bad pages cannot be told from
-that of its siblings (Hoeffding's bound). Of the others, those that are worse than their siblings
+tree then grows level by level over those shapes: at each node, every child whose share of bad
+pages cannot be told from that of its siblings (Hoeffding's bound) becomes a wildcard, however
+many or few its pages are. Of the others, those that are worse than their siblings
 are one branch (``*+``) and those that are better another (``*-``), so that like branches share
 their evidence. A template is rejected when its share of bad pages, smoothed towards that of all labelled pages, is too high.
 """
@@ -50,27 +50,25 @@ def _shape(path: Column) -> Column:
     return F.when(path == "", F.array().cast("array<string>")).when(F.size(parts) > DEPTH, deep).otherwise(parts)
 
 
-def templates(shapes: DataFrame, most: int = 24, rare: float = 0.02, delta: float = 0.05) -> DataFrame:
-    """``shapes`` with their ``template``, from ``shapes (host, shape, n, labelled, bad)``.
+def templates(shapes: DataFrame, delta: float = 0.05) -> DataFrame:
+    """``shapes`` with their ``template``, from ``shapes (host, shape, labelled, bad)``.
 
-    A node's children are pooled as ``*`` when it has over ``most`` and they hold under ``rare`` of its
-    pages, or when their share of bad pages is within Hoeffding's bound, at confidence
-    1 - ``delta``, of that of the node's other pages; else as ``*+`` or ``*-``."""
+    A node's children are pooled as ``*`` when their share of bad pages is within Hoeffding's bound,
+    at confidence 1 - ``delta``, of that of the node's other pages; else as ``*+`` or ``*-``."""
     rows = stored(shapes.withColumn("template", F.lit("")), "shapes")
     depth = rows.agg(F.max(F.size("shape"))).first()[0] or 0
     for level in range(depth):
         children = rows.filter(F.size("shape") > level).withColumn("part", F.col("shape")[level])
-        children = children.groupBy("host", "template", "part").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
+        children = children.groupBy("host", "template", "part").agg(*(F.sum(c).alias(c) for c in ("labelled", "bad")))
         children = stored(children, "children")
-        nodes = children.groupBy("host", "template").agg(F.count("*").alias("width"), *(F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "bad")))
+        nodes = children.groupBy("host", "template").agg(*(F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")))
         both = children.join(stored(nodes, "nodes"), ["host", "template"])
         others, other_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
         bound = math.sqrt(math.log(2 / delta) / 2)
         slack = bound * (1 / F.sqrt(F.col("labelled")) + 1 / F.sqrt(others))
         apart = (F.col("labelled") > 0) & (others > 0) & (F.abs(F.col("bad") / F.col("labelled") - other_bad / others) > slack)
-        scarce = (F.col("width") > most) & (F.col("n") < rare * F.col("all_n"))
         worse = F.col("bad") * others > other_bad * F.col("labelled")
-        name = F.when((F.col("part") == "*") | scarce | ~F.coalesce(apart, F.lit(False)), "*").when(worse, "*+").otherwise("*-")
+        name = F.when((F.col("part") == "*") | ~F.coalesce(apart, F.lit(False)), "*").when(worse, "*+").otherwise("*-")
         chosen = stored(both.select("host", "template", "part", name.alias("name")), "names")
         deeper = rows.filter(F.size("shape") > level).withColumn("part", F.col("shape")[level]).join(chosen, ["host", "template", "part"])
         deeper = deeper.withColumn("template", F.concat("template", F.lit("/"), "name")).select(*rows.columns)
@@ -96,7 +94,7 @@ def judge_urls(
     rows = pages.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), path.alias("path"))
     rows = stored(rows.withColumn("shape", _shape(F.col("path"))), "urls")
     labelled = rows.join(known, "id", "left")
-    shapes = labelled.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("b").alias("labelled"), F.coalesce(F.sum("b"), F.lit(0)).alias("bad"))
+    shapes = labelled.groupBy("host", "shape").agg(F.count("b").alias("labelled"), F.coalesce(F.sum("b"), F.lit(0)).alias("bad"))
     made = templates(shapes)
     total, wrong = made.agg(F.sum("labelled"), F.sum("bad")).first()
     prior = (wrong or 0) / total if total else 0.0

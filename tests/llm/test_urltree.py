@@ -61,6 +61,14 @@ def test_bad_branches_are_told_apart(spark):
     assert len(got) == len(pages)
 
 
+def test_a_rare_bad_branch_among_many_is_told_apart(spark):
+    kinds = [chr(97 + k // 6) + chr(97 + k % 6) for k in range(30)]
+    pages = [(k, f"http://wide.com/{kinds[k % 30]}/{k}") for k in range(6000)] + [(6000 + k, f"http://wide.com/rare/{k}") for k in range(60)]
+    labels = [(k, 1, 0) for k in range(0, 6000, 7)] + [(6000 + k, 0, 0) for k in range(60)]
+    got = judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), RULES).collect()
+    assert {(r.path.startswith("/rare/"), r.verdict) for r in got} == {(True, "block"), (False, "allow")}
+
+
 def test_empty_table(spark):
     pages, labels = spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert judge_urls(pages, labels, RULES).count() == 0
