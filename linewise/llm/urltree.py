@@ -1,12 +1,15 @@
 """URL filters: host rules first, then a tree of path templates with labelled purity.
 
-Per host, segments that vary by their look (numbers, hashes, dates, names with a number) become
-wildcards, so that a host's paths shrink to few shapes before anything is shuffled by host. The
-tree then grows level by level over those shapes: at each node, every child whose share of bad
-pages cannot be told from that of its siblings (Hoeffding's bound) becomes a wildcard, however
-many or few its pages are. Of the others, those that are worse than their siblings
-are one branch (``*+``) and those that are better another (``*-``), so that like branches share
-their evidence. A template is rejected when its share of bad pages, smoothed towards that of all labelled pages, is too high.
+Segments that are a number, date or hash by their look are wildcards everywhere. All others are
+values of their host until its labels say more: a tree grows level by level over the paths of
+labelled pages, and at each node every child whose share of bad pages cannot be told from that of
+its siblings (Hoeffding's bound) becomes a wildcard, however many or few its pages are. So names
+that vary are wildcards on every host, as each has too few labels to stand apart, and a name with
+a number in it that holds a branch of its own is not. Of the others, those that are worse than
+their siblings are one branch (``*+``) and those that are better another (``*-``), so that like
+branches share their evidence. Pages without a label take the way of the same names; a name that
+is not in the tree is a wildcard. A template is rejected when its share of bad pages, smoothed
+towards that of all labelled pages, is too high.
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ from pyspark.sql import functions as F
 from linewise.llm.stored import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Segments taken for values by their look, before any counting.
-VARIABLE = r"^(\d+|[0-9a-fA-F]{8,}|[0-9a-fA-F-]{32,36}|\d{4}-\d{2}(-\d{2})?|(?=[^.]*\d)[^.]{1,200})(\.[A-Za-z0-9]{1,5})?$"
+#: Numbers, hashes and dates: segments taken for values by their look, before any counting.
+VARIABLE = r"^(\d+|(?=[^.]*\d)[0-9a-fA-F]{8,}|(?=[^.]*\d)[0-9a-fA-F-]{32,36}|\d{4}-\d{2}(-\d{2})?)(\.[A-Za-z0-9]{1,5})?$"
 DEPTH = 12
 
 
@@ -50,30 +53,52 @@ def _shape(path: Column) -> Column:
     return F.when(path == "", F.array().cast("array<string>")).when(F.size(parts) > DEPTH, deep).otherwise(parts)
 
 
-def templates(shapes: DataFrame, delta: float = 0.05) -> DataFrame:
-    """``shapes`` with their ``template``, from ``shapes (host, shape, labelled, bad)``.
+def branches(shapes: DataFrame, delta: float = 0.05) -> list[DataFrame | None]:
+    """For each level the ``host, template, part, name`` of the children that stand apart, or None
+    where none does, from the labelled ``shapes (host, shape, labelled, bad)``.
 
     A node's children are pooled as ``*`` when their share of bad pages is within Hoeffding's bound,
-    at confidence 1 - ``delta``, of that of the node's other pages; else as ``*+`` or ``*-``."""
+    at confidence 1 - ``delta``, of that of the node's other pages; else as ``*+`` or ``*-``. Names
+    with too few labels for any share to be outside the bound are not compared."""
     rows = stored(shapes.withColumn("template", F.lit("")), "shapes")
     depth = rows.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(depth):
-        children = rows.filter(F.size("shape") > level).withColumn("part", F.col("shape")[level])
-        children = children.groupBy("host", "template", "part").agg(*(F.sum(c).alias(c) for c in ("labelled", "bad")))
-        children = stored(children, "children")
-        nodes = children.groupBy("host", "template").agg(*(F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")))
-        both = children.join(stored(nodes, "nodes"), ["host", "template"])
+    bound = math.sqrt(math.log(2 / delta) / 2)
+    levels = []
+    for _ in range(depth):
+        deeper = rows.filter(F.size("shape") > 0).withColumn("part", F.col("shape")[0])
+        children = deeper.groupBy("host", "template", "part").agg(*(F.sum(c).alias(c) for c in ("labelled", "bad")))
+        nodes = deeper.groupBy("host", "template").agg(*(F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")))
+        both = children.filter(F.col("labelled") > bound**2).join(nodes, ["host", "template"])
         others, other_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
-        bound = math.sqrt(math.log(2 / delta) / 2)
         slack = bound * (1 / F.sqrt(F.col("labelled")) + 1 / F.sqrt(others))
-        apart = (F.col("labelled") > 0) & (others > 0) & (F.abs(F.col("bad") / F.col("labelled") - other_bad / others) > slack)
+        apart = (others > 0) & (F.abs(F.col("bad") / F.col("labelled") - other_bad / others) > slack)
         worse = F.col("bad") * others > other_bad * F.col("labelled")
-        name = F.when((F.col("part") == "*") | ~F.coalesce(apart, F.lit(False)), "*").when(worse, "*+").otherwise("*-")
-        chosen = stored(both.select("host", "template", "part", name.alias("name")), "names")
-        deeper = rows.filter(F.size("shape") > level).withColumn("part", F.col("shape")[level]).join(chosen, ["host", "template", "part"])
-        deeper = deeper.withColumn("template", F.concat("template", F.lit("/"), "name")).select(*rows.columns)
-        rows = stored(rows.filter(F.size("shape") <= level).unionByName(deeper), "shapes")
-    return rows
+        chosen = stored(both.filter(apart).select("host", "template", "part", F.when(worse, "*+").otherwise("*-").alias("name")), "names")
+        levels.append(None if chosen.isEmpty() else chosen)
+        deeper = _follow(deeper, levels[-1], F.col("part")).withColumn("shape", F.slice("shape", 2, DEPTH + 1))
+        rows = stored(deeper.groupBy("host", "template", "shape").agg(*(F.sum(c).alias(c) for c in ("labelled", "bad"))), "shapes")
+    return levels
+
+
+def _follow(rows: DataFrame, chosen: DataFrame | None, part: Column) -> DataFrame:
+    """``rows`` with ``template`` one level longer where they have a ``part`` there."""
+    kept = [c for c in rows.columns if c != "part"]
+    name = F.lit("*")
+    if chosen is not None:
+        rows = rows.withColumn("part", part).join(chosen, ["host", "template", "part"], "left")
+        part, name = F.col("part"), F.coalesce("name", F.lit("*"))
+    longer = F.when(part.isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name))
+    return rows.withColumn("template", longer).select(*kept)
+
+
+def templates(rows: DataFrame, levels: list[DataFrame | None]) -> DataFrame:
+    """``rows (host, shape)`` with their ``template``, by the names of ``branches``."""
+    last = max((k + 1 for k, chosen in enumerate(levels) if chosen is not None), default=0)
+    rows = rows.withColumn("template", F.lit(""))
+    for level in range(last):
+        rows = _follow(rows, levels[level], F.get("shape", F.lit(level)))
+    rest = F.greatest(F.size("shape") - last, F.lit(0))
+    return rows.withColumn("template", F.concat("template", F.repeat(F.lit("/*"), rest)))
 
 
 def judge_urls(
@@ -92,16 +117,16 @@ def judge_urls(
     known = known.filter("id is not null").groupBy("id").agg(F.max("b").alias("b"))
     host, path = host_and_path(F.col(url_col).cast("string"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), path.alias("path"))
-    rows = stored(rows.withColumn("shape", _shape(F.col("path"))), "urls")
-    labelled = rows.join(known, "id", "left")
-    shapes = labelled.groupBy("host", "shape").agg(F.count("b").alias("labelled"), F.coalesce(F.sum("b"), F.lit(0)).alias("bad"))
-    made = templates(shapes)
-    total, wrong = made.agg(F.sum("labelled"), F.sum("bad")).first()
+    rows = rows.withColumn("shape", _shape(F.col("path")))
+    shapes = rows.join(known, "id").groupBy("host", "shape").agg(F.count("b").alias("labelled"), F.sum("b").alias("bad"))
+    shapes = stored(shapes, "urls")
+    levels = branches(shapes)
+    total, wrong = shapes.agg(F.sum("labelled"), F.sum("bad")).first()
     prior = (wrong or 0) / total if total else 0.0
-    sums = made.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    sums = templates(shapes, levels).groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     smooth = (F.col("bad") + weight * prior) / (F.col("labelled") + weight)
-    judged = sums.select("host", "template", F.when(smooth > limit, "block").otherwise("allow").alias("own"))
-    by_shape = stored(made.select("host", "shape", "template").join(judged, ["host", "template"]), "verdicts")
+    judged = stored(sums.select("host", "template", F.when(smooth > limit, "block").otherwise("allow").alias("own")), "verdicts")
     name, word = matching_rule(F.col("host"), F.col("path"), rules)
-    out = rows.join(by_shape, ["host", "shape"])
-    return out.select(F.col("id").alias("page_id"), "host", "path", name.alias("rule"), F.coalesce(word, F.col("own")).alias("verdict"), "template")
+    out = templates(rows, levels).join(judged, ["host", "template"], "left")
+    verdict = F.coalesce(word, F.col("own"), F.lit("block" if prior > limit else "allow"))
+    return out.select(F.col("id").alias("page_id"), "host", "path", name.alias("rule"), verdict.alias("verdict"), "template")

@@ -69,6 +69,18 @@ def test_a_rare_bad_branch_among_many_is_told_apart(spark):
     assert {(r.path.startswith("/rare/"), r.verdict) for r in got} == {(True, "block"), (False, "allow")}
 
 
+def test_names_with_digits_take_the_label_test(spark):
+    kinds = ("casino365", "news24", "mp3", "about", "2024", "item-{}.html")
+    pages = [(k, f"http://digits.com/{kinds[k % 6].format(k)}/{k}") for k in range(1200)]
+    pages += [(2000 + k, f"http://years.com/{('2024', f'x{k % 40}a')[k % 2]}/{k}") for k in range(400)]
+    labels = [(k, 0 if k % 6 == 0 else 1, 0) for k in range(600)] + [(2000 + k, k % 2, 0) for k in range(400)]
+    got = judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), RULES).collect()
+    assert len(got) == len(pages)
+    assert {(r.path.startswith("/casino365/"), r.verdict) for r in got if r.host == "digits.com"} == {(True, "block"), (False, "allow")}
+    assert {(r.path.startswith("/2024/"), r.verdict) for r in got if r.host == "years.com"} == {(True, "block"), (False, "allow")}
+    assert {r.template for r in got if "item-" in r.path} == {"/*/*"}
+
+
 def test_empty_table(spark):
     pages, labels = spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert judge_urls(pages, labels, RULES).count() == 0
