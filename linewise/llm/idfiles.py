@@ -24,6 +24,8 @@ from linewise.llm.blocks import blocks, mix
 from linewise.llm.wordids import word_ids
 
 SHARD_IDS = 1 << 20
+#: Characters of a text that order it among those of its key; what ranges are drawn from passes through the driver.
+HEAD = 64
 BUCKET_KEYS = 2
 _TRIES = np.arange(32, dtype=np.uint64)
 _DIRECT = 1 << 31
@@ -126,7 +128,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard
     """Writes the ids of every row's text, and ``end_id`` after each, in ascending key order.
 
     A null text is empty; rows with a null key come first and are in no index; rows that share
-    a key are all kept, in the order of their texts. Only the two named columns are read."""
+    a key are all kept, in the order of their texts' first ``HEAD`` characters and then of a hash.
+    No key is held by one task: ranges are cut within a key and within equal texts too. Only the
+    two named columns are read."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 
@@ -147,7 +151,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard
             yield _shard(part, number, before, keys, texts)
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    rows = rows.select("*", F.substring("text", 1, HEAD).alias("head"), F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    order = (F.col("id").asc_nulls_first(), F.col("head"), F.col("hash"), F.col("row"))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text")
     ordered.mapInArrow(run, _DDL).write.option("compression", "zstd").parquet(path)
 
 
@@ -184,15 +190,18 @@ def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
             for row in batch.to_pylist():
                 own = wanted[(wanted >= row["least_key"]) & (wanted <= row["last_key"])]
                 found = _spans(row, own.view(np.uint64))
+                place = [pa.array([row[c]] * len(found), pa.int32()) for c in ("part", "shard")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[[k for k, _, _ in found]] if found else [], pa.int64()), pa.array([_ids(row, a, b).tolist() for _, a, b in found], pa.list_(pa.int64()))], ["doc_id", "ids"]
+                    [pa.array(own[[k for k, _, _ in found]] if found else [], pa.int64()), pa.array([_ids(row, a, b).tolist() for _, a, b in found], pa.list_(pa.int64())), *place],
+                    ["doc_id", "ids", "part", "shard"],
                 )
 
     shards = spark.read.schema(_DDL).parquet(path)
     if not len(wanted):
         return spark.createDataFrame([], "doc_id long, ids array<long>")
     near = shards.filter((F.col("last_key") >= int(wanted[0])) & (F.col("least_key") <= int(wanted[-1])))
-    return near.mapInArrow(run, "doc_id long, ids array<long>").dropDuplicates(["doc_id"])
+    held = near.mapInArrow(run, "doc_id long, ids array<long>, part int, shard int")
+    return held.groupBy("doc_id").agg(F.min_by("ids", F.struct("part", "shard")).alias("ids"))  # a key may span shards and parts
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:

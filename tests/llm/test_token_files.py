@@ -50,6 +50,22 @@ def test_id_files_round_trip(spark, tokenizer):
     assert lookup(spark, path, []).count() == 0
 
 
+def test_id_files_cut_ranges_within_a_key(spark, tokenizer):
+    rows = [(5, f"{k % 50:02d} shared key") for k in range(300)] + [(None, "no key")] * 300 + [(k, "own") for k in range(20)]
+    path = shared_path(spark, "ids")
+    write_ids(spark.createDataFrame(rows, "doc_id long, text string"), path, default_tokenizer(), end_id=1, shard_ids=500)
+    shards = spark.read.parquet(path).select("part", "keyless", "least_key", "last_key").collect()
+    assert len({s.part for s in shards if s.keyless}) > 1 and len({s.part for s in shards if s.last_key is not None and s.least_key <= 5 <= s.last_key}) > 1
+    known = {text: ids_of(tokenizer, text, 1) for text in {t for _, t in rows}}
+    want, start = [], 0
+    for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        ids = known[text]
+        want.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted((tuple(r) for r in digests(spark, path).collect()), key=lambda r: r[1]) == want
+    assert {r.doc_id: r.ids for r in lookup(spark, path, [5, 7]).collect()} == {5: known["00 shared key"], 7: known["own"]}
+
+
 def test_id_files_of_an_empty_table(spark):
     path = shared_path(spark, "ids")
     write_ids(spark.createDataFrame([], "doc_id long, text string"), path, default_tokenizer())
