@@ -17,7 +17,8 @@ equal only if the suffixes at their first samples agree, and what stands before
    both sides follow the windows that occur again. The parts mark and cut them.
 
 Ranges are dealt by the hash, so that every range has as much to do, and suffixes that could
-share a window meet in one. Whatever is held in one task is a share of the data, never a group.
+share a window meet in one. A cluster is held whole by one task, so a passage that very many documents
+hold makes that task's share as large as their number.
 """
 
 from __future__ import annotations
