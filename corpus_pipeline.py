@@ -35,7 +35,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in their documents; examples that many owners hold stay."""
+    """Secrets are masked in their documents; examples that many owners hold stay where they do not look live."""
     ship_package(spark)
     return secrets.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

@@ -131,8 +131,9 @@ def scan(docs: DataFrame, owner: str = "source", repo: tuple[str, ...] = ("sourc
 
 
 def mask(docs: DataFrame, owner: str = "source", repo: tuple[str, ...] = ("source", "lang"), few: int = 1, many: int = 3, text_col: str = "text", put: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each reported span of ``text_col`` replaced by ``put``; what at least ``many``
-    owners hold is a copied example and stays. Spans that touch or overlap are replaced once.
+    """``docs`` with each reported span of ``text_col`` replaced by ``put``; a base span that at
+    least ``many`` owners hold is a copied example and stays, unless it looks live: a key that
+    was copied is a key still. Spans that touch or overlap are replaced once.
     Rows without candidates pass unchanged, and are not moved."""
     kept = docs.columns
     key = F.xxhash64(text_col, F.length(text_col))
@@ -142,7 +143,8 @@ def mask(docs: DataFrame, owner: str = "source", repo: tuple[str, ...] = ("sourc
     each = texts.select("owner", "repo", F.explode("spans").alias("s")).select("owner", "repo", "s.*")
     known = stored(ownership(each).withColumn("copied", F.col("n_owners") >= many).withColumn("single", F.col("n_owners") <= few), "ownership")
     spans = texts.dropDuplicates(["rid"]).select("rid", F.explode("spans").alias("s")).select("rid", "s.*").join(known, "hash")
-    spans = spans.filter(~F.col("copied") & ((F.col("kind") < BASE_RULES) | (F.col("single") & F.col("live"))))
+    base, own = F.col("kind") < BASE_RULES, F.col("single") & ~F.col("copied")
+    spans = spans.filter((base & ~(F.col("copied") & ~F.col("live"))) | (own & F.col("live")))
     spans = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_llm_cut"))
     joined = some.join(spans.withColumnRenamed("rid", "_llm_key"), "_llm_key", "left")
 
