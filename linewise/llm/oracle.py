@@ -73,3 +73,39 @@ WITH docs AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') A
     count(*) FILTER (is_live) AS n_live, count(*) FILTER (copied) AS n_copied FROM judged GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM docs LEFT JOIN sums USING (doc_id)"""
+
+#: For pages whose article is marked and holds only the references named here (as the driver's do); the query itself reads any page.
+ORACLE["op12_html_extraction"] = r"""
+WITH articles AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS a FROM pages),
+  plain AS (SELECT page_id, url, regexp_replace(regexp_replace(a, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS a FROM articles),
+  decoded AS (SELECT page_id, url, regexp_replace(replace(replace(regexp_replace(a, '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS a FROM plain),
+  joined AS (SELECT page_id, url, trim(regexp_replace(a, '\s+', ' ', 'g')) AS text FROM decoded)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined"""
+
+
+def _lloyd(parts: int, entries: int, rounds: int) -> str:
+    """Every part against every entry, round by round."""
+    steps = [
+        "kept AS (SELECT vec_id, label, embedding AS v, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings"
+        " WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"cut AS (SELECT vec_id, label, r, len(v) // {parts} AS d, list_transform(v, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM kept)",
+        f"p AS MATERIALIZED (SELECT vec_id, label, r, k, v[k * d + 1 : k * d + d] AS x FROM cut, range({parts}) t(k))",
+        f"book0 AS MATERIALIZED (SELECT k, r - 1 AS e, x FROM p WHERE r <= {entries})",
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"near{n} AS MATERIALIZED (SELECT vec_id, k, min(dist * {entries} + e) AS best FROM (SELECT p.vec_id, p.k, e, "
+            f"list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS dist FROM p JOIN book{n} b USING (k)) GROUP BY 1, 2)"
+        )
+        if n < rounds:
+            steps.append(
+                f"sums{n} AS (SELECT k, e, list(m ORDER BY i) AS x FROM (SELECT k, e, i, floor(sum(x[i]) / count(*)::DOUBLE)::BIGINT AS m "
+                f"FROM (SELECT p.k, best % {entries} AS e, x, unnest(range(1, len(x) + 1)) AS i FROM p JOIN near{n} USING (vec_id, k)) GROUP BY k, e, i) GROUP BY k, e)"
+            )
+            steps.append(f"book{n + 1} AS MATERIALIZED (SELECT b.k, b.e, coalesce(s.x, b.x) AS x FROM book{n} b LEFT JOIN sums{n} s USING (k, e))")
+    steps.append(f"coded AS (SELECT vec_id, string_agg(printf('%02x', (best % {entries})::INT), '' ORDER BY k) AS code, sum(best // {entries})::BIGINT AS error FROM near{rounds} GROUP BY vec_id)")
+    steps.append(f"sha AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY k, e)) AS s FROM book{rounds})")
+    return "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, s AS codebooks_sha256 FROM coded JOIN cut USING (vec_id), sha"
+
+
+ORACLE["op13_vector_code_compression"] = _lloyd(4, 256, 4)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import chat, decontaminate, idfiles, nearcopies, packing, quality, secrets, suffixes, unigram, urltree
+from linewise.llm import chat, decontaminate, dualtree, idfiles, maintext, nearcopies, packing, periods, quality, secrets, suffixes, unigram, urltree
 from linewise.llm.oracle import ORACLE as ORACLE
 from linewise.llm.stored import shared_path, stored
 from linewise.llm.wordids import default_tokenizer
@@ -67,4 +67,22 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents")).drop("base")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_url_filters, op5_token_counts, op6_chat_formatting, op7_token_id_files, op8_best_fit_packing, op9_quality_rules, op10_secret_scans)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.periodic_runs(periods.planted(_table(spark, sf_dir, "documents")), least=24, times=3))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.compress(_table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_benchmark_decontamination, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_url_filters, op5_token_counts, op6_chat_formatting, op7_token_id_files,
+        op8_best_fit_packing, op9_quality_rules, op10_secret_scans, op11_periodic_runs, op12_html_extraction, op13_vector_code_compression,
+    )
+}
