@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import by_position, running_last
-from .scopes import ancestor_probes
+from .scopes import inherited, latest_before
 
 FIELDS = (
     "partner_id",
@@ -68,12 +68,10 @@ def inherited_context(
 ) -> DataFrame:
     """The context each scope starts with: for every field the latest set in its
     parent before it opened, else in the grandparent before the parent opened, and so
-    on. An as-of lookup on each ancestor's own timeline; no scope is paired with the
-    sets of an ancestor."""
+    on. One as-of lookup per scope on its parent's timeline; what a parent lacks comes by
+    pointer jumping, so a chain of scopes costs a row per scope and round."""
     values = _set_values(fields)
     events = sets.select(F.col("scope_id"), F.col("seq"), *[c.alias(f) for f, c in values.items()])
-    found = ancestor_probes(scopes, events, list(fields), at="cut_seq", chunk=chunk)
-    nearest = found.groupBy("scope_id").agg(
-        *[F.min_by(f, F.when(F.col(f).isNotNull(), F.col("depth"))).alias(f) for f in fields]
-    )
-    return scopes.select("scope_id").join(nearest, "scope_id", "left").withColumns({f: F.col(f)["v"] for f in fields})
+    own = latest_before(scopes.select("scope_id", "parent_id", "open_seq"), "parent_id", "open_seq", events, list(fields), chunk)
+    found = inherited(scopes, own.select("scope_id", *fields), list(fields))
+    return found.select("scope_id", *[F.col(f)["v"].alias(f) for f in fields])

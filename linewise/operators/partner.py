@@ -90,23 +90,3 @@ def secret_forms(apps: DataFrame) -> DataFrame:
     keys = apps.select("tenant_id", F.explode(forms).alias("form", "secret"))
     tokens = apps.select("tenant_id", F.lit("token").alias("form"), F.col("tenant_token").alias("secret"))
     return keys.unionByName(tokens).filter(F.col("secret") != "").distinct()
-
-
-def leak_scan(lines: DataFrame, secrets: DataFrame, line_id: str = "line_id", gram: int = 8) -> DataFrame:
-    """(line_id, tenant_id, form) for every line holding a secret of its tenant.
-
-    "Contains" alone is a nested loop of all lines and all secrets. A secret of at least
-    ``gram`` characters gives its last ones (secrets of a kind often start alike), a line its
-    distinct substrings of that length, which travel with the line's id and not with its text;
-    an equi-join finds the pairs worth checking. Shorter secrets meet their tenant's lines.
-    Every pair is then checked in full, so nothing is missed or invented. Lines need ids of
-    their own."""
-    texts = lines.select(F.col(line_id).alias("_line"), F.col("tenant_id").alias("_tenant"), F.col("line").alias("_text"))
-    known = secrets.select(F.col("tenant_id").alias("_tenant"), "form", "secret")
-    long = F.char_length("secret") >= gram
-    found = F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{gram}}}))"), 1)
-    grams = texts.select("_tenant", "_line", F.explode(F.array_distinct(found)).alias("_gram"))
-    ends = known.filter(long).withColumn("_gram", F.right("secret", F.lit(gram)))
-    near = grams.join(ends, ["_tenant", "_gram"]).select("_tenant", "_line", "form", "secret")
-    hits = near.join(texts, ["_tenant", "_line"]).unionByName(texts.join(known.filter(~long), "_tenant"))
-    return hits.filter(F.contains("_text", "secret")).select(F.col("_line").alias(line_id), F.col("_tenant").alias("tenant_id"), "form").distinct()

@@ -12,19 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .ordered import by_position, running_last, running_sum
-
-# scopes with more responses than this are looked up on their timeline instead of in
-# an array; every scope is handled exactly one of the two ways
-ARRAY_RESPONSES = 64
+from .ordered import by_position, running_last
 
 
 def ancestors(scopes: DataFrame) -> DataFrame:
     """(scope_id, ancestor_id, depth, cut_seq): every ancestor of every scope, and the
-    open time of the scope just below it on the way.
+    open time of the scope just below it on the way. For those who want the pairs
+    themselves; no operator needs them.
 
     Paths double in length each round, so a tree of depth d takes log2(d) joins; each
     round is written to the checkpoint folder."""
+    jumps(scopes)  # a cycle has no end of pairs
     known = cut_lineage(
         scopes.filter(F.col("parent_id").isNotNull()).select(
             "scope_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth"), F.col("open_seq").alias("cut_seq")
@@ -45,111 +43,107 @@ def ancestors(scopes: DataFrame) -> DataFrame:
         reach *= 2
 
 
-def ancestor_probes(
-    scopes: DataFrame, events: DataFrame, values: list[str], at: str, chunk: Column | None = None,
-    closure: DataFrame | None = None,
+def _check_cycles(level: DataFrame, reach: int, n: int) -> None:
+    """A scope with a pointer longer than there are scopes is on a cycle of parents, or below one."""
+    if reach > n:
+        names = sorted(str(r[0]) for r in level.filter(F.col("up").isNotNull()).select("scope_id").limit(10).collect())
+        raise ValueError(f"scopes on or below a cycle of parents: {', '.join(names)}")
+
+
+def jumps(scopes: DataFrame, first_events: DataFrame | None = None) -> list[DataFrame]:
+    """Jump pointers (scope_id, up, least): at level k ``up`` is the 2^k-th ancestor, and
+    ``least`` the earliest first event among the ancestors on the way, the root aside. One
+    row per scope and level; log2(depth) joins. ``first_events`` has scope_id and ``q``.
+
+    A cycle of parents is an error that names the scopes concerned."""
+    parents = scopes.select("scope_id", F.col("parent_id").alias("up"))
+    if first_events is None:
+        level = parents.withColumn("least", F.lit(None).cast("bigint"))
+    else:
+        below_root = first_events.join(scopes.filter(F.col("parent_id").isNotNull()).select("scope_id"), "scope_id", "left_semi")
+        level = parents.join(below_root.select(F.col("scope_id").alias("up"), F.col("q").alias("least")), "up", "left").select("scope_id", "up", "least")
+    level = cut_lineage(level)
+    n, levels = level.count(), [level]
+    while not level.filter(F.col("up").isNotNull()).isEmpty():
+        _check_cycles(level, 1 << (len(levels) - 1), n)
+        above = level.select(F.col("scope_id").alias("up"), F.col("up").alias("_up"), F.col("least").alias("_least"))
+        level = cut_lineage(level.join(above, "up", "left").select("scope_id", F.col("_up").alias("up"), F.least("least", "_least").alias("least")))
+        levels.append(level)
+    return levels
+
+
+def nearest_above(rows: DataFrame, levels: list[DataFrame], scope: str, before: str, out: str) -> DataFrame:
+    """Adds ``out``: the nearest ancestor of ``scope`` that had an event before ``before``.
+    From the longest jump down, a jump is taken when nothing on its way qualifies; the
+    next ancestor is then the one looked for. One join per level, one row per row."""
+    rows = rows.withColumn("_at_scope", F.col(scope))
+    for level in reversed(levels):
+        step = level.select(F.col("scope_id").alias("_at_scope"), "up", "least")
+        passes = F.coalesce(F.col("least") >= F.col(before), F.lit(True))
+        rows = rows.join(step, "_at_scope", "left").withColumn("_at_scope", F.when(passes, F.col("up")).otherwise(F.col("_at_scope"))).drop("up", "least")
+    last = levels[0].select(F.col("scope_id").alias("_at_scope"), F.col("up").alias("_found"), F.col("least").alias("_when"))
+    found = F.when(F.col("_when") < F.col(before), F.col("_found"))
+    return rows.join(last, "_at_scope", "left").withColumn(out, found).drop("_at_scope", "_found", "_when")
+
+
+def latest_before(
+    rows: DataFrame, line: str, at: str, events: DataFrame, values: list[str], chunk: Column | None = None, later: bool = False
 ) -> DataFrame:
-    """For every (scope, ancestor) the ancestor's latest non-null ``values`` before
-    ``at``. Probes and events lie on one timeline per ancestor and are filled forward
-    chunk by chunk. ``events`` has scope_id, seq and the values."""
-    paths = closure if closure is not None else ancestors(scopes)
+    """Adds the latest non-null ``values`` of the events of scope ``line`` before ``at``; with
+    ``later`` the first ones after it. Rows and events lie on one timeline per scope that is
+    filled chunk by chunk. ``events`` has scope_id, seq and the values."""
     kinds = {f.name: f.dataType for f in events.schema.fields}
-    probes = paths.select(
-        F.col("ancestor_id").alias("_line"),
-        F.col(at).alias("seq"),
-        F.lit(0).alias("_event"),
-        "scope_id",
-        "depth",
+    columns = rows.columns
+    probes = rows.select(
+        F.col(line).alias("_line"), F.col(at).alias("seq"), F.lit(0).alias("_event"), F.struct(*columns).alias("_row"),
         *[F.lit(None).cast(kinds[v]).alias(f"_v_{v}") for v in values],
     )
     marks = events.select(
-        F.col("scope_id").alias("_line"),
-        "seq",
-        F.lit(1).alias("_event"),
-        F.lit(None).cast(kinds["scope_id"]).alias("scope_id"),
-        F.lit(None).cast("int").alias("depth"),
+        F.col("scope_id").alias("_line"), "seq", F.lit(1).alias("_event"), F.lit(None).cast(probes.schema["_row"].dataType).alias("_row"),
         *[F.col(v).alias(f"_v_{v}") for v in values],
     )
+    chunk = chunk if chunk is not None else by_position("seq")
+    timeline = probes.unionByName(marks).withColumn("_time", -F.col("seq") if later else F.col("seq"))
     filled = running_last(
-        probes.unionByName(marks),
+        timeline,
         ["_line"],
-        ["seq", "_event"],  # a probe comes before an event at the same time
-        chunk if chunk is not None else by_position("seq"),
+        ["_time", "_event"],  # an event at the same time is neither before nor after
+        -chunk if later else chunk,
         {v: F.col(f"_v_{v}") for v in values},
         before=True,
     )
-    return filled.filter(F.col("_event") == 0).select("scope_id", F.col("_line").alias("ancestor_id"), "depth", *values)
+    return filled.filter(F.col("_event") == 0).select("_row.*", *values)
+
+
+def _first_events(scope_events: DataFrame) -> DataFrame:
+    return scope_events.groupBy("scope_id").agg(F.min("seq").alias("q"))
 
 
 def host_of_scope(
-    scopes: DataFrame, scope_events: DataFrame, chunk: Column | None = None, closure: DataFrame | None = None
+    scopes: DataFrame, scope_events: DataFrame, chunk: Column | None = None, levels: list[DataFrame] | None = None
 ) -> DataFrame:
     """(scope_id, host_id): the nearest ancestor that was a request when the scope
     opened, if it was between its request and its response then; else null."""
-    paths = closure if closure is not None else ancestors(scopes)
-    opened = paths.join(scopes.select("scope_id", "open_seq"), "scope_id")
-    below_root = scope_events.join(scopes.filter(F.col("parent_id").isNotNull()).select("scope_id"), "scope_id", "left_semi")
-    states = below_root.select("scope_id", "seq", (F.col("kind") == "request").alias("mid"))
-    seen = ancestor_probes(scopes, states, ["mid"], at="open_seq", chunk=chunk, closure=opened)
-    nearest = (
-        seen.filter(F.col("mid").isNotNull())
-        .groupBy("scope_id")
-        .agg(F.min_by(F.struct("ancestor_id", "mid"), "depth").alias("_r"))
-        .select("scope_id", F.when(F.col("_r.mid"), F.col("_r.ancestor_id")).alias("host_id"))
-    )
-    return scopes.select("scope_id").join(nearest, "scope_id", "left")
-
-
-def _facts(scopes: DataFrame, scope_events: DataFrame, closure: DataFrame, hosts: DataFrame) -> DataFrame:
-    """One row per scope: what deciding a call's way needs."""
-    first = scope_events.groupBy("scope_id").agg(
-        F.min("seq").alias("request_seq"), F.count_if(F.col("kind") == "response").alias("n_responses")
-    )
-    few = first.filter(F.col("n_responses") <= ARRAY_RESPONSES).select("scope_id")
-    arrays = (
-        scope_events.filter(F.col("kind") == "response")
-        .join(few, "scope_id", "left_semi")
-        .groupBy("scope_id")
-        .agg(F.collect_list("seq").alias("responses"))  # at most ARRAY_RESPONSES long
-    )
-    requests = first.select(F.col("scope_id").alias("ancestor_id"), F.col("request_seq").alias("_q"))
-    roots = scopes.filter(F.col("parent_id").isNull()).select(F.col("scope_id").alias("ancestor_id"))
-    above = (
-        closure.join(roots, "ancestor_id", "left_anti")
-        .join(requests, "ancestor_id")
-        .groupBy("scope_id")
-        .agg(F.array_sort(F.collect_list(F.struct("depth", F.col("_q").alias("q"), "ancestor_id"))).alias("above"))
-    )  # at most as long as the scope is deep
-    return (
-        scopes.select("scope_id", "end_seq", F.col("parent_id").isNull().alias("is_root"))
-        .join(first, "scope_id", "left")
-        .join(arrays, "scope_id", "left")
-        .join(above, "scope_id", "left")
-        .join(hosts, "scope_id", "left")
-    )
-
-
-def next_response(rows: DataFrame, scope: str, after: str, scope_events: DataFrame, chunk: Column | None = None) -> DataFrame:
-    """Adds ``_next``: the first response of ``scope`` later than ``after``, found by
-    counting the responses up to then on the scope's timeline."""
-    answers = scope_events.filter(F.col("kind") == "response")
-    numbered = running_sum(
-        answers.select("scope_id", "seq"), ["scope_id"], ["seq"], chunk if chunk is not None else by_position("seq"),
-        {"_no": F.lit(1)}, before=False,
-    ).select(F.col("scope_id").alias("_line"), F.col("seq").alias("_next"), F.col("_no"))
-    columns = rows.columns
-    probe = rows.select(F.col(scope).alias("_line"), F.col(after).alias("seq"), F.lit(0).alias("_one"), F.struct(*columns).alias("_row"))
-    marks = answers.select(
-        F.col("scope_id").alias("_line"), "seq", F.lit(1).alias("_one"), F.lit(None).cast(probe.schema["_row"].dataType).alias("_row")
-    )
-    # a response at exactly ``after`` counts as passed, so it sorts before the probe
-    timeline = probe.unionByName(marks).withColumn("_tie", 1 - F.col("_one"))
-    placed = running_sum(
-        timeline, ["_line"], ["seq", "_tie"], chunk if chunk is not None else by_position("seq"),
-        {"_before": F.col("_one")}, before=False,
-    )
-    placed = placed.filter(F.col("_one") == 0).withColumn("_no", F.col("_before") + 1)
-    return placed.join(numbered, ["_line", "_no"], "left").select("_row.*", "_next")
+    levels = levels if levels is not None else jumps(scopes, _first_events(scope_events))
+    near = nearest_above(scopes.select("scope_id", "open_seq"), levels, "scope_id", "open_seq", "_near")
+    states = scope_events.select("scope_id", "seq", (F.col("kind") == "request").alias("_mid"))
+    seen = latest_before(near, "_near", "open_seq", states, ["_mid"], chunk)
+    return seen.select("scope_id", F.when(F.col("_mid"), F.col("_near")).alias("host_id"))
+
+
+def inherited(scopes: DataFrame, own: DataFrame, values: list[str]) -> DataFrame:
+    """``own`` (scope_id, values) with every null value taken from the nearest ancestor that has
+    it. Pointers double in length each round and carry what was found on their way."""
+    level = scopes.select("scope_id", F.col("parent_id").alias("up")).join(own, "scope_id", "left").select("scope_id", "up", *values)
+    level, reach = cut_lineage(level), 1
+    n = level.count()
+    while not level.filter(F.col("up").isNotNull()).isEmpty():
+        _check_cycles(level, reach, n)
+        above = level.select(F.col("scope_id").alias("up"), F.col("up").alias("_up"), *[F.col(v).alias(f"_a_{v}") for v in values])
+        joined = level.join(above, "up", "left")
+        level = cut_lineage(joined.select("scope_id", F.col("_up").alias("up"), *[F.coalesce(v, f"_a_{v}").alias(v) for v in values]))
+        reach *= 2
+    return level.drop("up")
 
 
 def assign_calls(
@@ -162,38 +156,35 @@ def assign_calls(
     responds or ends (or to a scope between them that has become a request). ``fate`` is
     ``shipped``, ``lost`` (no line left) or ``pending`` (a scope that never answers).
     ``calls`` has scope_id and seq, the start order."""
-    closure = ancestors(scopes)
-    hosts = host_of_scope(scopes, scope_events, chunk, closure)
-    facts = cut_lineage(_facts(scopes, scope_events, closure, hosts))
-    columns = calls.columns
-    moving = calls.select(F.struct(*columns).alias("_call"), F.col("scope_id").alias("_at"), F.col("seq").alias("_tau"))
+    first = _first_events(scope_events)
+    levels = jumps(scopes, first)
+    hosts = host_of_scope(scopes, scope_events, chunk, levels)
+    facts = cut_lineage(
+        scopes.select("scope_id", "end_seq", F.col("parent_id").isNull().alias("is_root"))
+        .join(first.withColumnRenamed("q", "request_seq"), "scope_id", "left")
+        .join(hosts, "scope_id", "left")
+    )
+    answers = scope_events.filter(F.col("kind") == "response").select("scope_id", "seq", F.col("seq").alias("_next"))
+    moving = calls.select(F.struct(*calls.columns).alias("_call"), F.col("scope_id").alias("_at"), F.col("seq").alias("_tau"))
     done = None
-    while True:
-        step = cut_lineage(_hop(moving, facts, scope_events, chunk))
+    for _ in range((1 << len(levels)) + 1):  # every hop is to an ancestor
+        step = cut_lineage(_hop(moving, facts, answers, levels, chunk))
         final = step.filter(F.col("fate") != "moves").select("_call.*", "ship_scope", "ship_seq", "fate")
         done = final if done is None else done.unionByName(final)
         moving = step.filter(F.col("fate") == "moves").select("_call", "_at", "_tau")
         if moving.isEmpty():
-            return done
+            break
+    return done
 
 
-def _with_next(rows: DataFrame, scope: str, responses: str, count: str, scope_events: DataFrame, out: str, chunk) -> DataFrame:
-    """Adds the next response of a scope after ``_tau``; from the scope's short array,
-    or on its timeline when it answers often."""
-    short = F.coalesce(F.col(count), F.lit(0)) <= ARRAY_RESPONSES
-    small = rows.filter(short).withColumn(out, F.array_min(F.filter(responses, lambda r: r > F.col("_tau"))))
-    large = next_response(rows.filter(~short), scope, "_tau", scope_events, chunk).withColumnRenamed("_next", out)
-    return small.unionByName(large)
-
-
-def _hop(moving: DataFrame, facts: DataFrame, scope_events: DataFrame, chunk) -> DataFrame:
+def _hop(moving: DataFrame, facts: DataFrame, answers: DataFrame, levels: list[DataFrame], chunk: Column | None) -> DataFrame:
     own = facts.select(*[F.col(c).alias(f"x_{c}") for c in facts.columns])
-    host = facts.select(*[F.col(c).alias(f"h_{c}") for c in ("scope_id", "end_seq", "responses", "n_responses")])
+    host = facts.select(F.col("scope_id").alias("h_scope_id"), F.col("end_seq").alias("h_end_seq"))
     rows = moving.join(own, F.col("_at") == F.col("x_scope_id")).join(
         host, F.col("x_host_id") == F.col("h_scope_id"), "left"
     )
-    rows = _with_next(rows, "_at", "x_responses", "x_n_responses", scope_events, "own_next", chunk)
-    rows = _with_next(rows, "x_host_id", "h_responses", "h_n_responses", scope_events, "host_next", chunk)
+    rows = latest_before(rows, "_at", "_tau", answers, ["_next"], chunk, later=True).withColumnRenamed("_next", "own_next")
+    rows = latest_before(rows, "x_host_id", "_tau", answers, ["_next"], chunk, later=True).withColumnRenamed("_next", "host_next")
 
     tau, end, request = F.col("_tau"), F.col("x_end_seq"), F.col("x_request_seq")
     hosted = F.col("x_host_id").isNotNull()
@@ -203,27 +194,33 @@ def _hop(moving: DataFrame, facts: DataFrame, scope_events: DataFrame, chunk) ->
         pull.isNull() & request.isNotNull()
     )
     keeps = F.col("x_is_root") | ~hosted | is_request
-    ships = ~ended & keeps & F.col("own_next").isNotNull()
-    leaves_at = F.when(ended, tau).when(keeps, end).otherwise(F.least(pull, end))
-    by_pull = ~ended & ~keeps & F.coalesce(pull <= F.coalesce(end, pull), F.lit(False))
-    nearest = F.filter("x_above", lambda a: a["q"] < leaves_at)[0]["ancestor_id"]
-    target = F.when(by_pull, F.coalesce(nearest, F.col("x_host_id"))).otherwise(F.col("x_host_id"))
+    rows = rows.select(
+        "*",
+        (~ended & keeps & F.col("own_next").isNotNull()).alias("_ships"),
+        F.when(ended, tau).when(keeps, end).otherwise(F.least(pull, end)).alias("_leaves"),
+        (~ended & ~keeps & F.coalesce(pull <= F.coalesce(end, pull), F.lit(False))).alias("_pulled"),
+        ended.alias("_ended"),
+    )
+    leaves_at, pulled = F.col("_leaves"), F.col("_pulled")
+    between = nearest_above(rows.filter(pulled), levels, "_at", "_leaves", "_between")
+    rows = between.unionByName(rows.filter(~pulled), allowMissingColumns=True)
+    target = F.coalesce("_between", "x_host_id")
     # pulled by a response: arrive just before it; otherwise at the time of leaving
     arrives = F.when(
-        by_pull & F.coalesce(F.col("host_next") == leaves_at, F.lit(False)) & (target == F.col("x_host_id")), leaves_at - 1
+        pulled & F.coalesce(F.col("host_next") == leaves_at, F.lit(False)) & (target == F.col("x_host_id")), leaves_at - 1
     ).otherwise(F.greatest(tau, leaves_at))
-    moves = ~ships & hosted & leaves_at.isNotNull()
+    moves = ~F.col("_ships") & hosted & leaves_at.isNotNull()
     fate = (
-        F.when(ships, "shipped")
+        F.when(F.col("_ships"), "shipped")
         .when(moves, "moves")
-        .when(~hosted & (ended | (~F.col("x_is_root") & end.isNotNull())), "lost")
+        .when(~hosted & (F.col("_ended") | (~F.col("x_is_root") & end.isNotNull())), "lost")
         .otherwise("pending")
     )
     return rows.select(
         "_call",
         F.when(moves, target).otherwise(F.col("_at")).alias("_at"),
         F.when(moves, arrives).otherwise(tau).alias("_tau"),
-        F.when(ships, F.col("_at")).alias("ship_scope"),
-        F.when(ships, F.col("own_next")).alias("ship_seq"),
+        F.when(F.col("_ships"), F.col("_at")).alias("ship_scope"),
+        F.when(F.col("_ships"), F.col("own_next")).alias("ship_seq"),
         fate.alias("fate"),
     )

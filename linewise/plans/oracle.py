@@ -198,15 +198,38 @@ ORACLE["leak_scan"] = f"""WITH {EVENT_LINES}, secrets AS (
   SELECT DISTINCT event_id, p.tenant_id, form FROM planted p JOIN secrets s ON p.tenant_id = s.tenant_id AND contains(line, secret)"""
 SCOPES = f"""turns AS (SELECT conv_id, turn, role, 'c' || conv_id AS scope_id, (turn + conv_id % 5) * {STEP} + conv_id * 10 AS seq FROM conversations),
   scopes AS (SELECT 'c' || conv_id AS scope_id, CASE WHEN conv_id % 5 = 0 THEN 'root' ELSE 'c' || (conv_id - 1) END AS parent_id,
-      (conv_id % 5 - 1) * {STEP} + conv_id * 10 - 5 AS open_seq FROM turns GROUP BY conv_id
-    UNION ALL SELECT 'root', NULL, -{STEP} - 10),
+      (conv_id % 5 - 1) * {STEP} + conv_id * 10 - 5 AS open_seq, CASE WHEN conv_id % 2 = 0 THEN max(seq) + 7 END AS end_seq FROM turns GROUP BY conv_id
+    UNION ALL SELECT 'root', NULL, -{STEP} - 10, NULL),
   paths AS (SELECT scope_id, parent_id AS ancestor_id, 1 AS depth, open_seq AS cut_seq FROM scopes WHERE parent_id IS NOT NULL
     UNION ALL SELECT p.scope_id, s.parent_id, depth + 1, s.open_seq FROM paths p JOIN scopes s ON s.scope_id = p.ancestor_id WHERE s.parent_id IS NOT NULL)"""
-ORACLE["host_of_scope"] = f"""WITH RECURSIVE {SCOPES},
-  seen AS (SELECT p.scope_id, p.ancestor_id, p.depth, arg_max(t.role, t.seq) AS role FROM paths p JOIN scopes s ON s.scope_id = p.scope_id
+HOSTS = """seen AS (SELECT p.scope_id, p.ancestor_id, p.depth, arg_max(t.role, t.seq) AS role FROM paths p JOIN scopes s ON s.scope_id = p.scope_id
     JOIN turns t ON t.scope_id = p.ancestor_id AND t.role IN ('user', 'assistant') AND t.seq < s.open_seq GROUP BY ALL),
-  nearest AS (SELECT scope_id, arg_min(CASE WHEN role = 'user' THEN ancestor_id ELSE '' END, depth) AS host FROM seen GROUP BY scope_id)
-  SELECT s.scope_id, nullif(host, '') AS host_id FROM scopes s LEFT JOIN nearest n ON n.scope_id = s.scope_id"""
+  nearest AS (SELECT scope_id, arg_min(CASE WHEN role = 'user' THEN ancestor_id ELSE '' END, depth) AS host FROM seen GROUP BY scope_id),
+  hosts AS (SELECT s.scope_id, nullif(host, '') AS host_id FROM scopes s LEFT JOIN nearest n ON n.scope_id = s.scope_id)"""
+ORACLE["host_of_scope"] = f"WITH RECURSIVE {SCOPES}, {HOSTS} SELECT scope_id, host_id FROM hosts"
+# each call goes from scope to scope until it ships, is lost or waits for ever
+ROUTED = f"""WITH RECURSIVE {SCOPES}, {HOSTS},
+  first_event AS (SELECT scope_id, min(seq) AS q FROM turns WHERE role IN ('user', 'assistant') GROUP BY scope_id),
+  answers AS (SELECT scope_id, list(seq) AS r FROM turns WHERE role = 'assistant' GROUP BY scope_id),
+  above AS (SELECT p.scope_id, list({{'q': q, 'a': p.ancestor_id}} ORDER BY depth) AS above FROM paths p JOIN first_event f ON f.scope_id = p.ancestor_id
+    JOIN scopes s ON s.scope_id = p.ancestor_id AND s.parent_id IS NOT NULL GROUP BY p.scope_id),
+  facts AS (SELECT s.scope_id, s.end_seq, s.parent_id IS NULL AS is_root, q, own.r, above, host_id, h.end_seq AS host_end, theirs.r AS host_r
+    FROM scopes s JOIN hosts USING (scope_id) LEFT JOIN first_event f ON f.scope_id = s.scope_id LEFT JOIN answers own ON own.scope_id = s.scope_id
+    LEFT JOIN above ON above.scope_id = s.scope_id LEFT JOIN scopes h ON h.scope_id = host_id LEFT JOIN answers theirs ON theirs.scope_id = host_id),
+  hops AS (SELECT scope_id, seq + 1 AS seq, 'call-' || conv_id || '-' || turn AS name, scope_id AS at_scope, seq + 1 AS tau, 'moves' AS fate, NULL::BIGINT AS ship_seq FROM turns
+    UNION ALL SELECT scope_id, seq, name, CASE WHEN fate = 'moves' THEN target ELSE at_scope END,
+        CASE WHEN fate <> 'moves' THEN tau WHEN pulled AND host_next = leaves AND target = host_id THEN leaves - 1 ELSE greatest(tau, leaves) END, fate, CASE WHEN fate = 'shipped' THEN own_next END
+      FROM (SELECT *, CASE WHEN NOT ended AND keeps AND own_next IS NOT NULL THEN 'shipped' WHEN host_id IS NOT NULL AND leaves IS NOT NULL THEN 'moves'
+            WHEN host_id IS NULL AND (ended OR NOT is_root AND end_seq IS NOT NULL) THEN 'lost' ELSE 'pending' END AS fate,
+          CASE WHEN pulled THEN coalesce(list_filter(above, lambda x: x.q < leaves)[1].a, host_id) ELSE host_id END AS target
+        FROM (SELECT *, CASE WHEN ended THEN tau WHEN keeps THEN end_seq ELSE least(pull, end_seq) END AS leaves, NOT ended AND NOT keeps AND pull IS NOT NULL AND (end_seq IS NULL OR pull <= end_seq) AS pulled
+          FROM (SELECT *, is_root OR host_id IS NULL OR coalesce(q <= tau, false) OR coalesce(q < pull, false) OR (pull IS NULL AND q IS NOT NULL) AS keeps
+            FROM (SELECT *, least(host_next, host_end) AS pull FROM (SELECT m.* EXCLUDE (fate, ship_seq), f.* EXCLUDE (scope_id), coalesce(end_seq <= tau, false) AS ended,
+                list_min(list_filter(r, lambda x: x > tau)) AS own_next, list_min(list_filter(host_r, lambda x: x > tau)) AS host_next
+              FROM hops m JOIN facts f ON f.scope_id = m.at_scope WHERE m.fate = 'moves')))))),
+  routed AS (SELECT scope_id, seq, name, CASE WHEN fate = 'shipped' THEN at_scope END AS ship_scope, ship_seq, fate FROM hops WHERE fate <> 'moves')"""
+ORACLE["assign_scope_calls"] = f"{ROUTED} SELECT * FROM routed"
+ORACLE["orphan_calls"] = f"{ROUTED} SELECT scope_id, count(*) AS lost_calls FROM routed WHERE fate = 'lost' GROUP BY scope_id"
 ORACLE["scope_context_asof"] = f"""WITH RECURSIVE {SCOPES},
   sets AS (SELECT p.scope_id, role || '-' || turn AS partner_id, CASE WHEN turn % 2 = 1 THEN '/' || conv_id END AS path, depth, seq
     FROM paths p JOIN turns t ON t.scope_id = p.ancestor_id AND t.seq < p.cut_seq)

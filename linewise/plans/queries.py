@@ -14,7 +14,7 @@ from ..functions.jsontext import entry, object_text, present, quoted
 from ..functions.pii import Options, is_sensitive_key, key_marker, redact_column, redact_json, redact_text
 from ..functions.pii.text import native_chain
 from ..functions.text import substitute_bad_utf8
-from ..operators import batches, context, exchange, lines, metrics, ordered, partner, recover, report, scopes, trail
+from ..operators import batches, context, exchange, leaks, lines, metrics, ordered, partner, recover, report, scopes, trail
 from . import ingest, views
 from .views import NOW_SECONDS, s, table, text_of
 
@@ -297,7 +297,7 @@ def leak_scan(spark, d):
         F.when(kind == 0, F.col("app_key")).when(kind == 3, digest).when(kind == 6, F.col("tenant_token")).when(kind == 9, F.base64(F.unhex(digest))).otherwise("")
     )
     texts = rows.select("event_id", "tenant_id", F.concat("line", planted, F.lit(".")).alias("line"))
-    return partner.leak_scan(texts, partner.secret_forms(registry), "event_id")
+    return leaks.leak_scan(texts, partner.secret_forms(registry), "event_id")
 
 
 @query

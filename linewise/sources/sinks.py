@@ -1,7 +1,7 @@
 """Lines, export records and push batches as files.
 
 Nothing written here holds an app key or a tenant token: rows are named by the partner
-reference (``operators.partner.leak_scan`` checks it).
+reference (``operators.leaks.leak_scan`` checks it).
 """
 
 from __future__ import annotations

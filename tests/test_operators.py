@@ -11,7 +11,8 @@ from linewise.operators import batches, exchange, metrics, recover, report, trai
 from linewise.operators.greedy import greedy_runs
 from linewise.operators.lines import compose_lines, parse_lines, request_lines, response_lines, validate_calls
 from linewise.wire import ENVELOPE_PREFIX
-from linewise.operators.partner import leak_scan, matched_lines, resolve_partner, secret_forms, unmatched_lines
+from linewise.operators.leaks import leak_scan
+from linewise.operators.partner import matched_lines, resolve_partner, secret_forms, unmatched_lines
 
 
 def plain_runs(rows, span, weight):

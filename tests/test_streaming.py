@@ -9,7 +9,8 @@ from linewise.functions.jsontext import ascii_length
 from linewise.functions.calls import call_json
 from linewise.operators import recover, report, trail
 from linewise.operators.lines import compose_lines, parse_lines
-from linewise.operators.partner import leak_scan, secret_forms
+from linewise.operators.leaks import leak_scan
+from linewise.operators.partner import secret_forms
 from linewise.sources.files import read_line_files, stream_line_files
 from linewise.sources.sinks import stream_to, write_export_records, write_lines, write_push_batches
 from linewise.streaming.lines import stream_dedupe, stream_lines, stream_pair
