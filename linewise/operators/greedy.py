@@ -16,7 +16,7 @@ task sees of a group), and then every chunk cuts its own rows.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,40 +30,117 @@ _FREE = -(1 << 62)  # no run is open at the edge
 _KEPT = -1  # the open run is still the open one at the end
 
 
-def _following(pos: np.ndarray, weight: np.ndarray, max_span: int, max_weight: int) -> np.ndarray:
+def _following(pos: np.ndarray, weight: np.ndarray, max_span: int, max_weight: int, reaching: bool) -> np.ndarray:
     """For each row the index of the row that starts the next run."""
     total = np.concatenate(([0], np.cumsum(weight)))
     by_span = np.searchsorted(pos, pos + max_span, side="left")
-    by_weight = np.searchsorted(total, total[:-1] + max_weight, side="right") - 1
+    if reaching:
+        by_weight = np.searchsorted(total, total[:-1] + max_weight, side="left")
+    else:
+        by_weight = np.searchsorted(total, total[:-1] + max_weight, side="right") - 1
     return np.maximum(np.minimum(by_span, by_weight), np.arange(len(pos)) + 1)
 
 
-def _edge_table(pos, weight, edge, max_span, max_weight):
+def _jumps(step: np.ndarray) -> list[np.ndarray]:
+    """The starts 1, 2, 4, ... runs on, of every row and of the end (which stays the end)."""
+    n = len(step)
+    tables = [np.append(np.minimum(step, n), n)]
+    while tables[-1][:-1].min(initial=n) < n:
+        tables.append(tables[-1][tables[-1]])
+    return tables
+
+
+def _last_starts(jumps: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From each of ``rows`` the last start before the end, and how many runs on it is."""
+    n, runs = len(jumps[0]) - 1, np.zeros(len(rows), np.int64)
+    for k in range(len(jumps) - 1, -1, -1):
+        on = jumps[k][rows]
+        inside = on < n
+        rows, runs = np.where(inside, on, rows), runs + (inside << k)
+    return rows, runs
+
+
+def _starts_from(jumps: list[np.ndarray], at: int) -> np.ndarray:
+    """All starts from ``at`` on: their number doubles with each table."""
+    n, found = len(jumps[0]) - 1, np.array([at], np.int64)
+    for table in jumps:
+        found = np.concatenate((found, table[found]))
+        if found[-1] == n:
+            break
+    return found[found < n]
+
+
+def _edge_table(pos, weight, edge, max_span, max_weight, reaching):
     """Where runs stand at the end of the rows, for every run that may be open at
     ``edge``: (starts, ends, runs) and the same for no open run, (end, runs).
 
     A later start never ends earlier, so starts with one outcome are neighbours and only
     the first of each such stretch is kept: a few values per chunk."""
-    step = _following(pos, weight, max_span, max_weight)
+    step = _following(pos, weight, max_span, max_weight, reaching)
     n, first = len(pos), int(np.searchsorted(pos, edge, side="left"))
-    last, runs = np.arange(n), np.zeros(n, dtype=np.int64)
-    for i in range(n - 1, -1, -1):
-        if step[i] < n:
-            last[i], runs[i] = last[step[i]], runs[step[i]] + 1
-    table = []
-    for i in range(first):
-        if step[i] >= first:  # otherwise another run starts before the edge
-            outcome = (int(pos[last[i]]) if last[i] >= first else None, int(runs[i]))
-            if not table or table[-1][1:] != outcome:
-                table.append((int(pos[i]), *outcome))
-    free = (int(pos[last[first]]), int(runs[first]) + 1) if first < n else (None, 0)
-    return table, free
+    jumps = _jumps(step)
+    open_ = np.flatnonzero(step[:first] >= first)  # otherwise another run starts before the edge
+    last, runs = _last_starts(jumps, open_)
+    ends = np.where(last >= first, pos[np.minimum(last, n - 1)] if n else last, _KEPT)
+    fresh = np.append(True, (np.diff(ends) != 0) | (np.diff(runs) != 0))[: len(open_)]
+    table = list(zip(pos[open_][fresh].tolist(), ends[fresh].tolist(), runs[fresh].tolist()))
+    if first == n:
+        return table, (_KEPT, 0)
+    last, runs = _last_starts(jumps, np.array([first]))
+    return table, (int(pos[last[0]]), int(runs[0]) + 1)
+
+
+def _each_group(frames: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each group of sorted rows; many small groups cost slices, not frames."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def whole() -> dict[str, np.ndarray]:
+        return held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+    for frame in frames:
+        if frame.empty:
+            continue
+        columns = {c: frame[c].to_numpy() for c in frame.columns}
+        change = np.zeros(len(frame) - 1, dtype=bool)
+        for k in keys:
+            change |= (columns[k][1:] != columns[k][:-1]).astype(bool)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(frame)]
+        for a, b in zip(cuts, cuts[1:]):
+            part = {c: v[a:b] for c, v in columns.items()}
+            if held and (a or any(part[k][0] != held[-1][k][0] for k in keys)):
+                yield whole()
+                held = []
+            held.append(part)
+    if held:
+        yield whole()
+
+
+def _batched(groups: Iterator[dict[str, np.ndarray]], rows: int = 20_000) -> Iterator[list[dict[str, np.ndarray]]]:
+    some, size = [], 0
+    for group in groups:
+        some.append(group)
+        size += len(group["_pos"])
+        if size >= rows:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _full(rows: list, schema: T.StructType, least: int = 5_000) -> Iterator[pd.DataFrame]:
+    """``rows`` as a frame, and none left, once they are so many."""
+    if len(rows) >= least:
+        yield pd.DataFrame(rows, columns=[f.name for f in schema.fields], dtype=object)
+        rows.clear()
 
 
 def greedy_runs(
-    df: DataFrame, keys: Sequence[str], pos: str, weight: str | None, max_span: int, max_weight: int | None, chunk_span: int
+    df: DataFrame, keys: Sequence[str], pos: str, weight: str | None, max_span: int, max_weight: int | None, chunk_span: int,
+    reaching: bool = False,
 ) -> DataFrame:
-    """(keys, pos, run_no, run_start) for every row; run_no counts from 0 in each group.
+    """(keys, pos, run_no, run_start) for every row; run_no counts from 0 in each group. With
+    ``reaching`` a run ends after the row that brings its weight to ``max_weight``, not before
+    the one that would take it beyond.
 
     ``pos`` is a non-negative integer, unique and never null with its keys. Only keys, positions and
     weights travel; the caller joins the result back or groups by it."""
@@ -77,7 +154,7 @@ def greedy_runs(
     # most groups are one run; that takes only their totals
     totals = slim.groupBy(*names).agg(F.min("_pos").alias("_first"), F.max("_pos").alias("_lastpos"), F.sum("_w").alias("_sum"))
     sized = slim.join(totals, names)
-    alone = (F.col("_lastpos") - F.col("_first") < max_span) & (F.col("_sum") <= limit)
+    alone = (F.col("_lastpos") - F.col("_first") < max_span) & ((F.col("_sum") < limit) if reaching else (F.col("_sum") <= limit))
     whole = sized.filter(alone).select(
         *names, F.col("_pos").alias(pos), F.lit(0).cast("bigint").alias("run_no"), F.col("_first").alias("run_start")
     )
@@ -93,69 +170,70 @@ def greedy_runs(
          T.StructField("_runs", longs), T.StructField("_free_end", T.LongType()), T.StructField("_free_runs", T.LongType())]
     )
 
-    def tabulate(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_pos")
-        table, free = _edge_table(
-            rows["_pos"].to_numpy(np.int64), rows["_w"].to_numpy(np.int64), int(key[-1]) * span, max_span, limit
-        )
-        starts, ends, counts = [list(c) for c in zip(*table)] if table else ([], [], [])
-        ends = [_KEPT if e is None else e for e in ends]
-        row = [*key, starts, ends, counts, _KEPT if free[0] is None else free[0], free[1]]
-        return pd.DataFrame([row], columns=[f.name for f in group_schema.fields], dtype=object)
+    chunk_keys = [*names, "_chunk"]
+
+    def tabulate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
+        for group in _each_group(frames, chunk_keys):
+            table, free = _edge_table(group["_pos"], group["_w"], int(group["_chunk"][0]) * span, max_span, limit, reaching)
+            starts, ends, counts = [list(c) for c in zip(*table)] if table else ([], [], [])
+            rows.append([*(group[k][0] for k in chunk_keys), starts, ends, counts, *free])
+            yield from _full(rows, group_schema)
+        yield from _full(rows, group_schema, 1)
+
+    def in_groups(df: DataFrame, by: list[str], *then: str) -> DataFrame:
+        return df.repartition(*by).sortWithinPartitions(*by, *then)
 
-    tables = spread.groupBy(*names, "_chunk").applyInPandas(tabulate, group_schema)
+    tables = in_groups(spread, chunk_keys, "_pos").mapInPandas(tabulate, group_schema)
 
     entry_schema = T.StructType(
         [*key_fields, T.StructField("_chunk", T.LongType()), T.StructField("_entry", T.LongType()),
          T.StructField("_run", T.LongType())]
     )
 
-    def follow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out, open_start, run = [], _FREE, 0
-        for row in rows.sort_values("_chunk").itertuples(index=False, name=None):
-            chunk, starts, ends, counts, free_end, free_runs = row[len(names):]
-            if open_start + max_span <= chunk * span:
-                open_start = _FREE
-            out.append([*key, chunk, open_start, run])
-            if open_start == _FREE:
-                end, more = free_end, free_runs
-            else:
-                at = bisect_right(starts, open_start) - 1
-                end, more = ends[at], counts[at]
-            open_start, run = (open_start if end == _KEPT else int(end)), run + int(more)
-        return pd.DataFrame(out, columns=[f.name for f in entry_schema.fields], dtype=object)
-
-    entries = tables.groupBy(*names).applyInPandas(follow, entry_schema)
+    def follow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, last, open_start, run = [], None, _FREE, 0
+        for frame in frames:
+            for row in frame.itertuples(index=False, name=None):
+                key, (chunk, starts, ends, counts, free_end, free_runs) = row[: len(names)], row[len(names) :]
+                if key != last:
+                    last, open_start, run = key, _FREE, 0
+                if open_start + max_span <= chunk * span:
+                    open_start = _FREE
+                out.append([*key, chunk, open_start, run])
+                if open_start == _FREE:
+                    end, more = free_end, free_runs
+                else:
+                    at = bisect_right(starts, open_start) - 1
+                    end, more = ends[at], counts[at]
+                open_start, run = (open_start if end == _KEPT else int(end)), run + int(more)
+            yield from _full(out, entry_schema)
+        yield from _full(out, entry_schema, 1)
+
+    entries = in_groups(tables, names, "_chunk").mapInPandas(follow, entry_schema)
 
     run_schema = T.StructType(
         [*key_fields, T.StructField("_pos", T.LongType()), T.StructField("run_no", T.LongType()),
          T.StructField("run_start", T.LongType())]
     )
 
-    def cut(key: tuple, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        names_out = [f.name for f in run_schema.fields]
-        if rows.empty or entry.empty:
-            return pd.DataFrame(columns=names_out, dtype=object)
-        rows = rows.sort_values("_pos")
-        positions = rows["_pos"].to_numpy(np.int64)
-        step = _following(positions, rows["_w"].to_numpy(np.int64), max_span, limit)
-        first = int(np.searchsorted(positions, int(key[-1]) * span, side="left"))
-        open_start, run = int(entry["_entry"].iloc[0]), int(entry["_run"].iloc[0])
-        n = len(positions)
-        starts = np.zeros(n - first, dtype=np.int64)
-        numbers = np.zeros(n - first, dtype=np.int64)
-        if open_start == _FREE:
-            at, number, began = first, run, None
-        else:
-            began = int(np.searchsorted(positions, open_start))
-            at, number = int(step[began]), run
-            starts[: at - first], numbers[: at - first] = open_start, run - 1
-        while at < n:
-            until = min(int(step[at]), n)
-            starts[at - first : until - first], numbers[at - first : until - first] = positions[at], number
-            at, number = until, number + 1
-        out = {k: pd.Series([key[i]] * (n - first), dtype=object) for i, k in enumerate(names)}
-        return pd.DataFrame({**out, "_pos": positions[first:], "run_no": numbers, "run_start": starts}, columns=names_out)
-
-    cuts = spread.groupBy(*names, "_chunk").cogroup(entries.groupBy(*names, "_chunk")).applyInPandas(cut, run_schema)
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in _batched(_each_group(frames, chunk_keys)):
+            parts: dict[str, list] = {f.name: [] for f in run_schema.fields}
+            for group in some:
+                positions = group["_pos"]
+                step, n = _following(positions, group["_w"], max_span, limit, reaching), len(positions)
+                first = int(np.searchsorted(positions, int(group["_chunk"][0]) * span, side="left"))
+                open_start, run = int(group["_entry"][0]), int(group["_run"][0])
+                at = first if open_start == _FREE else int(step[int(np.searchsorted(positions, open_start))])
+                found = _starts_from(_jumps(step), at) if at < n else np.zeros(0, np.int64)
+                which = np.searchsorted(found, np.arange(first, n), side="right") - 1  # -1: the run open at the edge
+                starts = np.where(which < 0, open_start, positions[found[np.maximum(which, 0)]] if len(found) else open_start)
+                for k in names:
+                    parts[k].append(group[k][first:])
+                for c, values in (("_pos", positions[first:]), ("run_no", run + which), ("run_start", starts)):
+                    parts[c].append(values)
+            yield pd.DataFrame({c: np.concatenate(v) for c, v in parts.items()})
+
+    cuts = in_groups(spread.join(entries, chunk_keys), chunk_keys, "_pos").mapInPandas(cut, run_schema)
     return whole.unionByName(cuts.withColumnRenamed("_pos", pos))

@@ -15,6 +15,7 @@ from .. import wire
 from ..functions.jsontext import is_whole_line, wrapped_variant
 from ..functions.timestamps import ns_to_seconds
 from ..session import ship_package
+from .greedy import greedy_runs
 from .ordered import CHUNK, DEFAULT_CHUNK_ROWS, by_position, join_carry, local_window
 
 def read_cri(df: DataFrame, text: str = "text") -> DataFrame:
@@ -50,37 +51,63 @@ def drop_stderr(df: DataFrame) -> DataFrame:
     return df.filter(F.col("stream") == "stdout")
 
 
+def _segments(df: DataFrame, keys: list[str], order: Sequence[str], chunk: Column | None) -> DataFrame:
+    """Adds ``_start`` (rows of the group before this line's first part), ``_place`` (parts of
+    the line before this one) and ``_before`` (their bytes), with a line ending only at its last part."""
+    rows = df.withColumn(CHUNK, chunk if chunk is not None else by_position(order[0], DEFAULT_CHUNK_ROWS))
+    window = local_window(keys, order)
+    rows = rows.withColumn("_size", F.octet_length("log").cast("bigint")).withColumn("_n", F.row_number().over(window).cast("bigint"))
+    rows = rows.withColumn("_bytes", F.sum("_size").over(window.rowsBetween(W.unboundedPreceding, 0)))
+    end, end_bytes = F.when(F.col("is_last"), F.col("_n")), F.when(F.col("is_last"), F.col("_bytes"))
+    earlier_here = window.rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumns({"_end": F.max(end).over(earlier_here), "_end_bytes": F.max(end_bytes).over(earlier_here)})
+    totals = rows.groupBy(*keys, CHUNK).agg(
+        F.max("_n").alias("_rows"), F.max(end).alias("_last"), F.max("_bytes").alias("_sum"), F.max(end_bytes).alias("_last_bytes")
+    )
+    earlier = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.withColumns({"_offset": F.sum("_rows").over(earlier), "_offset_bytes": F.sum("_sum").over(earlier)})
+    carried = {
+        "_carried": F.last(F.coalesce("_offset", F.lit(0)) + F.col("_last"), ignorenulls=True).over(earlier),
+        "_carried_bytes": F.last(F.coalesce("_offset_bytes", F.lit(0)) + F.col("_last_bytes"), ignorenulls=True).over(earlier),
+    }
+    carry = offsets.withColumns(carried).filter(F.col("_offset").isNotNull())
+    joined = join_carry(rows, carry.select(*keys, CHUNK, "_offset", "_carried", "_offset_bytes", "_carried_bytes"), keys)
+    offset, offset_bytes = F.coalesce("_offset", F.lit(0)), F.coalesce("_offset_bytes", F.lit(0))
+    start = F.coalesce(offset + F.col("_end"), F.col("_carried"), F.lit(0)).cast("bigint")
+    start_bytes = F.coalesce(offset_bytes + F.col("_end_bytes"), F.col("_carried_bytes"), F.lit(0))
+    found = joined.withColumns({
+        "_start": start, "_place": offset + F.col("_n") - 1 - start, "_before": offset_bytes + F.col("_bytes") - F.col("_size") - start_bytes,
+    })
+    return found.drop(CHUNK, "_n", "_bytes", "_end", "_end_bytes", "_offset", "_carried", "_offset_bytes", "_carried_bytes")
+
+
 def part_groups(
     df: DataFrame,
     by: Sequence[str] = ("file", "stream"),
     order: Sequence[str] = ("pos",),
     chunk: Column | None = None,
     max_parts: int = wire.MAX_PARTS,
+    max_bytes: int = wire.MAX_LINE_BYTES,
 ) -> DataFrame:
     """Adds ``line_start`` (rows of the group before this line's first part) and
-    ``part_no`` (0 for a first part). A line that does not end is cut after
-    ``max_parts`` parts, and the next part starts another line."""
+    ``part_no`` (0 for a first part). A line that does not end is cut after the part that
+    makes ``max_parts`` parts or ``max_bytes`` bytes, and the next part starts another line.
+
+    The first cut of a line is seen from running sums. Where a line goes on beyond it, the
+    further cuts are greedy runs over the places and sizes of the parts from there on; these
+    rows alone are joined to them."""
     keys = list(by)
-    rows = df.withColumn(CHUNK, chunk if chunk is not None else by_position(order[0], DEFAULT_CHUNK_ROWS))
-    window = local_window(keys, order)
-    rows = rows.withColumn("_n", F.row_number().over(window).cast("bigint"))
-    end = F.when(F.col("is_last"), F.col("_n"))
-    rows = rows.withColumn("_end", F.max(end).over(window.rowsBetween(W.unboundedPreceding, -1)))
-    totals = rows.groupBy(*keys, CHUNK).agg(F.max("_n").alias("_rows"), F.max(end).alias("_last"))
-    earlier = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.sum("_rows").over(earlier))
-    carry = offsets.withColumn(
-        "_carried", F.last(F.coalesce("_offset", F.lit(0)) + F.col("_last"), ignorenulls=True).over(earlier)
-    ).filter(F.col("_offset").isNotNull())
-    joined = join_carry(rows, carry.select(*keys, CHUNK, "_offset", "_carried"), keys)
-    offset = F.coalesce("_offset", F.lit(0))
-    start = F.coalesce(offset + F.col("_end"), F.col("_carried"), F.lit(0))
-    place = offset + F.col("_n") - 1 - start
-    return (
-        joined.withColumn("line_start", (start + F.floor(place / max_parts) * max_parts).cast("bigint"))
-        .withColumn("part_no", (place % max_parts).cast("int"))
-        .drop(CHUNK, "_n", "_end", "_offset", "_carried")
+    rows = _segments(df, keys, order, chunk)
+    beyond = (F.col("_place") >= max_parts) | (F.col("_before") >= max_bytes)
+    within = rows.filter(~beyond).withColumns({"line_start": F.col("_start"), "part_no": F.col("_place").cast("int")})
+    more = rows.filter(beyond)
+    slim = more.select(*keys, F.col("_start").alias("_line"), "_place", "_size")
+    runs = greedy_runs(slim, [*keys, "_line"], "_place", "_size", max_parts, max_bytes, DEFAULT_CHUNK_ROWS, reaching=True)
+    cut = more.join(runs.select(*keys, F.col("_line").alias("_start"), "_place", "run_start"), [*keys, "_start", "_place"]).withColumns(
+        {"line_start": F.col("_start") + F.col("run_start"), "part_no": (F.col("_place") - F.col("run_start")).cast("int")}
     )
+    out = [*df.columns, "line_start", "part_no"]
+    return within.select(*out).unionByName(cut.select(*out))
 
 
 def rejoin_parts(
@@ -89,13 +116,15 @@ def rejoin_parts(
     order: Sequence[str] = ("pos",),
     chunk: Column | None = None,
     max_parts: int = wire.MAX_PARTS,
+    max_bytes: int = wire.MAX_LINE_BYTES,
 ) -> DataFrame:
-    """Split lines put together: ``by``, ``line_start``, ``line``, ``parts``.
+    """Split lines put together: ``by``, ``line_start``, ``line``, ``parts``; a line that does not
+    end is cut as ``part_groups`` says.
 
     A line of one part passes straight through; only the parts of split lines are
     shuffled once more, to a key of their own, so a long file spreads out."""
     keys = list(by)
-    parts = part_groups(df, by, order, chunk, max_parts)
+    parts = part_groups(df, by, order, chunk, max_parts, max_bytes)
     alone = (F.col("part_no") == 0) & F.col("is_last")
     single = parts.filter(alone).select(*keys, "line_start", F.col("log").alias("line"), F.lit(1).alias("parts"))
     joined = (

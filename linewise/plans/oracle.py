@@ -97,8 +97,8 @@ CLASSIFIED = f"""{BROKEN}, parsed AS (SELECT *, {WHOLE} AS whole, CASE WHEN {WHO
 # --- recover ---------------------------------------------------------------------------------------
 PIECES = f"""pieces AS (
   SELECT doc_id, file, n, k, substr(t, k * {PIECE} + 1, {PIECE}) AS piece FROM (
-    SELECT doc_id, doc_id::VARCHAR AS file, t, (length(t) + {PIECE - 1}) // {PIECE} AS n, unnest(range((length(t) + {PIECE - 1}) // {PIECE})) AS k
-    FROM (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM documents) WHERE t <> ''))"""
+    SELECT doc_id, doc_id::VARCHAR AS file, t, greatest(1, (length(t) + {PIECE - 1}) // {PIECE}) AS n, unnest(range(greatest(1, (length(t) + {PIECE - 1}) // {PIECE}))) AS k
+    FROM (SELECT doc_id, replace(coalesce(text, ''), chr(10), ' ') AS t FROM documents)))"""
 ORACLE["read_cri"] = f"""WITH {PIECES}
   SELECT file, k * 3 AS pos, 'stdout' AS stream, CASE WHEN k = n - 1 THEN 'F' ELSE 'P' END AS tag, md5(piece) AS log_md5 FROM pieces
   UNION ALL SELECT file, k * 3 + 1, 'stderr', 'P', md5('noise') FROM pieces WHERE doc_id % 3 = 0"""
@@ -108,12 +108,21 @@ ORACLE["read_docker_json"] = f"""WITH {PIECES}
 ORACLE["drop_stderr"] = f"WITH {PIECES} SELECT file, count(*) AS parts, sum(length(piece))::BIGINT AS chars FROM pieces GROUP BY file"
 _WHOLE_TEXT = f"""lines AS (
   SELECT doc_id::VARCHAR AS file, i * 64 AS line_start, least(64, n - i * 64) AS parts, substr(t, i * 64 * {PIECE} + 1, 64 * {PIECE}) AS line
-  FROM (SELECT doc_id, t, (length(t) + {PIECE - 1}) // {PIECE} AS n, unnest(range((length(t) + {64 * PIECE - 1}) // {64 * PIECE})) AS i
-    FROM (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM documents) WHERE t <> ''))"""
+  FROM (SELECT doc_id, t, greatest(1, (length(t) + {PIECE - 1}) // {PIECE}) AS n, unnest(range(greatest(1, (length(t) + {64 * PIECE - 1}) // {64 * PIECE}))) AS i
+    FROM (SELECT doc_id, replace(coalesce(text, ''), chr(10), ' ') AS t FROM documents)))"""
 ORACLE["rejoin_cri"] = ORACLE["rejoin_docker"] = (
     f"WITH {_WHOLE_TEXT} SELECT file, line_start, parts, md5(line) AS line_md5, length(line) AS chars FROM lines"
 )
 ORACLE["part_groups"] = f"WITH {PIECES} SELECT file, k * 3 AS pos, (k // 64) * 64 AS line_start, k % 64 AS part_no FROM pieces"
+# lines that end by their bytes: every piece counts as many times as the document's number says
+ORACLE["rejoin_bounded"] = f"""WITH RECURSIVE {PIECES}, sized AS (SELECT file, k, k = n - 1 AS is_last, strlen(log) AS size, log
+    FROM (SELECT *, repeat(piece, (1 + doc_id % 5)::INT) AS log FROM pieces)),
+  walk AS (SELECT file, k, k AS line_start, 1 AS parts, size, is_last OR size >= 1500 AS ends FROM sized WHERE k = 0
+    UNION ALL SELECT s.file, s.k, CASE WHEN w.ends THEN s.k ELSE w.line_start END, CASE WHEN w.ends THEN 1 ELSE w.parts + 1 END,
+      CASE WHEN w.ends THEN s.size ELSE w.size + s.size END,
+      s.is_last OR CASE WHEN w.ends THEN s.size ELSE w.size + s.size END >= 1500 OR CASE WHEN w.ends THEN 1 ELSE w.parts + 1 END >= 9
+    FROM walk w JOIN sized s ON s.file = w.file AND s.k = w.k + 1)
+  SELECT file, line_start, count(*) AS parts, md5(string_agg(log, '' ORDER BY k)) AS line_md5 FROM walk JOIN sized USING (file, k) GROUP BY file, line_start"""
 ORACLE["keep_whole_lines"] = f"WITH {BROKEN} SELECT event_id FROM broken WHERE {WHOLE}"
 ORACLE["marker_version"] = f"""WITH {CLASSIFIED} SELECT event_id FROM classified WHERE whole AND json_extract_string(j, '$.{P}line') LIKE '1.%'"""
 ORACLE["drop_overlong"] = "SELECT doc_id FROM documents WHERE strlen(text) <= 2000"
@@ -449,9 +458,23 @@ ORACLE["stream_classify"] = ORACLE["classify_lines"]
 ORACLE["stream_unique_lines"] = f"WITH {EVENT_LINES} SELECT event_id, md5(line) AS line_md5 FROM event_lines"
 ORACLE["stream_rejoin_parts"] = f"WITH {_WHOLE_TEXT} SELECT file, line_start, parts, md5(line) AS line_md5 FROM lines"
 ORACLE["stream_pair_exchanges"] = f"""SELECT partner_ref, correlation_id, method, path, status_code, duration_ms FROM ({ORACLE["pair_exchanges"]})"""
-ORACLE["stream_collect_trails"] = f"""WITH {_TRAIL} SELECT l_orderkey::VARCHAR AS exchange_id, o_orderstatus <> 'O' AS answered, n_calls, total - n_calls AS upstream_dropped
-  FROM trails JOIN orders ON o_orderkey = l_orderkey"""
-ORACLE["stream_drop_reports"] = f"""SELECT tenant_id AS logger, at_ms, reported, total FROM ({ORACLE["rate_limited_reports"]})"""
+ORACLE["stream_collect_trails"] = f"""WITH {_TRAIL},
+  times AS (SELECT o_orderkey, o_orderstatus, max(l_linenumber) FILTER (l_linenumber <> 7) * 60 AS last_call, o_orderdate FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+  latest AS (SELECT max(o_orderdate + to_seconds(CASE WHEN o_orderstatus <> 'O' THEN 3600 ELSE last_call END)) - INTERVAL 1 HOUR AS watermark FROM times)
+  SELECT l_orderkey::VARCHAR AS exchange_id, o_orderstatus <> 'O' AS answered, n_calls, total - n_calls AS upstream_dropped
+  FROM trails JOIN times ON o_orderkey = l_orderkey, latest WHERE o_orderstatus <> 'O' OR o_orderdate + to_seconds(last_call) + INTERVAL 1 DAY < watermark"""
+ORACLE["stream_drop_reports"] = """WITH RECURSIVE ticks AS (
+    SELECT tenant_id, ms, count(*) AS n, row_number() OVER (PARTITION BY tenant_id ORDER BY ms) AS i
+    FROM (SELECT 't' || (user_id % 3) AS tenant_id, epoch_us(ts) // 1000 AS ms FROM events WHERE event_type = 'error') GROUP BY tenant_id, ms),
+  walk AS (SELECT tenant_id, i, ms, ms AS reported_at, n AS reported, 0::BIGINT AS held, n AS seen, true AS now, 0::BIGINT AS flushed, 0::BIGINT AS before FROM ticks WHERE i = 1
+    UNION ALL SELECT t.tenant_id, t.i, t.ms, CASE WHEN now_ THEN t.ms ELSE reported_at END, CASE WHEN now_ THEN kept + t.n ELSE 0 END, CASE WHEN now_ THEN 0 ELSE kept + t.n END,
+      seen + t.n, now_, CASE WHEN gap THEN held ELSE 0 END, seen FROM (SELECT w.*, t.ms - w.ms > 10800000 AS gap, CASE WHEN t.ms - w.ms > 10800000 THEN 0 ELSE w.held END AS kept,
+        t.ms >= w.reported_at + 3600000 AS now_ FROM walk w JOIN ticks t ON t.tenant_id = w.tenant_id AND t.i = w.i + 1) w JOIN ticks t ON t.tenant_id = w.tenant_id AND t.i = w.i + 1),
+  latest AS (SELECT max(ms) - 3600000 AS watermark FROM ticks)
+  SELECT tenant_id AS logger, reported_at AS at_ms, reported::BIGINT AS reported, seen::BIGINT AS total FROM walk WHERE now
+  UNION ALL SELECT tenant_id, NULL, flushed::BIGINT, before::BIGINT FROM walk WHERE flushed > 0
+  UNION ALL SELECT tenant_id, NULL, held::BIGINT, seen::BIGINT FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id ORDER BY i DESC) AS back FROM walk), latest
+    WHERE back = 1 AND held > 0 AND ms + 10800001 <= watermark"""
 
 # --- phones: the documents hold numbers written "+1 (ddd) ddd-dddd" -----------------------------
 PHONE = (r"(?:\+1 )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b", "[PHONE_REDACTED]")

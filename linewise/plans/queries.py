@@ -78,6 +78,15 @@ def rejoin_docker(spark, d):
     return _rejoined(recover.drop_stderr(recover.read_docker_json(views.docker_rows(spark, d))))
 
 
+@query
+def rejoin_bounded(spark, d):
+    """Parts of up to five times their length: lines end by bytes, by parts or by themselves."""
+    rows = recover.drop_stderr(recover.read_cri(views.cri_rows(spark, d)))
+    longer = rows.withColumn("log", F.expr("repeat(log, cast(1 + cast(file as bigint) % 5 as int))")).withColumn("pos", F.floor(F.col("pos") / 3).cast("bigint"))
+    joined = recover.rejoin_parts(longer, chunk=F.floor(F.col("pos") / 16).cast("bigint"), max_parts=9, max_bytes=1500)
+    return joined.select("file", "line_start", big(F.col("parts")).alias("parts"), F.md5("line").alias("line_md5"))
+
+
 @query
 def part_groups(spark, d):
     rows = recover.drop_stderr(recover.read_cri(views.cri_rows(spark, d)))

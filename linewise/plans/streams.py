@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import wire
 from ..functions.calls import call_json
 from ..functions.jsontext import ascii_length
+from ..functions.timestamps import epoch_micros
 from ..operators import lines, recover, trail
 from ..session import shared_folder
 from ..sources.sinks import stream_to
@@ -93,26 +94,37 @@ def stream_pair_exchanges(spark, d):
     return finished(pairs.select("partner_ref", "correlation_id", "method", "path", big(F.col("status_code")).alias("status_code"), "duration_ms"))
 
 
+def _by_time(rows: DataFrame, at: str) -> DataFrame:
+    """``rows`` as a stream of three triggers in the order of ``at``, four files each."""
+    ends = rows.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+    if ends.a is None:
+        return _in_triggers(rows)
+    step = (ends.b - ends.a) / 3 if not isinstance(ends.a, int) else (ends.b - ends.a) // 3
+    cuts = [F.lit(ends.a + step), F.lit(ends.a + 2 * step)]
+    parts = [F.col(at) < cuts[0], (F.col(at) >= cuts[0]) & (F.col(at) < cuts[1]), F.col(at) >= cuts[1]]
+    return _in_triggers(*(rows.filter(part).repartition(4) for part in parts))
+
+
 @query
 def stream_collect_trails(spark, d):
-    """An order without an answer ends unanswered, and its calls are counted all the same."""
-    calls = trail.normalise_calls(views.item_calls(table_stream(spark, d, "lineitem"))).filter(F.col("call").isNotNull())
+    """Calls a minute apart and, but for open orders, an answer within the hour. An order that is
+    silent for a day ends unanswered, by the watermark alone; the last day's still wait."""
+    orders = views.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderstatus")
+    calls = trail.normalise_calls(views.item_calls(views.table(spark, d, "lineitem"))).filter(F.col("call").isNotNull())
     seq = F.col("l_linenumber") * 10**15 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
-    made = calls.select(
-        F.col("l_orderkey").cast("string").alias("exchange_id"), seq.alias("seq"), F.lit("call").alias("kind"), call_json(F.col("call")).alias("call_json")
-    ).withColumn("call_bytes", ascii_length("call_json"))
-    ends = table_stream(spark, d, "orders").select(
-        F.col("o_orderkey").cast("string").alias("exchange_id"), F.lit(10**18).alias("seq"), F.when(F.col("o_orderstatus") == "O", "end").otherwise("response").alias("kind"),
-        F.lit(None).cast("string").alias("call_json"), F.lit(None).cast("int").alias("call_bytes"),
+    made = calls.select("l_orderkey", seq.alias("seq"), F.lit("call").alias("kind"), call_json(F.col("call")).alias("call_json"), (F.col("l_linenumber") * 60).alias("after"))
+    ends = orders.filter("o_orderstatus <> 'O'").select("l_orderkey", F.lit(10**18).alias("seq"), F.lit("response").alias("kind"), F.lit(None).cast("string").alias("call_json"), F.lit(3600).alias("after"))
+    rows = made.unionByName(ends).join(orders, "l_orderkey").select(
+        F.col("l_orderkey").cast("string").alias("exchange_id"), "seq", "kind", "call_json", ascii_length("call_json").alias("call_bytes"),
+        F.timestamp_micros(epoch_micros("o_orderdate") + F.col("after").cast("bigint") * 1_000_000).alias("ts"),
     )
-    rows = stream_trails(made.unionByName(ends), **SMALL_TRAIL)
-    return finished(rows.select("exchange_id", "answered", big(F.col("n_calls")).alias("n_calls"), big(F.col("upstream_dropped")).alias("upstream_dropped")))
+    trails = stream_trails(_by_time(rows, "ts"), **SMALL_TRAIL, wait="1 day", delay="1 hour")
+    return finished(trails.select("exchange_id", "answered", big(F.col("n_calls")).alias("n_calls"), big(F.col("upstream_dropped")).alias("upstream_dropped")))
 
 
 @query
 def stream_drop_reports(spark, d):
+    """What a logger holds is reported once it has been silent for three hours."""
     calls = views.event_calls(views.table(spark, d, "events")).filter(F.col("level") == "error")
     drops = calls.select(F.col("tenant_id").alias("logger"), F.floor(F.col("us") / 1000).cast("bigint").alias("ms"), F.lit(1).cast("bigint").alias("n"))
-    drops = drops.repartitionByRange(4, "ms").sortWithinPartitions("ms")
-    closing = drops.groupBy("logger").agg(F.max("ms").alias("ms")).withColumn("n", F.lit(None).cast("bigint"))
-    return finished(stream_reports(_in_triggers(drops, closing), 3_600_000))
+    return finished(stream_reports(_by_time(drops, "ms"), 3_600_000, flush_ms=10_800_000, delay="1 hour"))

@@ -119,9 +119,10 @@ def break_lines(lines: DataFrame) -> DataFrame:
 # --- container text, from documents ---------------------------------------------------
 
 def _pieces(documents: DataFrame) -> DataFrame:
-    text = F.replace("text", F.lit("\n"), F.lit(" "))
-    docs = documents.select(s("doc_id").alias("file"), "doc_id", text.alias("t")).filter(F.col("t") != "")
-    found = F.regexp_extract_all("t", F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+    """Cut into pieces; an empty text is one empty piece."""
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    docs = documents.select(s("doc_id").alias("file"), "doc_id", text.alias("t"))
+    found = F.when(F.col("t") == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all("t", F.lit(f"(?s).{{1,{PIECE}}}"), 0))
     return docs.select("file", "doc_id", F.size(found).alias("n"), F.posexplode(found).alias("k", "piece"))
 
 

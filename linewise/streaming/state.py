@@ -1,138 +1,259 @@
 """Steps that remember: parts of a line, calls of an exchange, the time of a report.
 
-Each keeps a bounded state per key (64 parts; 20 calls; three numbers) in the state
-store, one key's rows of a micro-batch at a time.
+Each is a stateful processor with a bounded state per key (64 parts or 1 MiB; 20 calls; four
+numbers). A key's rows of a micro-batch are read in order without being held together:
+if there are more than a few thousand, they wait as sorted runs in the state store and
+are merged from there. Silence is measured in event time, by the rows themselves where they
+go on and by a timer where they do not, so results do not depend on how rows fell into triggers.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from heapq import merge
+from itertools import groupby, islice
+from operator import itemgetter
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .. import wire
 from ..session import ship_package
 
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+RUN_ROWS, SPOOL_ROWS = 4096, 256
 
-def _sorted_rows(frames: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
-    return pd.concat(list(frames)).sort_values(order, kind="stable")
 
+def use_state_store(spark: SparkSession) -> None:
+    """Processors with several state variables and timers need the RocksDB store."""
+    if "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
 
-def _frame(rows: list, columns: list[str]) -> Iterator[pd.DataFrame]:
-    if rows:
-        yield pd.DataFrame(rows, columns=columns, dtype=object)
 
+class _Ordered(StatefulProcessor):
+    """Reads a key's rows by their first column, ``RUN_ROWS`` of them in memory, or
+    ``SPOOL_ROWS`` of each run where there are more."""
 
-def stream_rejoin(parts: DataFrame, max_parts: int = wire.MAX_PARTS) -> DataFrame:
-    """Split lines put together per (file, stream): ``file, stream, pos, line, parts``,
-    ``pos`` being the first part's. Parts wait in state until the last one comes; after
-    ``max_parts`` the text is cut there, as in the batch operator."""
-    ship_package(parts.sparkSession)
+    columns: tuple[str, ...] = ()
+    out: tuple[str, ...] = ()
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spool = handle.getMapState("spool", "run int, block int", "rows binary")
+        self.made = Row(*self.out)
+
+    def rows(self, given: Iterator[Row]) -> Iterator[tuple]:
+        pick, by = itemgetter(*self.columns), itemgetter(0)
+
+        def run_of() -> list[tuple]:
+            return sorted((pick(r) for r in islice(given, RUN_ROWS)), key=by)
+
+        def spooled(run: int, blocks: int) -> Iterator[tuple]:
+            for block in range(blocks):
+                held = self.spool.getValue((run, block))[0]
+                self.spool.removeKey((run, block))
+                yield from pickle.loads(held)  # written below, by this processor
+
+        some = run_of()
+        if len(some) < RUN_ROWS:
+            yield from some
+            return
+        runs = []
+        while some:
+            for block, at in enumerate(range(0, len(some), SPOOL_ROWS)):
+                self.spool.updateValue((len(runs), block), (pickle.dumps(some[at : at + SPOOL_ROWS]),))
+            runs.append(spooled(len(runs), -(-len(some) // SPOOL_ROWS)))
+            some = run_of()
+        yield from merge(*runs, key=by)
+
+    def ring(self, at_ms: int, before: int | None) -> None:
+        """The key's one timer; ``before`` is when it was to ring."""
+        if before is not None and before != at_ms:
+            self.handle.deleteTimer(before)
+        if before != at_ms:
+            self.handle.registerTimer(at_ms)
+
+    def close(self) -> None:
+        pass
+
+
+class _Rejoin(_Ordered):
+    columns, out = ("pos", "log", "is_last"), ("file", "stream", "pos", "line", "parts")
+
+    def __init__(self, max_parts: int, max_bytes: int, ttl_ms: int | None):
+        self.max_parts, self.max_bytes, self.ttl_ms = max_parts, max_bytes, ttl_ms
 
-    def rejoin(key, frames, state: GroupState):
-        logs, first = (list(state.get[0]), state.get[1]) if state.exists else ([], 0)
-        out = []
-        for pos, log, last in _sorted_rows(frames, "pos")[["pos", "log", "is_last"]].itertuples(index=False, name=None):
+    def init(self, handle):
+        super().init(handle)
+        self.waiting = handle.getValueState("waiting", "logs array<string>, first bigint, size bigint", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.waiting.get()
+        logs, first, size = (list(held[0]), held[1], held[2]) if held is not None else ([], 0, 0)
+        for pos, log, last in self.rows(rows):
             first = pos if not logs else first
             logs.append(log)
-            if last or len(logs) == max_parts:
-                text = "".join(logs)
-                out.append([*key, int(first), text[:-1] if text.endswith("\n") else text, len(logs)])
-                logs = []
+            size += len(log.encode())
+            if last or len(logs) >= self.max_parts or size >= self.max_bytes:
+                yield self.made(*key, int(first), "".join(logs).removesuffix("\n"), len(logs))
+                logs, size = [], 0
         if logs:
-            state.update((logs, int(first)))
-        elif state.exists:
-            state.remove()
-        yield from _frame(out, ["file", "stream", "pos", "line", "parts"])
-
-    return parts.groupBy("file", "stream").applyInPandasWithState(
-        rejoin, "file string, stream string, pos bigint, line string, parts int", "logs array<string>, first bigint",
-        "append", GroupStateTimeout.NoTimeout,
-    )
+            self.waiting.update((logs, int(first), size))
+        elif held is not None:
+            self.waiting.clear()
 
 
-def stream_trails(
-    events: DataFrame, max_calls: int = wire.TRAIL_MAX_CALLS, max_bytes: int = wire.TRAIL_MAX_BYTES, expire_ms: int | None = None
+def stream_rejoin(
+    parts: DataFrame, max_parts: int = wire.MAX_PARTS, max_bytes: int = wire.MAX_LINE_BYTES, ttl_ms: int | None = None
 ) -> DataFrame:
-    """The trail of each exchange, sent out when its response comes. Reads
-    ``exchange_id, seq, kind`` (call | response | end), ``call_json`` and ``call_bytes`` (its
-    escaped size). An ``end`` sends out what waits with ``answered`` false. With ``expire_ms`` an exchange that stays silent that long goes out
-    with ``answered`` false, so that its calls are counted as lost."""
-    ship_package(events.sparkSession)
-    columns = ["exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped"]
+    """Split lines put together per (file, stream): ``file, stream, pos, line, parts``,
+    ``pos`` being the first part's. Parts wait in state until the last one comes; a line ends
+    with the part that makes ``max_parts`` or ``max_bytes``, as in the batch operator. With
+    ``ttl_ms`` parts of a file that stays silent that long (its end was never written) are forgotten."""
+    ship_package(parts.sparkSession)
+    use_state_store(parts.sparkSession)
+    return parts.groupBy("file", "stream").transformWithState(
+        _Rejoin(max_parts, max_bytes, ttl_ms), "file string, stream string, pos bigint, line string, parts int", "append", "ProcessingTime" if ttl_ms else "None"
+    )
 
-    def newest(calls, dropped):
-        calls = sorted(calls)
-        over = max(0, len(calls) - max_calls)
-        return calls[over:], dropped + over
 
-    def fitted(key, calls, dropped, answered):
+class _Trails(_Ordered):
+    columns, out = ("seq", "kind", "call_json", "call_bytes", "ms"), ("exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped")
+
+    def __init__(self, max_calls: int, max_bytes: int, wait_ms: int | None):
+        self.max_calls, self.max_bytes, self.wait_ms = max_calls, max_bytes, wait_ms
+
+    def init(self, handle):
+        super().init(handle)
+        # at most max_calls calls; one value, as every access is a round trip
+        self.held = handle.getValueState("held", "calls array<struct<seq:bigint,text:string,size:int>>, dropped int, last_ms bigint")
+
+    def fitted(self, key, calls, dropped, answered):
         calls = sorted(calls)
-        while calls and 2 + sum(c[2] for c in calls) + len(calls) - 1 > max_bytes:
+        while calls and 2 + sum(c[2] for c in calls) + len(calls) - 1 > self.max_bytes:
             calls, dropped = calls[1:], dropped + 1
-        return [*key, answered, "[" + ",".join(c[1] for c in calls) + "]", len(calls), dropped]
-
-    def collect(key, frames, state: GroupState):
-        seqs, texts, sizes, dropped = state.get if state.exists else ([], [], [], 0)
-        calls, out = list(zip(seqs, texts, sizes)), []
-        if state.hasTimedOut:
-            state.remove()
-            yield from _frame([fitted(key, calls, dropped, False)] if calls or dropped else [], columns)
-            return
-        for seq, kind, text, size in _sorted_rows(frames, "seq")[["seq", "kind", "call_json", "call_bytes"]].itertuples(index=False, name=None):
+        return self.made(*key, answered, "[" + ",".join(c[1] for c in calls) + "]", len(calls), dropped)
+
+    def alarm(self, last_ms):
+        return None if self.wait_ms is None or last_ms is None else last_ms + self.wait_ms + 1
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.held.get()
+        calls, dropped, last_ms = ([tuple(c) for c in held[0]], held[1], held[2]) if held is not None else ([], 0, None)
+        rings = self.alarm(last_ms)
+        for seq, kind, text, size, ms in self.rows(rows):
+            if self.wait_ms is not None:
+                if (calls or dropped) and ms - last_ms > self.wait_ms:
+                    yield self.fitted(key, calls, dropped, False)
+                    calls, dropped = [], 0
+                last_ms = int(ms) if last_ms is None else max(last_ms, int(ms))
             if kind == "call":
-                calls, dropped = newest([*calls, (int(seq), text, int(size))], dropped)
+                calls.append((int(seq), text, int(size)))
+                if len(calls) > self.max_calls:
+                    calls.remove(min(calls))
+                    dropped += 1
             elif calls or dropped:
-                out.append(fitted(key, calls, dropped, kind == "response"))
+                yield self.fitted(key, calls, dropped, kind == "response")
                 calls, dropped = [], 0
         if calls or dropped:
-            state.update(([c[0] for c in calls], [c[1] for c in calls], [c[2] for c in calls], dropped))
-            if expire_ms:
-                state.setTimeoutDuration(expire_ms)
-        elif state.exists:
-            state.remove()
-        yield from _frame(out, columns)
-
-    return events.groupBy("exchange_id").applyInPandasWithState(
-        collect, "exchange_id string, answered boolean, trail_json string, n_calls int, upstream_dropped int",
-        "seqs array<bigint>, texts array<string>, sizes array<int>, dropped int", "append",
-        GroupStateTimeout.ProcessingTimeTimeout if expire_ms else GroupStateTimeout.NoTimeout,
+            self.held.update((calls, dropped, last_ms))
+            if self.wait_ms is not None:
+                self.ring(self.alarm(last_ms), rings)
+        elif held is not None:
+            self.held.clear()
+            if rings is not None:
+                self.handle.deleteTimer(rings)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        held = self.held.get()
+        if held is not None:
+            self.held.clear()
+            yield self.fitted(key, [tuple(c) for c in held[0]], held[1], False)
+
+
+def stream_trails(
+    events: DataFrame, max_calls: int = wire.TRAIL_MAX_CALLS, max_bytes: int = wire.TRAIL_MAX_BYTES, wait: str | None = None, delay: str = "1 hour"
+) -> DataFrame:
+    """The trail of each exchange, sent out when its response comes. Reads
+    ``exchange_id, seq, kind`` (call | response | end), ``call_json`` and ``call_bytes`` (its
+    escaped size). An ``end`` sends out what waits with ``answered`` false.
+
+    With ``wait`` the rows also have ``ts``, and an exchange that is silent longer than
+    that in event time goes out with ``answered`` false, so that its calls are counted as
+    lost: at once when a later row of it shows the gap, else when the watermark, ``delay``
+    behind the latest row, has passed. No closing row is needed."""
+    spark = events.sparkSession
+    ship_package(spark)
+    use_state_store(spark)
+    if wait is not None:
+        events = events.withWatermark("ts", delay).withColumn("ms", F.unix_millis("ts"))
+        wait_ms = spark.range(1).select(F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {wait}"))).first()[0]
+    else:
+        events, wait_ms = events.withColumn("ms", F.lit(0).cast("bigint")), None
+    rows = events.select("exchange_id", "seq", "kind", "call_json", "call_bytes", "ms", *(["ts"] if wait is not None else []))
+    return rows.groupBy("exchange_id").transformWithState(
+        _Trails(max_calls, max_bytes, wait_ms), "exchange_id string, answered boolean, trail_json string, n_calls int, upstream_dropped int",
+        "append", "EventTime" if wait is not None else "None",
     )
 
 
-def stream_reports(drops: DataFrame, interval_ms: int = wire.REPORT_INTERVAL_MS, flush_ms: int | None = None) -> DataFrame:
-    """Rate-limited drop reports per logger: ``logger, at_ms, reported, total``. Reads
-    ``logger, ms, n``. A null ``n`` closes the logger: what it holds then is reported with a
-    null time. With ``flush_ms`` that also happens once a logger has been silent that long."""
-    ship_package(drops.sparkSession)
-    columns = ["logger", "at_ms", "reported", "total"]
+class _Reports(_Ordered):
+    columns, out = ("ms", "n"), ("logger", "at_ms", "reported", "total")
 
-    def limit(key, frames, state: GroupState):
-        last, held, total = state.get if state.exists else (None, 0, 0)
-        if state.hasTimedOut:
-            state.update((last, 0, total))
-            yield from _frame([[*key, None, held, total]] if held else [], columns)
-            return
-        out = []
-        rows = _sorted_rows(frames, "ms")
-        closes = bool(rows["n"].isna().any())
-        ticks = rows.dropna(subset=["n"]).groupby("ms", sort=True)["n"].sum()
-        for ms, n in ticks.items():
-            held, total = held + int(n), total + int(n)
-            if last is None or ms - last >= interval_ms:
-                out.append([*key, int(ms), held, total])
+    def __init__(self, interval_ms: int, flush_ms: int | None):
+        self.interval_ms, self.flush_ms = interval_ms, flush_ms
+
+    def init(self, handle):
+        super().init(handle)
+        self.state = handle.getValueState("state", "last bigint, held bigint, total bigint, seen bigint, rings bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        found = self.state.get()
+        last, held, total, seen, rings = found if found is not None else (None, 0, 0, None, None)
+        closes = False
+        for ms, some in groupby(self.rows(rows), key=itemgetter(0)):  # all drops of one millisecond are one tick
+            counts = [n for _, n in some]
+            closes = closes or None in counts
+            counts = [int(n) for n in counts if n is not None]
+            if not counts:
+                continue
+            if self.flush_ms is not None and held and ms - seen > self.flush_ms:
+                yield self.made(*key, None, held, total)
+                held = 0
+            held, total, seen = held + sum(counts), total + sum(counts), int(ms)
+            if last is None or ms - last >= self.interval_ms:
+                yield self.made(*key, int(ms), held, total)
                 last, held = int(ms), 0
         if closes and held:
-            out.append([*key, None, held, total])
+            yield self.made(*key, None, held, total)
             held = 0
-        state.update((last, held, total))
-        if flush_ms:
-            state.setTimeoutDuration(flush_ms)
-        yield from _frame(out, columns)
-
-    return drops.groupBy("logger").applyInPandasWithState(
-        limit, "logger string, at_ms bigint, reported bigint, total bigint", "last bigint, held bigint, total bigint", "append",
-        GroupStateTimeout.ProcessingTimeTimeout if flush_ms else GroupStateTimeout.NoTimeout,
+        if self.flush_ms is not None and held:
+            self.ring(seen + self.flush_ms + 1, rings)
+            rings = seen + self.flush_ms + 1
+        self.state.update((last, held, total, seen, rings))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last, held, total, seen, _ = self.state.get()
+        self.state.update((last, 0, total, seen, None))
+        if held:
+            yield self.made(*key, None, held, total)
+
+
+def stream_reports(drops: DataFrame, interval_ms: int = wire.REPORT_INTERVAL_MS, flush_ms: int | None = None, delay: str = "1 hour") -> DataFrame:
+    """Rate-limited drop reports per logger: ``logger, at_ms, reported, total``. Reads
+    ``logger, ms, n``. A null ``n`` closes the logger: what it holds then is reported with a
+    null time.
+
+    With ``flush_ms`` that also happens once a logger has been silent longer than that in
+    event time, seen from its next row or from the watermark, ``delay`` behind the latest row.
+    Drops of one millisecond that fall into two triggers are two ticks of the same time."""
+    ship_package(drops.sparkSession)
+    use_state_store(drops.sparkSession)
+    rows = drops.select("logger", "ms", "n")
+    if flush_ms is not None:
+        rows = rows.withColumn("ts", F.timestamp_millis("ms")).withWatermark("ts", delay)
+    return rows.groupBy("logger").transformWithState(
+        _Reports(interval_ms, flush_ms), "logger string, at_ms bigint, reported bigint, total bigint", "append", "EventTime" if flush_ms is not None else "None"
     )

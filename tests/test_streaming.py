@@ -1,6 +1,8 @@
 """Stream outputs equal the batch operators on the same files."""
 
 import json
+from collections import Counter
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -111,6 +113,68 @@ def test_an_end_sends_out_unanswered_calls(spark, tmp_path):
     assert {tuple(r) for r in out} == {("a", False, 1), ("b", True, 1)}
 
 
+def test_silence_ends_an_exchange_by_the_watermark(spark, tmp_path):
+    folder, schema = str(tmp_path / "silent"), "exchange_id string, seq bigint, kind string, call_json string, call_bytes int, ts timestamp"
+    call = lambda key, seq, at: (key, seq, "call", f"{{{seq}}}", 3, datetime(2024, 1, 1) + timedelta(seconds=at))
+    answer = lambda key, seq, at: (key, seq, "response", None, None, datetime(2024, 1, 1) + timedelta(seconds=at))
+    triggers = [
+        [call("answered", 1, 0), call("silent", 1, 1), call("gap", 1, 2), call("gap", 2, 3), call("over", 1, 4)],
+        [answer("answered", 2, 5), call("over", 2, 9)],
+        [call("gap", 3, 90), answer("gap", 4, 91), call("inside", 1, 95), call("inside", 2, 300), answer("inside", 3, 301)],
+        [call("last", 1, 1000)],
+    ]
+    for rows in triggers:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = run(stream_trails(source, wait="20 seconds", delay="10 seconds"), tmp_path, "silent-out")
+    got = sorted((r.exchange_id, r.answered, r.trail_json) for r in out.collect())
+    assert got == sorted([
+        ("answered", True, "[{1}]"), ("silent", False, "[{1}]"), ("gap", False, "[{1},{2}]"), ("gap", True, "[{3}]"), ("over", False, "[{1},{2}]"),
+        ("inside", False, "[{1}]"), ("inside", True, "[{2}]"),
+    ])
+
+
+def test_held_reports_come_out_by_the_watermark(spark, tmp_path):
+    folder, t = str(tmp_path / "held"), 10**12
+    for rows in ([("a", t, 1), ("a", t + 10, 2), ("b", t + 5, 1)], [("b", t + 200_000, 4), ("b", t + 200_001, 1)], [("c", t + 900_000, 1), ("c", t + 900_001, 1)]):
+        spark.createDataFrame(rows, "logger string, ms bigint, n bigint").coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema("logger string, ms bigint, n bigint").option("maxFilesPerTrigger", 1).parquet(folder)
+    out = run(stream_reports(source, 60_000, flush_ms=100_000, delay="1 second"), tmp_path, "held-out")
+    assert {tuple(r) for r in out.collect()} == {("a", t, 1, 1), ("a", None, 2, 3), ("b", t + 5, 1, 1), ("b", t + 200_000, 4, 5), ("b", None, 1, 6), ("c", t + 900_000, 1, 1)}
+
+
+def test_a_key_with_many_rows_in_one_trigger_is_read_in_order(spark, tmp_path):
+    n, folder = 30_000, str(tmp_path / "hot")
+    rows = spark.range(n).select(
+        F.lit("f").alias("file"), F.lit("stdout").alias("stream"), F.col("id").alias("pos"), F.col("id").cast("string").alias("log"), (F.col("id") % 3 == 2).alias("is_last")
+    )
+    rows.orderBy(F.xxhash64("pos")).coalesce(1).write.parquet(folder)
+    source = spark.readStream.schema(rows.schema).parquet(folder)
+    got = run(stream_rejoin(source), tmp_path, "hot-out").select("pos", "line", "parts").collect()
+    assert sorted(map(tuple, got)) == [(k, f"{k}{k + 1}{k + 2}", 3) for k in range(0, n, 3)]
+
+
+def test_rejoining_stops_at_bytes_as_the_batch_does(spark, tmp_path):
+    sizes = [(f % 3, k, "é" * ((7 * k + f) % 40), k % (23 + f) == 22) for f in range(6) for k in range(300)]
+    rows = spark.createDataFrame([(str(f), "stdout", k + 1000 * g, log, last) for g, (f, k, log, last) in enumerate(sizes)], "file string, stream string, pos bigint, log string, is_last boolean")
+    folder = str(tmp_path / "sizes")
+    rows.repartition(3).write.parquet(folder)
+    batch = recover.rejoin_parts(rows, chunk=F.floor(F.col("pos") / 50_000).cast("bigint"), max_parts=8, max_bytes=200)
+    want = Counter((r.file, r.line, r.parts) for r in batch.collect())
+    got = Counter(tuple(r) for r in run(stream_rejoin(spark.readStream.schema(rows.schema).parquet(folder), 8, 200), tmp_path, "sizes-out").select("file", "line", "parts").collect())
+    assert not got - want and sum((want - got).values()) <= 3  # what still waits
+    plain = Counter()
+    for f in range(3):
+        logs, mine = [], sorted((r for r in rows.collect() if r.file == str(f)), key=lambda r: r.pos)
+        for r in mine:
+            logs.append(r.log)
+            if r.is_last or len(logs) == 8 or sum(len(x.encode()) for x in logs) >= 200:
+                plain[str(f), "".join(logs), len(logs)] += 1
+                logs = []
+        plain.update([(str(f), "".join(logs), len(logs))] if logs else [])
+    assert want == plain
+
+
 def test_reports_equal_the_batch(spark, tmp_path):
     times = [0, 10, 59_999, 60_000, 60_001, 125_000, 500_000, 500_001]
     folder = str(tmp_path / "drops")
