@@ -14,18 +14,20 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import defaultdict
+from collections import defaultdict, deque
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewise.llm.blocks import blocks
+from linewise.llm.blocks import Block, blocks
 from linewise.llm.stored import stored
 
 BLOCK_CHARS = 2_000_000
 LANES = 4096
+HELD_BYTES = 16 << 20
 _ONE = np.uint64(1)
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WORD = re.compile(r"\S+")
@@ -170,29 +172,49 @@ def _matcher(name: str, items: list[tuple[int, str]], rate: float) -> Matcher:
     return _matchers[name]
 
 
+def _verified(matcher: Matcher, held_blocks: Iterator[Block]) -> Iterator[tuple[Block, list[tuple[int, int, int, tuple[int, int, int]]]]]:
+    """Each block with what its texts hold: ``(row, item, place in the normal text, found)``. The
+    candidates of several blocks are verified at once, as soon as they fill the lanes."""
+    held: list[tuple[Block, list[tuple[int, int, int]]]] = []
+    asked: list[tuple[int, str]] = []
+    size = 0
+
+    def flush():
+        answers = iter(matcher.verify(asked))
+        for block, where in held:
+            yield block, [(*place, found) for place, found in zip(where, answers) if found]
+        held.clear()
+        asked.clear()
+
+    for block in held_blocks:
+        where = []
+        for row, text in enumerate(block.texts()):
+            plain = normal(text.decode())
+            for k, a, b in matcher.candidates(plain):
+                asked.append((k, plain[a:b]))
+                where.append((row, k, a))
+        held.append((block, where))
+        size += len(block.data)
+        if len(asked) >= LANES or size >= HELD_BYTES:
+            yield from flush()
+            size = 0
+    yield from flush()
+
+
 def _search(name: str, held, rate: float):
     def run(batches):
         matcher = _matcher(name, held.value, rate)
-        for block in blocks(batches):
-            asked, where = [], []
-            texts = [text.decode() for text in block.texts()]
-            for row, text in enumerate(texts):
-                plain = normal(text)
-                for k, a, b in matcher.candidates(plain):
-                    asked.append((k, plain[a:b]))
-                    where.append((row, k, a))
+        for block, found in _verified(matcher, blocks(batches)):
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for (row, k, a), found in zip(where, matcher.verify(asked)):
-                if found:
-                    edits, start, end = found
-                    best[row, k] = min(best.get((row, k), (edits, a + start, a + end)), (edits, a + start, a + end))
-            ids, out, place = block.column("id").to_pylist(), [], {}
+            for row, k, a, (edits, start, end) in found:
+                best[row, k] = min(best.get((row, k), (edits, a + start, a + end)), (edits, a + start, a + end))
+            ids, out, place = block.column("id"), [], {}
             for (row, k), (edits, start, end) in best.items():
                 at = place.get(row)
                 if at is None:
-                    at = place[row] = places(texts[row])
+                    at = place[row] = places(block.data[block.offs[row] : block.offs[row + 1]].tobytes().decode())
                 last = int(at[end - 1]) + 1 if end else 0
-                out.append((ids[row], matcher.items[k][0], edits, len(matcher.items[k][1]), int(at[start]), max(last, int(at[start]))))
+                out.append((ids[row].as_py(), matcher.items[k][0], edits, len(matcher.items[k][1]), int(at[start]), max(last, int(at[start]))))
             columns = zip(*out) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "edits", "n_chars", "start", "end"])
 
@@ -204,22 +226,20 @@ def _clean(name: str, held, rate: float, place: int):
 
     def run(batches):
         matcher = _matcher(name, held.value, rate)
-        for batch in batches:
-            narrow = pa.RecordBatch.from_arrays([batch.column(place).cast(pa.string())], ["text"])
-            keep = np.ones(batch.num_rows, dtype=bool)
-            done = 0
-            for block in blocks([narrow]):
-                asked, where = [], []
-                for row, text in enumerate(block.texts()):
-                    plain = normal(text.decode())
-                    for k, a, b in matcher.candidates(plain):
-                        asked.append((k, plain[a:b]))
-                        where.append(done + row)
-                for row, found in zip(where, matcher.verify(asked)):
-                    if found:
-                        keep[row] = False
-                done += len(block)
-            yield batch.filter(pa.array(keep))
+        rows: deque[pa.RecordBatch] = deque()  # of the blocks that are not verified yet
+
+        def narrow():
+            for batch in batches:
+                done = 0
+                for block in blocks([pa.RecordBatch.from_arrays([batch.column(place).cast(pa.string())], ["text"])]):
+                    rows.append(batch.slice(done, len(block)))
+                    done += len(block)
+                    yield block
+
+        for block, found in _verified(matcher, narrow()):
+            keep = np.ones(len(block), dtype=bool)
+            keep[[row for row, *_ in found]] = False
+            yield rows.popleft().filter(pa.array(keep))
 
     return run
 
