@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BLOCK_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
@@ -92,14 +93,16 @@ def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(starts, offs)
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes, by XXH3: sums of powers modulo 2^64 are equal for
+    texts that can be written down."""
+    raw, n = data.tobytes(), len(starts)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, map(raw.__getitem__, map(slice, starts.tolist(), ends.tolist()))), np.uint64, n)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool) -> np.ndarray:
     """A 64-bit hash of each word, with A-Z lower-cased first where ``fold``."""
-    up, down = powers(len(data) + 1)
-    values = (_FOLD[data] if fold else data).astype(np.uint64)
-    values += np.uint64(1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
+    return byte_hashes(_FOLD[data] if fold else data, starts, ends)
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewise.llm.blocks import _ODD, _SPACE, Block, blocks, mix, powers, shingle_hashes, word_bounds, word_hashes
+from linewise.llm.blocks import _ODD, _SPACE, Block, blocks, byte_hashes, mix, shingle_hashes, word_bounds, word_hashes
 from linewise.llm.boosting import Forest, train
 
 SAMPLE_ROWS = 20_000
@@ -60,14 +60,11 @@ def statistics(block: Block) -> tuple[np.ndarray, np.ndarray]:
     line_end = np.minimum(np.concatenate([line_start[1:] - 1, [len(data)]]), offs[1:][text_of_line]) if n else line_start
     last_line = np.concatenate([text_of_line[1:] != text_of_line[:-1], [True]]) if n else np.zeros(0, bool)
     line_end[last_line] = offs[1:][text_of_line[last_line]]
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     worded = np.concatenate([[0], np.cumsum(in_word)])
     has_word = worded[line_end] > worded[line_start]
-    line_hash = mix((sums[line_end] - sums[line_start]) * down[line_start] + (line_end - line_start).astype(np.uint64) * _ODD)
     own = text_of_line[has_word]
-    distinct = np.unique(mix(line_hash[has_word] + own.astype(np.uint64) * _ODD), return_index=True)[1]
+    line_hash = byte_hashes(data, line_start[has_word], line_end[has_word])
+    distinct = np.unique(mix(line_hash + own.astype(np.uint64) * _ODD), return_index=True)[1]
     n_lines = np.bincount(own, minlength=n)
     dup_lines = n_lines - np.bincount(own[distinct], minlength=n)
 

@@ -71,3 +71,13 @@ def test_components_of_a_long_chain_and_a_star(spark):
     more = with_links(found, spark.createDataFrame([(140, 229), (900, 901), (901, 902)], "a long, b long"))
     assert {r.node: r.component for r in more.collect()} == {**{k: 7 for k in want}, 900: 900, 901: 900, 902: 900}
     assert {r.node: r.component for r in with_links(found, spark.createDataFrame([], "a long, b long")).collect()} == want
+
+
+def test_words_that_collide_in_sums_of_powers(spark):
+    word = [0]
+    while len(word) < 4096:
+        word += [1 - x for x in word]
+    a, b = "".join("ab"[x] for x in word), "".join("ba"[x] for x in word)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, f"u v {a}"), (4, f"u v {b}"), (5, a.upper())], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_copies(docs, width=3, num=85, den=100).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}

@@ -76,3 +76,18 @@ def test_empty_tables_and_kept_rows(spark):
     assert len(forest.roots) == 0
     assert [tuple(r)[::2] for r in keep_good(docs, forest).collect()] == [(2, 3)]
     assert judge(docs.limit(0), forest).count() == 0 and keep_good(docs.limit(0), forest).count() == 0
+
+
+def thue_morse(n, one, other):
+    word = [0]
+    while len(word) < n:
+        word += [1 - x for x in word]
+    return "".join(one if x else other for x in word[:n])
+
+
+def test_words_and_lines_that_collide_in_sums_of_powers(spark):
+    a, b = thue_morse(4096, "a", "b"), thue_morse(4096, "b", "a")
+    texts = [f"{a}\n{b}\n{a}x", f"p q r s {a} m n o u v p q r s {b} x1 x2 x3", f"{a} {a} {a} {a} {a} {a} {b}", "é" * 5000 + "\n" + "é" * 4999 + "\n" + "é" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r[c] for c in BASE) + (r.base_failed,) for r in judge(docs, train(np.zeros((0, 12)), np.zeros(0))).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
