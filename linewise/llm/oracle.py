@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from linewise.llm.secrets import RULES, _EXAMPLE
 from linewise.llm.urltree import LOWER, UPPER
 
 ORACLE: dict[str, str] = {}
@@ -20,7 +19,7 @@ WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
   cut AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
     FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0) AS n_spans,
-  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256, coalesce(gone, 0) > 0 AS removed
 FROM d LEFT JOIN cut USING (doc_id)"""
 
 ORACLE["op3_minhash_near_dedup"] = rf"""
@@ -46,33 +45,39 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM turns GROUP BY conv_id"""
 
 
-def _any_case(pattern: str) -> str:
-    """``(?i:...)`` with each letter as a class, as SQL's engine folds more than A-Z."""
-    head, _, rest = pattern.partition("(?i:")
-    inner, _, tail = rest.partition(")")
-    return head + "(?:" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in inner) + ")" + tail if rest else pattern
+def _any_case(words: str) -> str:
+    """Each letter as a class, as SQL's engine folds more than A-Z."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
 
 
+# The rules for secrets, as they are asked for, not as the operator has them.
+_SECRETS = (
+    ("assign", "(?:" + _any_case("password|passwd|secret|token|api_?key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+    ("issued", r"gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+)
+_MADE_UP = "(?i)example|sample|dummy|changeme|placeholder|your|xxxx|1234567|abcdef"
 _KINDS = " UNION ALL ".join(
-    f"SELECT doc_id, owner, {k} AS kind, '{name}' AS name, regexp_extract_all(text, '{p}', 0) AS hits, regexp_extract_all(text, '{p}', {group}) AS vals, "
+    f"SELECT doc_id, owner, repo, {k} AS kind, '{name}' AS name, regexp_extract_all(text, '{p}', 0) AS hits, regexp_extract_all(text, '{p}', {group}) AS vals, "
     f"string_split_regex(text, '{p}') AS parts, {least} AS least FROM docs"
-    for k, (name, pattern, group, least) in enumerate(RULES)
-    for p in [_any_case(pattern).replace("'", "''")]
+    for k, (name, pattern, group, least) in enumerate(_SECRETS)
+    for p in [pattern.replace("'", "''")]
 )
 ORACLE["op10_secret_scans"] = rf"""
-WITH docs AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents), found AS ({_KINDS}),
-  each AS (SELECT doc_id, owner, kind, name, vals[i] AS v, least, coalesce(list_sum(list_transform(parts[1:i], lambda x: length(x))), 0)
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS owner, (coalesce(source, ''), coalesce(lang, '')) AS repo, coalesce(text, '') AS text FROM documents), found AS ({_KINDS}),
+  each AS (SELECT doc_id, owner, repo, kind, name, vals[i] AS v, least, coalesce(list_sum(list_transform(parts[1:i], lambda x: length(x))), 0)
       + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a, length(hits[i]) AS size
     FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found)),
   spans AS (SELECT *, (a + size) AS b, length(v) >= 12 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
-      AND len(list_distinct(string_split(v, ''))) >= 7 AND NOT regexp_matches(v, '{_EXAMPLE}') AS live FROM each WHERE length(v) >= least),
-  owners AS (SELECT v, count(DISTINCT owner) AS n FROM spans GROUP BY v),
-  judged AS (SELECT spans.*, name || ':' || a::BIGINT || ':' || b::BIGINT AS s, n = 1 AND live AS is_live, n >= 3 AS copied FROM spans JOIN owners USING (v)),
+      AND len(list_distinct(string_split(v, ''))) >= 7 AND NOT regexp_matches(v, '{_MADE_UP}') AS live FROM each WHERE length(v) >= least),
+  owners AS (SELECT v, count(DISTINCT owner) AS n, count(DISTINCT repo) AS m FROM spans GROUP BY v),
+  judged AS (SELECT spans.*, name || ':' || a::BIGINT || ':' || b::BIGINT AS s, n || '/' || m AS spread, n = 1 AND m <= 2 AND live AS is_live, n >= 3 AND m >= 3 AS copied FROM spans JOIN owners USING (v)),
   sums AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(s, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg(s, ',' ORDER BY a, kind) FILTER (kind < 3 OR is_live) AS spans,
-    count(*) FILTER (is_live) AS n_live, count(*) FILTER (copied) AS n_copied FROM judged GROUP BY doc_id)
+    string_agg(spread, ',' ORDER BY a, kind) FILTER (kind < 3 OR is_live) AS spread, count(*) FILTER (is_live) AS n_live, count(*) FILTER (copied) AS n_copied FROM judged GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM docs LEFT JOIN sums USING (doc_id)"""
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(spread, '') AS spread FROM docs LEFT JOIN sums USING (doc_id)"""
 
 #: For pages whose article is marked and holds only the references named here (as the driver's do); the query itself reads any page.
 ORACLE["op12_html_extraction"] = r"""
