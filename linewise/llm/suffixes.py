@@ -27,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -384,9 +385,9 @@ def _cut(length: int):
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", digest_only: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row: ``kept`` (binary) is the text
+    """``doc_id, n_bytes, n_removed, n_spans, kept, removed`` of every row: ``kept`` (binary) is the text
     without each byte under a string of ``length`` bytes that also starts anywhere else, in the
-    same text or another; with ``digest_only`` ``kept_sha256`` stands in its place.
+    same text or another; with ``digest_only`` ``kept_sha256`` stands in its place; and ``removed``, whether it lost any.
 
     A null text is empty; texts under ``length`` bytes lose nothing. Rows that share an id, or
     have none, are texts of their own (so a repeated row repeats its text). Only the two named
@@ -407,10 +408,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
     def finish(docs: pa.Table, found: pa.Table) -> pa.Table:
         out = cut(docs, found)
-        if not digest_only:
-            return out
-        sums = [hashlib.sha256(x.as_buffer()).hexdigest() for x in out.column("kept")]
-        return out.drop_columns(["kept"]).append_column("kept_sha256", pa.array(sums, pa.string()))
+        removed = pc.greater(out.column("n_removed"), 0)
+        if digest_only:
+            sums = [hashlib.sha256(x.as_buffer()).hexdigest() for x in out.column("kept")]
+            out = out.drop_columns(["kept"]).append_column("kept_sha256", pa.array(sums, pa.string()))
+        return out.append_column("removed", removed)
 
-    last = "kept_sha256 string" if digest_only else "kept binary"
+    last = ("kept_sha256 string" if digest_only else "kept binary") + ", removed boolean"
     return by_part.cogroup(verdicts.groupBy("part")).applyInArrow(finish, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
