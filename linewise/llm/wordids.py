@@ -4,6 +4,7 @@ For a tokenizer that drops white space and never joins across it (such as
 ``word_bpe_49k.json``) a text's ids are those of its white-space-separated chunks. A worker
 keeps the ids of the chunks it has seen, up to a fixed number, and asks the library for the
 others, many at a time. Of two sets of kept chunks the older one goes when the newer is full.
+Chunks are cut further where a word certainly ends, so that a word is kept once, whatever marks follow it.
 """
 
 from __future__ import annotations
@@ -13,11 +14,30 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-from linewise.llm.blocks import _FOLD, _SPACE, Block
+from linewise.llm.blocks import _FOLD, Block
 
 CACHE_CHUNKS = 400_000
-_LETTER = np.zeros(256, dtype=bool)
+_LETTER, _DIGIT, _MARK = (np.zeros(256, dtype=bool) for _ in range(3))
 _LETTER[97:123] = True
+_DIGIT[48:58] = True
+_MARK[33:48] = _MARK[58:65] = _MARK[91:97] = _MARK[123:127] = True
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Where a word certainly ends within a chunk: after a letter (a-z, or one of U+00E0 to U+00FF)
+    before an ASCII digit or mark, on both sides of a digit, and after a mark before a letter. Only an
+    apostrophe may start a word with the letters behind it."""
+    if len(data) < 2:
+        return np.zeros(0, np.int64)
+    left, right = data[:-1], data[1:]
+    second = (left == 0xC3) & (right >= 0xA0) & (right != 0xB7)  # of a letter of two bytes, at ``right``
+    ends = _LETTER[data]
+    ends[1:] |= second
+    begins = _LETTER[data]
+    begins[:-1] |= second
+    digit, mark = _DIGIT[data], _MARK[data]
+    cut = (ends[:-1] | digit[:-1]) & (digit[1:] | mark[1:]) | digit[:-1] & begins[1:] | mark[:-1] & (digit[1:] | begins[1:] & (left != 39))
+    return np.flatnonzero(cut) + 1
 
 
 def default_tokenizer() -> str:
@@ -65,10 +85,7 @@ class WordIds:
 
     def encode(self, block: Block) -> list[bytes]:
         data, offs = _FOLD[block.data], block.offs
-        # A full stop or comma after a letter (a-z, or one of U+00E0 to U+00FF) and before white space is a word of its own.
-        letter = _LETTER[data]
-        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0xA0) & (data[1:] != 0xB7)
-        stop = np.flatnonzero(((data[1:-1] == 46) | (data[1:-1] == 44)) & letter[:-2] & _SPACE[data[2:]]) + 1
+        stop = _cuts(data)
         raw = np.insert(data, stop, 32).tobytes()
         cut = (offs + np.searchsorted(stop, offs)).tolist()
         whole = block.data.tobytes()

@@ -3,14 +3,16 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from linewise.llm.blocks import blocks
 from linewise.llm.idfiles import PerfectHash, digests, lookup, write_ids
 from linewise.llm.packing import pack, plan, slots
 from linewise.llm.stored import shared_path
 from linewise.llm.unigram import UnigramCounter, count_tokens, default_model, vocabulary
-from linewise.llm.wordids import default_tokenizer
+from linewise.llm.wordids import WordIds, default_tokenizer
 
 TEXTS = [
     "", None, "a", "A. b,c . x", "É. Éa b 'S can't.. ?. a", "<|endoftext|> A<|ENDOFTEXT|> <|endoftext|>", "a\x01b \x01", "İstanbul  ́x ﬁ", " .a.\n", "a b c",
@@ -153,3 +155,14 @@ def test_ties_and_unknowns_of_a_small_vocabulary(fallback):
         for _ in range(20):
             text = "".join(rng.choices("abc dé\n", k=rng.randint(0, 14)))
             assert own.count(text)[0] == len(exact.encode(text, add_special_tokens=False).ids), (text, pieces[-12:])
+
+
+def test_words_cut_from_their_marks_have_the_same_ids(tokenizer):
+    rng = random.Random(5)
+    letters = "abzéàÿ÷×ßA.,'!#5 0\n\t́·ñΣς你<|>_-/"
+    some = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    some += ["can't", "'sword", "!'s", "''s a", "x's5'm", "é's", "á!b", "≮a", "5'll", "a'", "I'LL 'RE", "w***", "a,b.c", "3f9c1e7ab2"]
+    coder = WordIds(default_tokenizer())
+    batch = pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["text"])
+    got = [ids for block in blocks(iter([batch]), limit=4096) for ids in coder.encode(block)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
