@@ -305,16 +305,16 @@ ORACLE["group_for_delivery"] = f"""WITH {CALLS} SELECT app_key, level, partner_i
   sum(strlen({ENTRY}))::BIGINT AS line_bytes, min(event_id) AS first_seq FROM calls GROUP BY ALL"""
 _PACK = """ranked AS (SELECT *, strlen(line) AS size, row_number() OVER (PARTITION BY {keys} ORDER BY event_id) AS rn FROM src),
   walk AS (SELECT {keys}, rn, 1 AS n, size AS bytes, 0::BIGINT AS batch_no FROM ranked WHERE rn = 1
-    UNION ALL SELECT {qualified}, r.rn, CASE WHEN w.n >= 100 OR w.bytes + r.size > 20000 THEN 1 ELSE w.n + 1 END,
-      CASE WHEN w.n >= 100 OR w.bytes + r.size > 20000 THEN r.size ELSE w.bytes + r.size END,
-      w.batch_no + CASE WHEN w.n >= 100 OR w.bytes + r.size > 20000 THEN 1 ELSE 0 END
+    UNION ALL SELECT {qualified}, r.rn, CASE WHEN w.n > {rows} - 1 OR w.bytes + r.size > {bytes} THEN 1 ELSE w.n + 1 END,
+      CASE WHEN w.n > {rows} - 1 OR w.bytes + r.size > {bytes} THEN r.size ELSE w.bytes + r.size END,
+      w.batch_no + CASE WHEN w.n > {rows} - 1 OR w.bytes + r.size > {bytes} THEN 1 ELSE 0 END
     FROM walk w JOIN ranked r ON r.rn = w.rn + 1 AND {match}),
   packed AS (SELECT r.*, w.batch_no FROM ranked r JOIN walk w ON r.rn = w.rn AND {match})"""
 
 
-def _pack(keys: list[str]) -> str:
+def _pack(keys: list[str], rows: int = 100, size: int = 20000) -> str:
     return _PACK.format(
-        keys=", ".join(keys), qualified=", ".join(f"r.{k}" for k in keys), match=" AND ".join(f"r.{k} IS NOT DISTINCT FROM w.{k}" for k in keys)
+        rows=rows, bytes=size, keys=", ".join(keys), qualified=", ".join(f"r.{k}" for k in keys), match=" AND ".join(f"r.{k} IS NOT DISTINCT FROM w.{k}" for k in keys)
     )
 
 
@@ -325,11 +325,22 @@ ORACLE["export_records"] = f"""{_PACKED} SELECT tenant_id, level, batch_no, coun
   md5('{{"resourceLogs":[{{"scopeLogs":[{{"logRecords":[' || string_agg('{{"body":{{"stringValue":' || {q('line')} || '}}}}', ',' ORDER BY event_id) || ']}}]}}]}}') AS record_md5
   FROM packed GROUP BY tenant_id, level, batch_no"""
 _PUSH_KEYS = ["shard", "level", "partner_id", "direction", "upstream_integration", "upstream_base_url"]
-ORACLE["push_batches"] = f"""WITH RECURSIVE {CALLS}, src AS (SELECT *, (event_id // 1000)::VARCHAR AS shard, {ENTRY} AS line FROM calls), {_pack(_PUSH_KEYS)}
-  SELECT shard, partner_id, md5('{{"labels":{{"level":"' || level || '"' || coalesce(',"partnerId":"' || partner_id || '"', '') || coalesce(',"direction":"' || direction || '"', '')
+
+
+def _pushed(app: str, source: str, pack: str, keys: list[str]) -> str:
+    return f"""WITH RECURSIVE {CALLS}, src AS (SELECT *{source}, {ENTRY} AS line FROM calls), {pack}
+  SELECT {app}, partner_id, md5('{{"labels":{{"level":"' || level || '"' || coalesce(',"partnerId":"' || partner_id || '"', '') || coalesce(',"direction":"' || direction || '"', '')
     || '}}' || coalesce(',"upstream_integration":"' || upstream_integration || '"', '') || coalesce(',"upstream_base_url":"' || upstream_base_url || '"', '')
     || ',"entries":[' || string_agg('{{"timestamp":"' || ts_ns || '","line":' || {q('line')} || '}}', ',' ORDER BY event_id) || ']}}') AS body_md5, count(*) AS lines
-  FROM packed GROUP BY {", ".join(_PUSH_KEYS)}, batch_no"""
+  FROM packed GROUP BY {", ".join(keys)}, batch_no"""
+
+
+ORACLE["push_batches"] = _pushed("shard", ", (event_id // 1000)::VARCHAR AS shard", _pack(_PUSH_KEYS), _PUSH_KEYS)
+_APP_KEYS = ["tenant_id", *_PUSH_KEYS[1:]]
+ORACLE["push_app_batches"] = _pushed("tenant_id", "", _pack(_APP_KEYS, 20, 3000), _APP_KEYS)
+ORACLE["written_lines"] = f"WITH {EVENT_LINES} SELECT md5(line) AS line_md5 FROM event_lines"
+ORACLE["stream_delivered_lines"] = f"WITH {EVENT_LINES} SELECT event_id, md5(line) AS line_md5 FROM event_lines"
+ORACLE["stream_followed_lines"] = f"WITH {CLASSIFIED} SELECT md5(line) AS line_md5, reason FROM classified"
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE reason = '{r}') AS {r}" for r in (wire.UNMATCHED, *wire.LINE_REASONS))
 _INVALID = " + ".join(wire.LINE_REASONS)
 _NAMES = ", ".join(f"CASE WHEN {r} > 0 THEN '{r}' END" for r in wire.LINE_REASONS)

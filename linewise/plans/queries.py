@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,9 @@ from ..functions.pii import Options, is_sensitive_key, key_marker, redact_column
 from ..functions.pii.text import native_chain
 from ..functions.text import substitute_bad_utf8
 from ..operators import batches, context, exchange, leaks, lines, metrics, ordered, partner, recover, report, scopes, trail
+from ..session import shared_folder
+from ..sources.files import read_line_files
+from ..sources.sinks import write_lines
 from . import ingest, views
 from .views import NOW_SECONDS, s, table, text_of
 
@@ -433,6 +437,10 @@ def group_for_delivery(spark, d):
     return batches.group_for_delivery(_entries(spark, d)).withColumn("line_bytes", big(F.col("line_bytes")))
 
 
+def by_thousand():
+    return F.floor(F.col("event_id") / 1000).cast("bigint")
+
+
 def _packed(spark, d):
     rows = views.event_lines(spark, d).select("tenant_id", "level", "event_id", "line")
     return batches.pack_batches(rows, ["tenant_id", "level"], "event_id", F.octet_length("line"), SMALL_BATCH, 256, F.floor(F.col("event_id") / 1000).cast("bigint"))
@@ -459,6 +467,23 @@ def push_batches(spark, d):
     return out.select("shard", F.col("labels.partnerId").alias("partner_id"), F.md5("body").alias("body_md5"), big(F.col("lines")).alias("lines"))
 
 
+@query
+def push_app_batches(spark, d):
+    """By the app itself; rows and bytes both cut."""
+    rows = lines.compose_entries(views.calls(spark, d))
+    packed = batches.pack_batches(rows, ["tenant_id", "labels", "root"], "event_id", F.octet_length("line"), (20, 3_000), 256, by_thousand())
+    out = batches.push_batches(packed, "tenant_id", "event_id")
+    return out.select("tenant_id", F.col("labels.partnerId").alias("partner_id"), F.md5("body").alias("body_md5"), big(F.col("lines")).alias("lines"))
+
+
+@query
+def written_lines(spark, d):
+    """Lines written as text files and read again, in blocks."""
+    path = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    write_lines(views.event_lines(spark, d), path)
+    return read_line_files(spark, path).select(F.md5("text").alias("line_md5"))
+
+
 @query
 def ingest_report(spark, d):
     rows = views.break_lines(views.event_lines(spark, d)).select("tenant_id", "event_id", "line")

@@ -17,6 +17,8 @@ from ..functions.jsontext import ascii_length
 from ..functions.timestamps import epoch_micros
 from ..operators import lines, recover, trail
 from ..session import shared_folder
+from ..sources import sinks
+from ..sources.follow import follow_line_files
 from ..sources.sinks import stream_to
 from ..streaming.lines import stream_dedupe, stream_lines, stream_pair
 from ..streaming.state import stream_rejoin, stream_reports, stream_trails
@@ -128,3 +130,41 @@ def stream_drop_reports(spark, d):
     calls = views.event_calls(views.table(spark, d, "events")).filter(F.col("level") == "error")
     drops = calls.select(F.col("tenant_id").alias("logger"), F.floor(F.col("us") / 1000).cast("bigint").alias("ms"), F.lit(1).cast("bigint").alias("n"))
     return finished(stream_reports(_by_time(drops, "ms"), 3_600_000, flush_ms=10_800_000, delay="1 hour"))
+
+
+@query
+def stream_followed_lines(spark, d):
+    """Broken and whole lines as text files that are followed, a quarter of their bytes a trigger; the
+    query is stopped after its first batches and started again."""
+    folder = f"{shared_folder(spark)}/followed-{uuid.uuid4().hex}"
+    sinks.write_lines(views.break_lines(views.event_lines(spark, d)).select("line").repartition(6), f"{folder}/logs")
+    size = spark.read.format("binaryFile").load(f"{folder}/logs").agg(F.sum("length")).first()[0] or 0
+
+    def start():
+        followed = follow_line_files(spark, f"{folder}/logs/*.txt", f"{folder}/plan", max_bytes=size // 4 + 1, split_bytes=size // 16 + 1, max_age=0)
+        checked = stream_lines(followed.select(F.col("text").alias("line")), F.lit(NOW_SECONDS)).select(F.md5("line").alias("line_md5"), "reason")
+        return checked, checked.writeStream.format("parquet").option("checkpointLocation", f"{folder}/position").start(f"{folder}/out")
+
+    checked, running = start()
+    while running.isActive and sum(p["numInputRows"] > 0 for p in running.recentProgress) < 2:
+        running.awaitTermination(0.2)
+    running.stop()
+    _, running = start()
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema(checked.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_delivered_lines(spark, d):
+    """Every micro-batch is delivered twice, as after a crash between the sink and its commit."""
+    folder = f"{shared_folder(spark)}/delivered-{uuid.uuid4().hex}"
+    rows = _event_lines(spark, d).select("event_id", F.md5("line").alias("line_md5"))
+    once = sinks.OnceFolder(spark, folder, "lines")
+
+    def twice(batch: DataFrame, number: int) -> None:
+        for _ in range(2):
+            once.write(batch, number)
+
+    rows.writeStream.foreachBatch(twice).option("checkpointLocation", f"{folder}/position").trigger(availableNow=True).start().awaitTermination()
+    return once.read(rows.schema)
