@@ -64,15 +64,15 @@ def native_chain(value: Column, options: Options, names: bool = False, share: bo
 
 
 def needs_python(value: Column, options: Options, names: bool = False) -> Column:
-    """Whether the text may hold a phone number, or an encoded run with a slash. The
-    cheap tests come first; most texts stop at the count of digits."""
-    out = F.lit(False)
+    """Whether the text may hold a phone number, or an encoded run with a slash, or is so long
+    that a rule needs a time limit. The cheap tests come first; most texts stop at the count of digits."""
+    out = F.octet_length(value) >= options.long_bytes if options.phones or options.api_keys else F.lit(False)
     if options.phones:
         accented = (F.octet_length(value) != F.char_length(value)) & value.rlike(FOLDABLE)
         entity = F.contains(value, F.lit("&")) & value.rlike(f"(?i){NBSP_ENTITY}")
         soft = F.contains(value, F.lit("=\n")) | F.contains(value, F.lit("=\r\n"))
         digits = F.regexp_count(value, F.lit(NUMBERISH)) >= MIN_NUMBERISH
-        out = F.contains(value, F.lit(PHONE_MARKER)) | (digits & (value.rlike(PHONE_SCREEN) | accented | soft | entity))
+        out = out | F.contains(value, F.lit(PHONE_MARKER)) | (digits & (value.rlike(PHONE_SCREEN) | accented | soft | entity))
     if options.api_keys and not names:
         out = out | (F.contains(value, F.lit("/")) & value.rlike(ENCODED_SCREEN))
     return F.coalesce(out, F.lit(False))
@@ -99,6 +99,51 @@ def redact_text(value: Column | str, options: Options = DEFAULT, names: bool = F
     return F.when(gate, _text_udf(options, names)(F.when(gate, text))).otherwise(native_chain(text, options, names))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def chain_sql(value: str, options: Options, names: bool = False) -> str:
+    """``native_chain`` as SQL text: each rule binds the text once, so the text of the
+    function grows by a rule's length for each rule."""
+    any_of = lambda text, needs: "(" + " OR ".join(f"contains({text}, {_quoted(n)})" for n in needs) + ")"
+    for rule in RULES:
+        if rule.special == "phone" or not getattr(options, rule.group) or (names and not rule.in_names):
+            continue
+        worth = []
+        if rule.needs:
+            worth.append(any_of("lower(x)" if rule.caseless else "x", rule.needs))
+        if rule.screen:
+            worth.append(f"x RLIKE {_quoted(rule.screen)}")
+        replaced = f"regexp_replace(x, {_quoted(rule.pattern)}, {_quoted(rule.replacement)})"
+        step = f"CASE WHEN {' AND '.join(worth)} THEN {replaced} ELSE x END" if worth else replaced
+        value = f"transform(array({value}), x -> {step})[0]"
+    return value
+
+
+def needs_python_sql(value: str, options: Options) -> str:
+    """``needs_python`` as SQL text."""
+    tests = [f"octet_length(x) >= {options.long_bytes}"] if options.phones or options.api_keys else []
+    if options.phones:
+        numberish = f"regexp_count(x, {_quoted(NUMBERISH)}) >= {MIN_NUMBERISH}"
+        accented = f"octet_length(x) <> char_length(x) AND x RLIKE {_quoted(FOLDABLE)}"
+        entity = f"contains(x, '&') AND x RLIKE {_quoted(f'(?i){NBSP_ENTITY}')}"
+        soft = "contains(x, '=\\n') OR contains(x, '=\\r\\n')"
+        tests += [f"contains(x, {_quoted(PHONE_MARKER)})", f"({numberish}) AND (x RLIKE {_quoted(PHONE_SCREEN)} OR ({accented}) OR ({soft}) OR ({entity}))"]
+    if options.api_keys:
+        tests.append(f"contains(x, '/') AND x RLIKE {_quoted(ENCODED_SCREEN)}")
+    body = " OR ".join(f"({t})" for t in tests) or "false"
+    return f"transform(array({value}), x -> coalesce({body}, false))[0]"
+
+
 def register_sql(spark: SparkSession, name: str = "redact_text", options: Options = DEFAULT) -> None:
-    """Makes ``name(text)`` callable from ``spark.sql``, batch by batch in Python."""
-    spark.udf.register(name, _text_udf(options, False))
+    """Makes ``name(text)`` callable from ``spark.sql``: a SQL function whose body is the rules, so
+    that they are planned, and run in the JVM, like any expression. Texts that need Python cross to
+    it alone; with options that need none there is no Python in the plan."""
+    body = chain_sql("text", options)
+    if options.phones or options.api_keys:
+        leaf = f"{name}_by_python"
+        spark.udf.register(leaf, _text_udf(options, False))
+        gate = needs_python_sql("text", options)
+        body = f"CASE WHEN {gate} THEN {leaf}(CASE WHEN {gate} THEN text END) ELSE {body} END"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS STRING RETURN {body}")

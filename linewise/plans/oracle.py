@@ -492,5 +492,6 @@ PHONE = (r"(?:\+1 )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b", "[PHONE_REDACTED]")
 ORACLE["redact_phones"] = f"""SELECT doc_id, {chain("(text || chr(10) || 'call (415) 555-' || lpad((doc_id % 10000)::VARCHAR, 4, '0') || ' today')", PHONE)} AS text FROM documents"""
 ORACLE["redact_all"] = f"""SELECT doc_id, {chain(
     "text", JWT, BEARER, OAUTH, ISSUER, PREFIXED, LONG, ENCODED, EMAIL, PASSWORD_JSON, PASSWORD, PHONE, CARD, CVV, IPV4, IPV6, URL)} AS text FROM documents"""
+ORACLE["redact_by_sql"] = ORACLE["redact_all"]
 # no character outside the basic plane in these texts, so units are characters
 ORACLE["cut_fields"] = "SELECT doc_id, left(text, 128) AS head FROM documents"

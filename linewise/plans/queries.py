@@ -13,7 +13,7 @@ from ..functions import calls as call_fns
 from ..functions.headers import correlation_id, redact_headers
 from ..functions.jsontext import entry, object_text, present, quoted
 from ..functions.pii import Options, is_sensitive_key, key_marker, redact_column, redact_json, redact_text
-from ..functions.pii.text import native_chain
+from ..functions.pii.text import native_chain, register_sql
 from ..functions.text import substitute_bad_utf8
 from ..operators import batches, context, exchange, leaks, lines, metrics, ordered, partner, recover, report, scopes, trail
 from ..session import shared_folder
@@ -655,6 +655,12 @@ def redact_after_escape(spark, d):
     return _redacted(rows, cards=True, ips=True, tokens=True)
 
 
+@query
+def redact_by_sql(spark, d):
+    register_sql(spark, "linewise_redact")
+    return spark.sql("SELECT doc_id, linewise_redact(text) AS text FROM {docs}", docs=table(spark, d, "documents"))
+
+
 @query
 def redact_all(spark, d):
     """Every rule over whole texts, counted: the text's length and digest after it."""

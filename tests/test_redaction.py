@@ -7,11 +7,13 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from linewise.functions.pii import Options, is_sensitive_key, key_marker, redact, redact_json, redact_text
+from linewise.functions.pii import Options, is_sensitive_key, key_marker, redact, redact_column, redact_json, redact_text
 from linewise.functions.pii.keys import name_is_sensitive, name_marker
 from linewise.functions.pii.leaf import redact_string
 from linewise.functions.pii.options import DEFAULT
+from linewise.functions.pii.rules import FAILED_MARKER
 from linewise.functions.pii.text import native_chain, needs_python, register_sql
 
 UUID = "a1b2c3d4-e5f6-7890-abcd-ef1234567890"
@@ -215,3 +217,29 @@ def test_megabyte_shapes_in_the_jvm(spark):
     spent = _timed(lambda: df.select(F.length(native_chain(F.col("t"), DEFAULT)), needs_python(F.col("t"), DEFAULT)).collect())
     df.unpersist()
     assert spent < 2.0 * len(SHAPES)
+
+
+def test_sql_function_is_planned_in_the_jvm(spark):
+    register_sql(spark, "redact_plain", Options(phones=False, api_keys=False))
+    register_sql(spark, "redact_whole")
+    texts = ["mail a@b.co now", "call (415) 555-2671", "it's a \\ 'quote' 10.0.0.1", None, "", "Bearer abcdefghijklmnopqrstuvwxyz0123456789", "a/b " * 20 + "é" * 3]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    df.createOrReplaceTempView("sql_texts")
+    plain = spark.sql("SELECT k, redact_plain(t) AS t FROM sql_texts")
+    assert "Python" not in plain._jdf.queryExecution().executedPlan().toString()
+    want = {r.k: r.t for r in df.select("k", redact_text("t", Options(phones=False, api_keys=False)).alias("t")).collect()}
+    assert {r.k: r.t for r in plain.collect()} == want
+    want = {k: None if t is None else redact_string(t, DEFAULT) for k, t in enumerate(texts)}
+    assert {r.k: r.t for r in spark.sql("SELECT k, redact_whole(t) AS t FROM sql_texts").collect()} == want
+
+
+def test_a_text_a_rule_cannot_finish_is_given_up_alone(spark):
+    hurried = Options(long_bytes=50_000, rule_seconds=1e-9)
+    long, texts = "a@b.co " * 20_000, ["a@b.co", "plain", "call (415) 555-2671"]
+    rows = spark.createDataFrame([(0, long), *enumerate(texts, 1), (9, None)], "k int, t string")
+    got = {r.k: r.t for r in rows.select("k", redact_text("t", hurried).alias("t")).collect()}
+    assert got[0] == FAILED_MARKER and got[1] == "[EMAIL_REDACTED]" and got[2] == "plain" and got[9] is None
+    nested = rows.select("k", redact_column(F.array("t"), T.ArrayType(T.StringType()), hurried)[0].alias("t"))
+    assert {r.k: r.t for r in nested.filter("k < 3").collect()} == {0: FAILED_MARKER, 1: "[EMAIL_REDACTED]", 2: "plain"}
+    patient = rows.filter("k = 0").select(redact_text("t", Options(long_bytes=50_000)).alias("t")).first().t
+    assert patient == "[EMAIL_REDACTED] " * 20_000
