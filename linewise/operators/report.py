@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import wire
 from .greedy import greedy_runs
@@ -46,6 +49,55 @@ def delivery_stats(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def counters(reason: str = "drop_reason") -> list[Column]:
+    """What the live counters count, in one pass with the work itself."""
+    return [
+        F.count_if(F.col(reason).isNull()).alias("delivered"),
+        F.count_if(F.col(reason).isNotNull()).alias("dropped"),
+        *[F.count_if(F.col(reason) == r).alias(r) for r in wire.LINE_REASONS],
+    ]
+
+
+def counted(rows: DataFrame, name: str, reason: str = "drop_reason") -> tuple[DataFrame, Observation]:
+    """``rows`` unchanged, and an observation whose ``get`` has the counters once the rows have
+    been written somewhere. In a stream ``rows.observe(name, *counters(reason))`` says the same
+    trigger by trigger, and ``LiveCounters`` adds them up."""
+    seen = Observation(name)
+    return rows.observe(seen, *counters(reason)), seen
+
+
+class LiveCounters(StreamingQueryListener):
+    """Adds up the counters observed under ``name`` while a stream runs, with the rows and triggers so far."""
+
+    def __init__(self, name: str):
+        self.name, self.totals, self.triggers, self.rows = name, Counter(), 0, 0
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None:
+            self.totals.update({k: v for k, v in seen.asDict().items() if v})
+            self.triggers += 1
+            self.rows += event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def after(self, query: StreamingQuery, seconds: float = 60.0) -> Counter:
+        """The totals once the query has ended and its last progress was heard."""
+        query.awaitTermination()
+        until = time.monotonic() + seconds
+        while str(query.runId) not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return self.totals
+
+
 def drop_report(drops: DataFrame, by: Sequence[str], period: Column, at: str, order: Sequence[str]) -> DataFrame:
     """Per group, period and reason: drops, the latest message, and the group's running
     total. The running total is taken over the counts, not over the drops."""

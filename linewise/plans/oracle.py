@@ -344,6 +344,8 @@ ORACLE["stream_followed_lines"] = f"WITH {CLASSIFIED} SELECT md5(line) AS line_m
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE reason = '{r}') AS {r}" for r in (wire.UNMATCHED, *wire.LINE_REASONS))
 _INVALID = " + ".join(wire.LINE_REASONS)
 _NAMES = ", ".join(f"CASE WHEN {r} > 0 THEN '{r}' END" for r in wire.LINE_REASONS)
+ORACLE["live_counters"] = ORACLE["stream_live_counters"] = f"""WITH {CLASSIFIED} SELECT count(*) FILTER (WHERE reason IS NULL) AS delivered,
+  count(*) FILTER (WHERE reason IS NOT NULL) AS dropped, {", ".join(f"count(*) FILTER (WHERE reason = '{r}') AS {r}" for r in wire.LINE_REASONS)} FROM classified"""
 ORACLE["ingest_report"] = f"""WITH {CLASSIFIED},
   attributed AS (SELECT c.tenant_id, event_id // 100 AS export, coalesce(reason, CASE WHEN a.app_id IS NULL THEN '{wire.UNMATCHED}' END) AS reason
     FROM classified c LEFT JOIN (SELECT * FROM apps WHERE state = 'approved') a ON a.tenant_id = c.tenant_id AND a.partner_ref = c.ref),

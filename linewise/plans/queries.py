@@ -497,6 +497,21 @@ def delivery_stats(spark, d):
     return report.delivery_stats(rows, ["tenant_id"])
 
 
+def _counter_row(spark, totals: dict) -> DataFrame:
+    """The counters beside the table they were counted over."""
+    names = ["delivered", "dropped", *wire.LINE_REASONS]
+    return spark.range(1).select(*[F.lit(totals.get(n) or 0).cast("bigint").alias(n) for n in names])
+
+
+@query
+def live_counters(spark, d):
+    """Counted while the classified lines are written."""
+    rows = recover.classify_lines(views.break_lines(views.event_lines(spark, d)).select("event_id", "line"), F.lit(NOW_SECONDS))
+    rows, seen = report.counted(rows.select("event_id", "reason"), f"counters-{uuid.uuid4().hex}", "reason")
+    rows.write.parquet(f"{shared_folder(spark)}/counted-{uuid.uuid4().hex}")
+    return _counter_row(spark, seen.get)
+
+
 @query
 def drop_report(spark, d):
     drops = (

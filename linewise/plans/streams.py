@@ -15,7 +15,7 @@ from .. import wire
 from ..functions.calls import call_json
 from ..functions.jsontext import ascii_length
 from ..functions.timestamps import epoch_micros
-from ..operators import lines, recover, trail
+from ..operators import lines, recover, report, trail
 from ..session import shared_folder
 from ..sources import sinks
 from ..sources.follow import follow_line_files
@@ -23,7 +23,7 @@ from ..sources.sinks import stream_to
 from ..streaming.lines import stream_dedupe, stream_lines, stream_pair
 from ..streaming.state import stream_rejoin, stream_reports, stream_trails
 from . import views
-from .queries import SMALL_TRAIL, big, query
+from .queries import SMALL_TRAIL, _counter_row, big, query
 from .views import NOW_SECONDS
 
 
@@ -168,3 +168,19 @@ def stream_delivered_lines(spark, d):
 
     rows.writeStream.foreachBatch(twice).option("checkpointLocation", f"{folder}/position").trigger(availableNow=True).start().awaitTermination()
     return once.read(rows.schema)
+
+
+@query
+def stream_live_counters(spark, d):
+    """Counted trigger by trigger while the lines are classified."""
+    name = f"counters_{uuid.uuid4().hex}"
+    calls = views.event_calls(views.table(spark, d, "events"))
+    broken = views.break_lines(lines.compose_lines(views.with_ref(calls, views.apps(spark, d))))
+    source = _by_time(broken.select("event_id", "line"), "event_id")
+    checked = stream_lines(source, F.lit(NOW_SECONDS)).select("event_id", "reason").observe(name, *report.counters("reason"))
+    listener = report.LiveCounters(name)
+    spark.streams.addListener(listener)
+    folder = f"{shared_folder(spark)}/counted-{uuid.uuid4().hex}"
+    totals = listener.after(stream_to(checked, f"{folder}/out", f"{folder}/position"))
+    spark.streams.removeListener(listener)
+    return _counter_row(spark, totals)
