@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..wire import REDACTED, SENSITIVE_HEADERS
 from . import col
@@ -24,10 +25,10 @@ def redact_headers(headers: Column | str, app_key: Column | str | None = None) -
     )
 
 
-def redact_header_lists(headers: Column | str, app_key: Column | str) -> Column:
+def redact_header_lists(headers: Column | str, app_key: Column | str | None = None) -> Column:
     """The same for headers holding a list of values each; a sensitive name keeps one
     marker, another name is checked value by value."""
-    key = col(app_key)
+    key = F.lit(None).cast("string") if app_key is None else col(app_key)
     return F.transform_values(
         col(headers),
         lambda k, vs: F.when(_by_name(k), F.array(F.lit(REDACTED))).otherwise(
@@ -36,6 +37,13 @@ def redact_header_lists(headers: Column | str, app_key: Column | str) -> Column:
     )
 
 
+def redacted_headers(df: DataFrame, name: str, app_key: str | None = None) -> Column:
+    """The header column ``name`` of ``df`` redacted, whether it holds a value or a list for each name."""
+    kind = df.schema[name].dataType
+    lists = isinstance(kind, T.MapType) and isinstance(kind.valueType, T.ArrayType)
+    return (redact_header_lists if lists else redact_headers)(name, app_key)
+
+
 def headers_json(headers: Column) -> Column:
     """A header map as a JSON object, an empty one as ``{}``."""
     return F.to_json(headers)

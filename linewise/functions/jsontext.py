@@ -25,9 +25,27 @@ def quoted(value: Column | str) -> Column:
 
 
 def number(value: Column | str) -> Column:
-    """A double as a JSON number, whole values without a fraction."""
+    """A double as the sender writes JSON numbers: whole values without a fraction, plain from
+    0.0001 up to 17 digits before the point, else as ``1.0e-5`` or ``1.25e+21``."""
     v = col(value)
-    return F.when((v == F.floor(v)) & (F.abs(v) < 1e15), v.cast("bigint").cast("string")).otherwise(v.cast("string"))
+
+    def shown(text: Column) -> Column:
+        part = lambda n: F.regexp_extract(text, r"^-?(\d)\.(\d+)E(-?\d+)$", n)
+        power = part(3).cast("int")
+        digits, at = F.concat(part(1), F.when(part(2) == "0", "").otherwise(part(2))), power + 1
+        zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
+        plain = (
+            F.when(at <= 0, F.concat(F.lit("0."), zeros(-at), digits))
+            .when(F.length(digits) <= at, F.concat(digits, zeros(at - F.length(digits))))
+            .otherwise(F.concat(F.left(digits, at), F.lit("."), F.substring(digits, at + 1, F.length(digits))))
+        )
+        power_text = F.concat(F.when(power > 0, "+").otherwise(""), power.cast("string"))
+        wide = F.concat(part(1), F.lit("."), part(2), F.lit("e"), power_text)
+        sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+        return F.when(F.contains(text, F.lit("E")), F.concat(sign, F.when(at.between(-3, 17), plain).otherwise(wide))).otherwise(text)
+
+    small = (v == F.floor(v)) & (F.abs(v) < 1e15)
+    return F.when(small, v.cast("bigint").cast("string")).otherwise(bind(v.cast("string"), shown))
 
 
 def entry(key: str, json_value: Column) -> Column:

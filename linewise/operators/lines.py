@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import wire
-from ..functions.headers import headers_json, redact_headers
+from ..functions.headers import headers_json, redacted_headers
 from ..functions.jsontext import ENTRY, entry, joined_objects, number, overlay_text, present, quoted, record_text
 from .recover import _PARSED, envelope_columns, wrapped_variant
 
@@ -121,7 +121,7 @@ def validate_calls(calls: DataFrame) -> DataFrame:
 def request_lines(requests: DataFrame) -> DataFrame:
     """Call rows for requests: message, level and data. Reads ``method, path, headers,
     correlation_id, app_key`` and ``body`` (JSON text; null = not given)."""
-    headers = headers_json(redact_headers("headers", "app_key"))
+    headers = headers_json(redacted_headers(requests, "headers", "app_key"))
     data = present(
         entry("method", quoted("method")),
         entry("path", quoted("path")),
@@ -139,7 +139,7 @@ def response_lines(responses: DataFrame, *, push: bool = False) -> DataFrame:
     A line leaves absent headers and body out and keeps an explicit null body (the JSON
     text ``null``); ``push`` always writes both."""
     rows = responses
-    headers = headers_json(redact_headers("headers", None if push else "app_key"))
+    headers = headers_json(redacted_headers(rows, "headers", None if push else "app_key"))
     body = F.col("body")
     status = entry("status_code", F.col("status_code").cast("string"))
     ends = [entry("duration_ms", json_value(rows, "duration")), entry("correlation_id", quoted("correlation_id"))]

@@ -497,3 +497,24 @@ ORACLE["redact_all"] = f"""SELECT doc_id, {chain(
 ORACLE["redact_by_sql"] = ORACLE["redact_all"]
 # no character outside the basic plane in these texts, so units are characters
 ORACLE["cut_fields"] = "SELECT doc_id, left(text, 128) AS head FROM documents"
+
+# --- rows with every case -------------------------------------------------------------------------
+ORACLE["explode_point_lists"] = """WITH points AS (SELECT l_orderkey, l_quantity AS value,
+    CASE WHEN l_linenumber = 5 AND l_partkey % 3 = 0 THEN ' ' WHEN l_linenumber % 2 = 0 THEN 's-' || l_suppkey END AS series,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS point_no FROM lineitem)
+  SELECT l_orderkey, point_no, value::DOUBLE AS value, series FROM points WHERE l_orderkey NOT IN (SELECT l_orderkey FROM points WHERE series = ' ')"""
+ORACLE["pair_partial_exchanges"] = """SELECT 't' || (o_custkey % 3) AS partner_ref, o_orderkey::VARCHAR AS correlation_id, CASE WHEN o_orderkey % 5 <> 0 THEN 'GET' END AS method,
+    CASE WHEN o_orderkey % 5 <> 0 THEN '/' || o_orderkey END AS path, CASE WHEN o_orderstatus <> 'O' THEN 200 END::BIGINT AS status_code, CASE WHEN o_orderstatus <> 'O' THEN o_orderkey::VARCHAR END AS duration_ms,
+    CASE WHEN o_orderstatus = 'O' THEN 'unanswered' WHEN o_orderkey % 5 = 0 THEN 'orphan' ELSE 'complete' END AS state
+  FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderstatus <> 'O'"""
+ORACLE["rejected_calls"] = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE k WHEN 0 THEN '`name` must be a non-empty string' WHEN 1 THEN '`method` must be a non-empty string'
+    WHEN 2 THEN '`method` must be at most 16 characters' WHEN 3 THEN '`method` must be an HTTP method (letters, `-`, `_`)' WHEN 4 THEN '`url` must be a non-empty string'
+    WHEN 5 THEN '`status` must be an HTTP status (100–599), or omitted for a network error' WHEN 6 THEN '`status` must be an HTTP status (100–599), or omitted for a network error'
+    WHEN 8 THEN '`durationMs` must be a finite, non-negative number' WHEN 9 THEN '`durationMs` must be a finite, non-negative number' END AS reject_reason,
+  CASE WHEN k = 7 THEN '{{"name":"name","method":"GET","url":"https://h.test/' || l_partkey || '","durationMs":' || CASE WHEN l_quantity < 10 THEN l_quantity::INT || '.0e-6' ELSE left(l_quantity::INT::VARCHAR, 1) || '.' || right(l_quantity::INT::VARCHAR, 1) || 'e-5' END || '}}' END AS call_json
+  FROM (SELECT *, (l_partkey + l_suppkey) % 10 AS k FROM lineitem)"""
+ORACLE["request_header_lists"] = f"""SELECT o_orderkey, '{{"Authorization":["{wire.REDACTED}"],"X-Key":["{wire.REDACTED}","other"],"accept":["json","' || o_orderkey || '"]}}' AS headers FROM orders"""
+ORACLE["number_texts"] = """SELECT l_orderkey, l_linenumber, l_partkey, sign || CASE WHEN place BETWEEN -3 AND 0 THEN '0.' || repeat('0', -place) || digits
+    WHEN place BETWEEN 1 AND 17 THEN CASE WHEN length(digits) <= place THEN digits || repeat('0', place - length(digits)) ELSE left(digits, place) || '.' || substr(digits, place + 1) END
+    ELSE left(digits, 1) || '.' || CASE WHEN length(digits) = 1 THEN '0' ELSE substr(digits, 2) END || 'e' || CASE WHEN place > 1 THEN '+' ELSE '' END || (place - 1) END AS shown
+  FROM (SELECT *, (l_orderkey % 31 - 5)::INT AS place, CASE WHEN l_linenumber = 2 THEN '-' ELSE '' END AS sign, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '15' ELSE '125' END AS digits FROM lineitem)"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import wire
 from ..functions import calls as call_fns
 from ..functions.headers import correlation_id, redact_headers
-from ..functions.jsontext import entry, object_text, present, quoted
+from ..functions.jsontext import entry, number, object_text, present, quoted
 from ..functions.pii import Options, is_sensitive_key, key_marker, redact_column, redact_json, redact_text
 from ..functions.pii.text import native_chain, register_sql
 from ..functions.text import substitute_bad_utf8
@@ -261,6 +261,19 @@ def substitute_invalid_utf8(spark, d):
 
 # --- relate ---------------------------------------------------------------------------------------
 
+@query
+def request_header_lists(spark, d):
+    """Headers with a list of values each, as a line carries them."""
+    held = F.create_map(
+        F.lit("Authorization"), F.array(text_of("Basic ", s("o_orderkey")), F.lit("again")), F.lit("X-Key"), F.array(text_of("cust-", s("o_custkey")), F.lit("other")),
+        F.lit("accept"), F.array(F.lit("json"), s("o_orderkey")),
+    )
+    rows = views.order_requests(table(spark, d, "orders")).drop("headers").join(table(spark, d, "orders").select("o_orderkey", held.alias("headers")), "o_orderkey")
+    made = lines.request_lines(rows.withColumn("correlation_id", s("o_orderkey")))
+    shown = F.filter("data", lambda e: e["key"] == "headers")[0]["value"]
+    return made.select("o_orderkey", shown.alias("headers"))
+
+
 @query
 def resolve_partner(spark, d):
     rows = views.with_ref(views.calls(spark, d), views.apps(spark, d))
@@ -299,6 +312,25 @@ def pair_exchanges(spark, d):
     return pairs.select("partner_ref", "correlation_id", "method", "path", big(F.col("status_code")).alias("status_code"), "duration_ms", "state")
 
 
+@query
+def pair_partial_exchanges(spark, d):
+    """Every fifth request was never seen; every other answer came twice."""
+    key = s("o_orderkey")
+    orders = table(spark, d, "orders").select(text_of("t", s(F.col("o_custkey") % 3)).alias("partner_ref"), key.alias("correlation_id"), "o_orderkey", "o_orderstatus")
+    empty = F.lit(None).cast("string")
+    asked = orders.filter("o_orderkey % 5 <> 0").select(
+        "partner_ref", "correlation_id", F.lit(wire.REQUEST_MESSAGE).alias("message"), F.lit(1).alias("at"), F.lit("GET").alias("method"), text_of("/", key).alias("path"),
+        F.lit(None).cast("int").alias("status_code"), empty.alias("duration_ms"),
+    )
+    again = F.explode(F.when(F.col("o_orderkey") % 2 == 0, F.array(F.lit(3), F.lit(2))).otherwise(F.array(F.lit(2)))).alias("at")
+    answered = orders.filter("o_orderstatus <> 'O'").select("*", again).select(
+        "partner_ref", "correlation_id", F.lit(wire.RESPONSE_MESSAGE).alias("message"), "at", empty.alias("method"), empty.alias("path"),
+        (F.col("at") * 100).cast("int").alias("status_code"), s(F.col("o_orderkey")).alias("duration_ms"),
+    )
+    pairs = exchange.pair_exchanges(asked.unionByName(answered), ["at"])
+    return pairs.withColumn("status_code", big(F.col("status_code")))
+
+
 @query
 def leak_scan(spark, d):
     """Every third line has a secret planted: the raw key, a digest, or the token."""
@@ -530,6 +562,34 @@ def strip_url(spark, d):
     return table(spark, d, "pages").select("page_id", call_fns.strip_url(F.concat(made, F.lit("?token=a#b"))).alias("url"))
 
 
+@query
+def rejected_calls(spark, d):
+    """A call with one of eight defects, or none."""
+    kind = F.pmod(F.col("l_partkey") + F.col("l_suppkey"), F.lit(10))
+    fits = lambda n, bad, good: F.when(kind == n, bad).otherwise(good)
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        fits(0, F.lit(" \t"), F.lit("name")).alias("name"),
+        F.when(kind == 1, "").when(kind == 2, "ABCDEFGHIJKLMNOPQ").when(kind == 3, "G3T").otherwise("GET").alias("method"),
+        fits(4, F.lit(None).cast("string"), text_of("https://h.test/", s("l_partkey"))).alias("url"),
+        F.when(kind == 5, 99.0).when(kind == 6, 200.5).when(kind == 7, 0.0).otherwise(599.0).alias("status"),
+        F.when(kind == 8, -1.0).when(kind == 9, float("inf")).otherwise(F.col("l_quantity") / 1e6).alias("duration_ms"),
+        *[F.lit(None).cast("string").alias(c) for c in ("request_id", "error_code", "call_message")],
+        F.lit(None).cast("double").alias("attempt"),
+    )
+    out = trail.normalise_calls(rows)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "reject_reason", call_fns.call_json(F.col("call")).alias("call_json"))
+
+
+@query
+def number_texts(spark, d):
+    """Durations from a millionth to 10^24 of a unit."""
+    mantissa = F.when(F.col("l_linenumber") == 1, "1").when(F.col("l_linenumber") == 2, "-1.5").otherwise("1.25")
+    written = text_of(mantissa, "E", s(F.col("l_orderkey") % 31 - 6))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", written.cast("double").alias("v"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", number("v").alias("shown"))
+
+
 @query
 def normalise_calls(spark, d):
     rows = trail.normalise_calls(views.upstream_calls(spark, d))
@@ -598,6 +658,19 @@ def explode_points(spark, d):
     return _order_points(spark, d).select("o_orderkey", "slug", big(F.col("point_no")).alias("point_no"), "timestamp", "value", "period", "series")
 
 
+@query
+def explode_point_lists(spark, d):
+    """An order's items as the points of one batch; a blank series refuses the whole batch."""
+    series = F.when((F.col("l_linenumber") == 5) & (F.col("l_partkey") % 3 == 0), " ").when(F.col("l_linenumber") % 2 == 0, text_of("s-", s("l_suppkey")))
+    point = F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", F.lit("2024-01-01T00:00:00Z").alias("timestamp"), F.col("l_quantity").alias("value"), F.lit("day").alias("period"), series.alias("series")
+    )
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(point)).alias("points"))
+    body = F.to_json(F.struct(F.lit("items").alias("slug"), F.col("points")))
+    batches_ = metrics.validate_metrics(metrics.read_metric_points(rows.select("l_orderkey", F.lit("key").alias("app_key"), body.alias("body"))))
+    return metrics.explode_points(batches_).select("l_orderkey", big(F.col("point_no")).alias("point_no"), "value", "series")
+
+
 @query
 def metric_series(spark, d):
     rows = metrics.metric_series(_order_points(spark, d))
