@@ -44,8 +44,18 @@ def number(value: Column | str) -> Column:
         sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
         return F.when(F.contains(text, F.lit("E")), F.concat(sign, F.when(at.between(-3, 17), plain).otherwise(wide))).otherwise(text)
 
+
+    def rounded(places: int) -> Column:
+        text = F.format_string(f"%.{places}E", v)
+        part = lambda n: F.regexp_extract(text, r"^(-?\d)\.(\d+?)0*E([+-]\d+)$", n)
+        shorter = F.concat(part(1), F.lit("."), part(2), F.lit("E"), part(3).cast("int").cast("string"))
+        return F.when(text.try_cast("double") == v, shorter)
+
+    # the JVM's text of a double may have digits that it does not take to read it back
+    long = F.length(F.regexp_replace(v.cast("string"), "E.*|[^0-9]", "")) >= 16
+    text = F.coalesce(F.when(long, F.coalesce(rounded(14), rounded(15))), v.cast("string"))
     small = (v == F.floor(v)) & (F.abs(v) < 1e15)
-    return F.when(small, v.cast("bigint").cast("string")).otherwise(bind(v.cast("string"), shown))
+    return F.when(small, v.cast("bigint").cast("string")).otherwise(bind(text, shown))
 
 
 def entry(key: str, json_value: Column) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linewise.functions.calls import cut, error_code, pick_request_id, reject_reason, scrub_message, strip_url
-from linewise.functions.headers import redact_header_lists, redact_headers
-from linewise.functions.jsontext import ascii_length, entries_of, is_whole_line, overlay_text, quoted
+from linewise import wire
+from linewise.functions.headers import headers_json, redact_header_lists, redact_headers, redacted_headers
+from linewise.functions.jsontext import ascii_length, entries_of, is_whole_line, number, overlay_text, quoted
 from linewise.functions.references import partner_ref
 from linewise.functions.timestamps import ms_number_to_ns, ms_to_ns
 from linewise.wire import LINE_START
@@ -136,3 +137,19 @@ def test_json_text(spark):
     assert row[0] == '{"level":"x","message":"m","b":1,"n":null,"2024":{"z":[1,2]}}'
     assert row[1] == '"a\\"\\\\\\n/é"'
     assert row[2] == 16 and row[3] == 2 + 12 + 6 + 1
+
+
+def test_numbers_as_the_sender_writes_them(spark):
+    want = {
+        1.0: "1", -3.0: "-3", 0.5: "0.5", 123456789.5: "123456789.5", 1e-4: "0.0001", 1e-5: "1.0e-5", -2.5e-7: "-2.5e-7", 1e15: "1000000000000000", 1e16: "10000000000000000",
+        1e17: "1.0e+17", 1.25e22: "1.25e+22", 1e21: "1.0e+21", 0.1 + 0.2: "0.30000000000000004", 12345678.25: "12345678.25", 1e23: "1.0e+23", 1 / 3: "0.3333333333333333",
+        1e300: "1.0e+300", 0.00123: "0.00123",
+    }
+    rows = spark.createDataFrame([(v,) for v in want] + [(None,)], "v double").select("v", number("v").alias("t")).collect()
+    assert {r.v: r.t for r in rows} == {**want, None: None}
+
+
+def test_header_lists_on_lines(spark):
+    rows = spark.createDataFrame([("k", {"Cookie": ["a", "b"], "X": ["k", "z"]})], "app_key string, headers map<string,array<string>>")
+    assert rows.select(headers_json(redacted_headers(rows, "headers", "app_key"))).first()[0] == f'{{"Cookie":["{wire.REDACTED}"],"X":["{wire.REDACTED}","z"]}}'
+    assert rows.select(headers_json(redacted_headers(rows, "headers"))).first()[0] == f'{{"Cookie":["{wire.REDACTED}"],"X":["k","z"]}}'
