@@ -7,12 +7,14 @@ slots are as many as keys: compress-hash-displace, where a bucket of one key nam
 slot outright. A slot stores the key's fingerprint, so that a key that was never put in is
 (but for one in 2^32) refused, and the number of the key's first document. Finding a shard is a
 comparison of key ranges that Parquet's statistics answer; finding a document in it takes two
-hashes and two reads, whatever its size. Nothing of the file set passes through the driver.
+hashes and three entries of its index, whatever its size. Nothing of the file set passes through the driver.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ SHARD_IDS = 1 << 20
 #: Characters of a text that order it among those of its key; what ranges are drawn from passes through the driver.
 HEAD = 64
 BUCKET_KEYS = 2
+#: So many keys are each a filter of their own in a lookup; more are filtered by their range and then by the tasks.
+MANY_KEYS = 200
 _TRIES = np.arange(32, dtype=np.uint64)
 _DIRECT = 1 << 31
 
@@ -182,26 +186,40 @@ def _spans(row: dict, keys: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
-    """``doc_id, ids`` of the first document with each of the given keys that is there."""
+    """``doc_id, ids`` of the first document with each of the given keys that is there.
+
+    First the shards whose key ranges hold some of the keys are asked through their indexes, without
+    their ids; then the ids of those shards that answered are read, and of these only the spans.
+    Every key range is a filter that Parquet's statistics decide, so far-apart keys do not open what
+    lies between them."""
     wanted = np.unique(np.array(keys, np.int64))
+    if not len(wanted):
+        return spark.createDataFrame([], "doc_id long, ids array<long>")
 
-    def run(batches):
+    def places(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 own = wanted[(wanted >= row["least_key"]) & (wanted <= row["last_key"])]
                 found = _spans(row, own.view(np.uint64))
-                place = [pa.array([row[c]] * len(found), pa.int32()) for c in ("part", "shard")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[[k for k, _, _ in found]] if found else [], pa.int64()), pa.array([_ids(row, a, b).tolist() for _, a, b in found], pa.list_(pa.int64())), *place],
-                    ["doc_id", "ids", "part", "shard"],
-                )
+                at = [pa.array([row[c]] * len(found), pa.int32()) for c in ("part", "shard")]
+                spans = [pa.array([f[k] for f in found], pa.int64()) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(own[[k for k, _, _ in found]] if found else [], pa.int64()), *at, *spans], ["doc_id", "part", "shard", "a", "b"])
+
+    def ids(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                held = [(s["doc_id"], _ids(row, s["a"], s["b"]).tolist()) for s in row["spans"]]
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in held], pa.int64()), pa.array([i for _, i in held], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
     shards = spark.read.schema(_DDL).parquet(path)
-    if not len(wanted):
-        return spark.createDataFrame([], "doc_id long, ids array<long>")
-    near = shards.filter((F.col("last_key") >= int(wanted[0])) & (F.col("least_key") <= int(wanted[-1])))
-    held = near.mapInArrow(run, "doc_id long, ids array<long>, part int, shard int")
-    return held.groupBy("doc_id").agg(F.min_by("ids", F.struct("part", "shard")).alias("ids"))  # a key may span shards and parts
+    near = reduce(or_, [(F.col("last_key") >= int(k)) & (F.col("least_key") <= int(k)) for k in wanted]) if len(wanted) <= MANY_KEYS else (
+        (F.col("last_key") >= int(wanted[0])) & (F.col("least_key") <= int(wanted[-1]))
+    )
+    index = shards.filter(near).select("part", "shard", "least_key", "last_key", "ends", "seeds", "prints", "firsts")
+    found = index.mapInArrow(places, "doc_id long, part int, shard int, a long, b long")
+    first = found.groupBy("doc_id").agg(F.min_by(F.struct("part", "shard", "a", "b"), F.struct("part", "shard")).alias("s"))  # a key may span shards and parts
+    asked = first.groupBy("s.part", "s.shard").agg(F.collect_list(F.struct("doc_id", "s.a", "s.b")).alias("spans"))
+    return shards.select("part", "shard", "width", "ids").join(asked, ["part", "shard"]).mapInArrow(ids, "doc_id long, ids array<long>")
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:

@@ -68,6 +68,18 @@ def test_id_files_cut_ranges_within_a_key(spark, tokenizer):
     assert {r.doc_id: r.ids for r in lookup(spark, path, [5, 7]).collect()} == {5: known["00 shared key"], 7: known["own"]}
 
 
+def test_lookup_of_far_apart_and_of_many_keys(spark, tokenizer):
+    rows = [(k * 10**6, f"text {k}") for k in range(400)]
+    path = shared_path(spark, "ids")
+    write_ids(spark.createDataFrame(rows, "doc_id long, text string"), path, default_tokenizer(), end_id=1, shard_ids=50)
+    far = lookup(spark, path, [0, 399 * 10**6, 17, -5])
+    assert {r.doc_id: r.ids for r in far.collect()} == {k * 10**6: ids_of(tokenizer, f"text {k}", 1) for k in (0, 399)}
+    plan = far._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters") >= 2 and "LessThanOrEqual(least_key" in plan
+    many = lookup(spark, path, [k for k, _ in rows] + list(range(1, 300)))
+    assert {r.doc_id: r.ids for r in many.collect()} == {k: ids_of(tokenizer, t, 1) for k, t in rows}
+
+
 def test_id_files_of_an_empty_table(spark):
     path = shared_path(spark, "ids")
     write_ids(spark.createDataFrame([], "doc_id long, text string"), path, default_tokenizer())
