@@ -518,3 +518,9 @@ ORACLE["number_texts"] = """SELECT l_orderkey, l_linenumber, l_partkey, sign ||
     WHEN place BETWEEN 1 AND 17 THEN CASE WHEN length(digits) <= place THEN digits || repeat('0', place - length(digits)) ELSE left(digits, place) || '.' || substr(digits, place + 1) END
     ELSE left(digits, 1) || '.' || CASE WHEN length(digits) = 1 THEN '0' ELSE substr(digits, 2) END || 'e' || CASE WHEN place > 1 THEN '+' ELSE '' END || (place - 1) END AS shown
   FROM (SELECT *, (l_orderkey % 31 - 5)::INT AS place, CASE WHEN l_linenumber = 2 THEN '-' ELSE '' END AS sign, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '15' ELSE '125' END AS digits FROM lineitem)"""
+ORACLE["matched_from_tables"] = ORACLE["matched_lines"]
+ORACLE["delivery_stats_with_lost"] = """SELECT 't' || (o_custkey % 3) AS tenant_id, 0::BIGINT AS buffered, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS delivered,
+  count(*) FILTER (WHERE o_orderkey % 3 = 0) AS dropped, coalesce(sum(n) FILTER (WHERE o_orderstatus = 'O'), 0)::BIGINT AS upstream_dropped
+  FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey GROUP BY 1"""
+ORACLE["redact_hard_forms"] = f"""SELECT doc_id, text || chr(10) || CASE WHEN doc_id % 3 < 2 THEN 'tel [PHONE_REDACTED] end'
+  ELSE 'https://api.example.com/v1/customers/orders/invoices/[ENCODED_KEY_REDACTED]/payments' END AS text FROM ({ORACLE["redact_all"]})"""

@@ -17,7 +17,7 @@ from ..functions.pii.text import native_chain, register_sql
 from ..functions.text import substitute_bad_utf8
 from ..operators import batches, context, exchange, leaks, lines, metrics, ordered, partner, recover, report, scopes, trail
 from ..session import shared_folder
-from ..sources.files import read_line_files
+from ..sources.files import read_apps, read_calls, read_line_files
 from ..sources.sinks import write_lines
 from . import ingest, views
 from .views import NOW_SECONDS, s, table, text_of
@@ -299,6 +299,16 @@ def unmatched_lines(spark, d):
     return partner.unmatched_lines(rows, views.apps(spark, d)).select("event_id")
 
 
+@query
+def matched_from_tables(spark, d):
+    """The registry and the calls kept as tables and read again."""
+    folder = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    views.apps(spark, d).write.parquet(f"{folder}/apps")
+    views.calls(spark, d).select("event_id", "app_key", "tenant_id").write.parquet(f"{folder}/calls")
+    registry = read_apps(spark, f"{folder}/apps")
+    return partner.matched_lines(views.with_ref(read_calls(spark, f"{folder}/calls"), registry), registry).select("event_id")
+
+
 @query
 def matched_lines(spark, d):
     rows = views.with_ref(views.calls(spark, d), views.apps(spark, d))
@@ -544,6 +554,18 @@ def live_counters(spark, d):
     return _counter_row(spark, seen.get)
 
 
+@query
+def delivery_stats_with_lost(spark, d):
+    """Requests of a third priority refused; the calls of open orders lost."""
+    lost = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
+    orders = table(spark, d, "orders").join(lost, "o_orderkey", "left")
+    rows = orders.select(
+        text_of("t", s(F.col("o_custkey") % 3)).alias("tenant_id"), F.when(F.col("o_orderkey") % 3 == 0, "refused").alias("drop_reason"),
+        F.when(F.col("o_orderstatus") == "O", F.coalesce("n", F.lit(0))).otherwise(0).alias("upstream_lost"),
+    )
+    return report.delivery_stats(rows, ["tenant_id"])
+
+
 @query
 def drop_report(spark, d):
     drops = (
@@ -716,6 +738,24 @@ def redact_phones(spark, d):
     return _redacted(_documents(spark, d, "\ncall (415) 555-", F.lpad(s(F.col("doc_id") % 10000), 4, "0"), " today"), phones=True)
 
 
+#: Texts with what only the Python rules can tell apart: international and folded numbers, words of a path around a key.
+HARD_TEXTS = (
+    ("tel +44 20 7946 0000 end", "tel [PHONE_REDACTED] end"),
+    ("tel +44 \U0001d7d0\U0001d7ce 7946 0000 end", "tel [PHONE_REDACTED] end"),
+    (
+        "https://api.example.com/v1/customers/orders/invoices/Zx9Qw8Er7Ty6Ui5Op4As/payments",
+        "https://api.example.com/v1/customers/orders/invoices/[ENCODED_KEY_REDACTED]/payments",
+    ),
+)
+
+
+@query
+def redact_hard_forms(spark, d):
+    kind = F.col("doc_id") % len(HARD_TEXTS)
+    added = F.element_at(F.array(*[F.lit(t) for t, _ in HARD_TEXTS]), (kind + 1).cast("int"))
+    return _documents(spark, d, F.lit("\n"), added).select("doc_id", redact_text("text").alias("text"))
+
+
 @query
 def redact_cards(spark, d):
     return _redacted(_documents(spark, d, " 4111 1111 1111 ", F.lpad(s(F.col("doc_id") % 10000), 4, "0"), " CVV: 123"), cards=True)
