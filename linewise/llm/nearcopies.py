@@ -151,7 +151,7 @@ def _across(least: float, num: int, den: int):
         distinct, places = np.unique(np.concatenate(held), return_inverse=True)
         places = np.split(places, np.cumsum(sizes)[:-1])
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        within = not len(two)
+        within = not len(two) and not key[1].as_py()  # else there is nothing across
         mark = np.zeros(len(distinct), dtype=bool)
         left, right = [], []
         for k, i in enumerate(one.tolist()):
@@ -228,17 +228,24 @@ def near_copies(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     found = stored(with_links(found, confirm(apart(led, found), "second")), "components")
 
     tagged = inside.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = tagged.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("key")
-    left = tagged.select("key", "id", "component", "n").join(stored(mixed, "mixed"), "key")
-    width_of = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int")
-    left = left.withColumn("blocks", width_of).withColumn("block", F.pmod(F.xxhash64("id", "key"), "blocks").cast("int"))
+    # In a bucket of several components only pairs across them are open. The largest component's rows
+    # go to each block of the others, and those to each of its blocks, so copies follow the open pairs.
+    held = tagged.groupBy("key", "component").agg(F.count("*").alias("m"))
+    mixed = held.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("n"), F.count("*").alias("k")).filter("k > 1")
+    blocks = lambda n: F.ceil(n / BUCKET_BLOCK).cast("int")
+    mixed = stored(mixed.select("key", F.col("top.component").alias("main"), blocks(F.col("top.m")).alias("of_main"), blocks(F.col("n") - F.col("top.m")).alias("of_rest")), "mixed")
+    left = tagged.select("key", "id", "component").join(mixed, "key").withColumn("main", F.col("component") == F.col("main"))
+    left = left.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.when(F.col("main"), F.col("of_main")).otherwise(F.col("of_rest"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    deal = lambda cross, i, j, side: F.struct(F.lit(cross).alias("cross"), i.alias("i"), j.alias("j"), F.lit(side).alias("side") if isinstance(side, int) else side.alias("side"))
+    block = F.col("block")
+    to_rest = F.transform(upto("of_rest"), lambda q: deal(True, block, q, 0))
+    to_main = F.transform(upto("of_main"), lambda p: deal(True, p, block, 1))
+    to_others = F.transform(upto("of_rest"), lambda q: deal(False, F.least(block, q), F.greatest(block, q), F.when(block <= q, 0).otherwise(1)))
+    places = F.explode(F.when(F.col("main"), to_rest).otherwise(F.concat(to_main, to_others))).alias("at")
     left = left.join(sketches.select("id", "sig"), "id").join(sets.select("id", "short"), "id")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = left.select("key", "id", "component", "sig", "short", "block", other).select(
-        "key", "id", "component", "sig", "short", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
-    )
-    rest = dealt.groupBy("key", "i", "j").applyInArrow(_across(least, num, den), "a long, b long").distinct()
+    dealt = left.select("key", "id", "component", "sig", "short", places).select("key", "id", "component", "sig", "short", "at.*")
+    rest = dealt.groupBy("key", "cross", "i", "j").applyInArrow(_across(least, num, den), "a long, b long").distinct()
     rest = stored(rest.join(led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
     found = stored(with_links(found, confirm(rest, "third")), "components")
 

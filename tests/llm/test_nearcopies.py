@@ -81,3 +81,22 @@ def test_words_that_collide_in_sums_of_powers(spark):
     docs = spark.createDataFrame([(1, a), (2, b), (3, f"u v {a}"), (4, f"u v {b}"), (5, a.upper())], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_copies(docs, width=3, num=85, den=100).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_a_large_component_that_shares_buckets_with_strangers(spark):
+    """One group of near-copies over many blocks, and small ones that are almost like it."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(700):
+        words = list(base)
+        words[rng.randrange(60)] = f"x{k}"
+        texts.append(" ".join(words))
+    for k in range(12):
+        words = list(base)
+        for at in rng.sample(range(60), 4 + k % 5):
+            words[at] = f"y{k}-{at}"
+        texts += [" ".join(words), " ".join([*words[:-1], f"z{k}"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_copies(docs, width=2, num=85, den=100).collect()}
+    assert got == {i: (n, c) for i, n, c, _ in brute(texts, 2, 85, 100)} and len({c for _, c in got.values()}) > 3
