@@ -101,7 +101,8 @@ def part_groups(
     beyond = (F.col("_place") >= max_parts) | (F.col("_before") >= max_bytes)
     within = rows.filter(~beyond).withColumns({"line_start": F.col("_start"), "part_no": F.col("_place").cast("int")})
     more = rows.filter(beyond)
-    slim = more.select(*keys, F.col("_start").alias("_line"), "_place", "_size")
+    # mostly there are none, which adaptive execution sees from this exchange and then leaves the rest out
+    slim = more.select(*keys, F.col("_start").alias("_line"), "_place", "_size").repartition(*keys, "_line")
     runs = greedy_runs(slim, [*keys, "_line"], "_place", "_size", max_parts, max_bytes, DEFAULT_CHUNK_ROWS, reaching=True)
     cut = more.join(runs.select(*keys, F.col("_line").alias("_start"), "_place", "run_start"), [*keys, "_start", "_place"]).withColumns(
         {"line_start": F.col("_start") + F.col("run_start"), "part_no": (F.col("_place") - F.col("run_start")).cast("int")}
