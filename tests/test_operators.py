@@ -42,6 +42,33 @@ def test_greedy_runs_equal_the_plain_loop(spark, seed):
     assert {tuple(r) for r in got.select("g", "p", "run_no", "run_start").collect()} == want
 
 
+
+def test_greedy_chunks_stay_whole_in_many_tasks(spark):
+    """Adaptive execution deals out anew what it takes for a join's exchange; a chunk must stay one task's."""
+    rows = spark.range(60_000).select((F.col("id") % 12).alias("g"), F.floor(F.col("id") / 12).alias("p"), (7 + F.col("id") * 7919 % 13).alias("w"))
+    size = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "-1")
+    try:
+        runs = greedy_runs(rows.repartition(6), ["g"], "p", "w", 10, 100, 64)
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+        got = {(r.g, r.p): r.run_no for r in runs.collect()}
+    finally:
+        spark.conf.set(size, before)
+    cut = plan[plan.index("MapInPandas cut(") :]
+    assert "Join" not in cut[: cut.index("Exchange hashpartitioning")]
+    want = {}
+    for g in range(12):
+        run, size, n = 0, 0, 0
+        for p in range(5000):
+            w = 7 + (p * 12 + g) * 7919 % 13
+            if n == 10 or size + w > 100:
+                run, size, n = run + 1, 0, 0
+            size, n = size + w, n + 1
+            want[g, p] = run
+    assert got == want
+
+
 def test_pack_batches(spark):
     df = spark.range(1500).select(F.lit("a").alias("k"), F.lit(None).cast("string").alias("n"), F.col("id").alias("seq"), F.lit("x").alias("line"))
     big = spark.createDataFrame([("b", None, i, "y" * 400) for i in range(3)] + [("c", "n", 0, "z" * 2000), ("c", "n", 1, "z")],
