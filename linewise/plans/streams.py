@@ -16,7 +16,7 @@ from ..functions.calls import call_json
 from ..functions.jsontext import ascii_length
 from ..functions.timestamps import epoch_micros
 from ..operators import lines, recover, report, trail
-from ..session import shared_folder
+from ..session import cut_lineage, shared_folder
 from ..sources import sinks
 from ..sources.follow import follow_line_files
 from ..sources.sinks import stream_to
@@ -87,6 +87,7 @@ def stream_pair_exchanges(spark, d):
     parsed = lines.parse_lines(asked.select("line").unionByName(answered.select("line")))
     timed = parsed.withColumn("ts", F.timestamp_micros((F.col("ts_ns").cast("decimal(38,0)") / 1000).cast("bigint")))
     timed = timed.select("partner_ref", "correlation_id", "message", "ts", "method", "path", "status_code", "duration_ms").repartition(4)
+    timed = cut_lineage(timed)  # made once, for its own files and for the latest time
     last = timed.agg((F.max("ts") + F.expr("interval 60 days")).alias("ts"))
     later = last.select(F.explode(F.array(F.lit(wire.REQUEST_MESSAGE), F.lit(wire.RESPONSE_MESSAGE))).alias("message"), "ts")
     later = later.withColumns({"partner_ref": F.lit(""), "correlation_id": F.col("message")})
@@ -97,7 +98,9 @@ def stream_pair_exchanges(spark, d):
 
 
 def _by_time(rows: DataFrame, at: str) -> DataFrame:
-    """``rows`` as a stream of three triggers in the order of ``at``, four files each."""
+    """``rows`` as a stream of three triggers in the order of ``at``, four files each. They are made
+    once: their ends and each trigger's share are read from the shared folder."""
+    rows = cut_lineage(rows)
     ends = rows.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
     if ends.a is None:
         return _in_triggers(rows)

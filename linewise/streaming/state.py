@@ -24,6 +24,7 @@ from ..session import ship_package
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RUN_ROWS, SPOOL_ROWS = 4096, 256
+TRAIL_BUCKETS = 1 << 14
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -33,7 +34,7 @@ def use_state_store(spark: SparkSession) -> None:
 
 
 class _Ordered(StatefulProcessor):
-    """Reads a key's rows by their first column, ``RUN_ROWS`` of them in memory, or
+    """Reads a key's rows by their ``order``, the first column as a rule, ``RUN_ROWS`` of them in memory, or
     ``SPOOL_ROWS`` of each run where there are more."""
 
     columns: tuple[str, ...] = ()
@@ -45,7 +46,7 @@ class _Ordered(StatefulProcessor):
         self.made = Row(*self.out)
 
     def rows(self, given: Iterator[Row]) -> Iterator[tuple]:
-        pick, by = itemgetter(*self.columns), itemgetter(0)
+        pick, by = itemgetter(*self.columns), self.order
 
         def run_of() -> list[tuple]:
             return sorted((pick(r) for r in islice(given, RUN_ROWS)), key=by)
@@ -68,6 +69,9 @@ class _Ordered(StatefulProcessor):
             some = run_of()
         yield from merge(*runs, key=by)
 
+    def order(self, row: tuple):
+        return row[0]
+
     def ring(self, at_ms: int, before: int | None) -> None:
         """The key's one timer; ``before`` is when it was to ring."""
         if before is not None and before != at_ms:
@@ -120,61 +124,82 @@ def stream_rejoin(
 
 
 class _Trails(_Ordered):
-    columns, out = ("seq", "kind", "call_json", "call_bytes", "ms"), ("exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped")
+    """Of a bucket of exchanges: what waits of them is one value and has one timer, the earliest, as
+    every access is a round trip."""
+
+    columns, out = ("exchange_id", "seq", "kind", "call_json", "call_bytes", "ms"), ("exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped")
 
     def __init__(self, max_calls: int, max_bytes: int, wait_ms: int | None):
         self.max_calls, self.max_bytes, self.wait_ms = max_calls, max_bytes, wait_ms
 
     def init(self, handle):
         super().init(handle)
-        # at most max_calls calls; one value, as every access is a round trip
-        self.held = handle.getValueState("held", "calls array<struct<seq:bigint,text:string,size:int>>, dropped int, last_ms bigint")
+        # by exchange at most max_calls calls, the number dropped and the latest time
+        self.held = handle.getValueState("held", "waiting binary, rings bigint")
+
+    def order(self, row):
+        return row[0] is not None, row[0] or "", row[1]
 
-    def fitted(self, key, calls, dropped, answered):
+    def fitted(self, exchange, calls, dropped, answered):
         calls = sorted(calls)
         while calls and 2 + sum(c[2] for c in calls) + len(calls) - 1 > self.max_bytes:
             calls, dropped = calls[1:], dropped + 1
-        return self.made(*key, answered, "[" + ",".join(c[1] for c in calls) + "]", len(calls), dropped)
-
-    def alarm(self, last_ms):
-        return None if self.wait_ms is None or last_ms is None else last_ms + self.wait_ms + 1
+        return self.made(exchange, answered, "[" + ",".join(c[1] for c in calls) + "]", len(calls), dropped)
+
+    def waiting(self):
+        found = self.held.get()
+        return (pickle.loads(found[0]), found[1]) if found is not None else ({}, None)  # written below, by this processor
+
+    def keep(self, waiting, rings):
+        """What waits now; ``rings`` is when the bucket's timer was to ring, if it still is."""
+        at = None
+        if self.wait_ms is not None and waiting:
+            at = min(last_ms for _, _, last_ms in waiting.values()) + self.wait_ms + 1
+            self.ring(at, rings)
+        elif rings is not None:
+            self.handle.deleteTimer(rings)
+        if waiting:
+            self.held.update((pickle.dumps(waiting), at))
+        else:
+            self.held.clear()
 
     def handleInputRows(self, key, rows, timerValues):
-        held = self.held.get()
-        calls, dropped, last_ms = ([tuple(c) for c in held[0]], held[1], held[2]) if held is not None else ([], 0, None)
-        rings = self.alarm(last_ms)
-        for seq, kind, text, size, ms in self.rows(rows):
-            if self.wait_ms is not None:
-                if (calls or dropped) and ms - last_ms > self.wait_ms:
-                    yield self.fitted(key, calls, dropped, False)
+        waiting, rings = self.waiting()
+        some = bool(waiting)
+        for exchange, its in groupby(self.rows(rows), key=itemgetter(0)):
+            calls, dropped, last_ms = waiting.pop(exchange, ([], 0, None))
+            for _, seq, kind, text, size, ms in its:
+                if self.wait_ms is not None:
+                    if (calls or dropped) and ms - last_ms > self.wait_ms:
+                        yield self.fitted(exchange, calls, dropped, False)
+                        calls, dropped = [], 0
+                    last_ms = int(ms) if last_ms is None else max(last_ms, int(ms))
+                if kind == "call":
+                    calls.append((int(seq), text, int(size)))
+                    if len(calls) > self.max_calls:
+                        calls.remove(min(calls))
+                        dropped += 1
+                elif calls or dropped:
+                    yield self.fitted(exchange, calls, dropped, kind == "response")
                     calls, dropped = [], 0
-                last_ms = int(ms) if last_ms is None else max(last_ms, int(ms))
-            if kind == "call":
-                calls.append((int(seq), text, int(size)))
-                if len(calls) > self.max_calls:
-                    calls.remove(min(calls))
-                    dropped += 1
-            elif calls or dropped:
-                yield self.fitted(key, calls, dropped, kind == "response")
-                calls, dropped = [], 0
-        if calls or dropped:
-            self.held.update((calls, dropped, last_ms))
-            if self.wait_ms is not None:
-                self.ring(self.alarm(last_ms), rings)
-        elif held is not None:
-            self.held.clear()
-            if rings is not None:
-                self.handle.deleteTimer(rings)
+            if calls or dropped:
+                waiting[exchange] = (calls, dropped, last_ms)
+        if some or waiting:
+            self.keep(waiting, rings)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.held.get()
-        if held is not None:
-            self.held.clear()
-            yield self.fitted(key, [tuple(c) for c in held[0]], held[1], False)
+        waiting, _ = self.waiting()
+        now = timerValues.getCurrentWatermarkInMs()
+        rung = [e for e, (_, _, last_ms) in waiting.items() if last_ms + self.wait_ms + 1 < now]
+        for exchange in rung:
+            calls, dropped, _ = waiting.pop(exchange)
+            yield self.fitted(exchange, calls, dropped, False)
+        self.keep(waiting, None)
 
 
 def stream_trails(
-    events: DataFrame, max_calls: int = wire.TRAIL_MAX_CALLS, max_bytes: int = wire.TRAIL_MAX_BYTES, wait: str | None = None, delay: str = "1 hour"
+    events: DataFrame, max_calls: int = wire.TRAIL_MAX_CALLS, max_bytes: int = wire.TRAIL_MAX_BYTES, wait: str | None = None, delay: str = "1 hour",
+    buckets: int = TRAIL_BUCKETS,
 ) -> DataFrame:
     """The trail of each exchange, sent out when its response comes. Reads
     ``exchange_id, seq, kind`` (call | response | end), ``call_json`` and ``call_bytes`` (its
@@ -183,7 +208,10 @@ def stream_trails(
     With ``wait`` the rows also have ``ts``, and an exchange that is silent longer than
     that in event time goes out with ``answered`` false, so that its calls are counted as
     lost: at once when a later row of it shows the gap, else when the watermark, ``delay``
-    behind the latest row, has passed. No closing row is needed."""
+    behind the latest row, has passed. No closing row is needed.
+
+    State is kept by bucket of exchanges: a task holds what waits in one of ``buckets``, which
+    stays the same while a query's checkpoint is used."""
     spark = events.sparkSession
     ship_package(spark)
     use_state_store(spark)
@@ -193,7 +221,8 @@ def stream_trails(
     else:
         events, wait_ms = events.withColumn("ms", F.lit(0).cast("bigint")), None
     rows = events.select("exchange_id", "seq", "kind", "call_json", "call_bytes", "ms", *(["ts"] if wait is not None else []))
-    return rows.groupBy("exchange_id").transformWithState(
+    bucket = F.pmod(F.xxhash64("exchange_id"), F.lit(buckets)).alias("bucket")
+    return rows.select("*", bucket).groupBy("bucket").transformWithState(
         _Trails(max_calls, max_bytes, wait_ms), "exchange_id string, answered boolean, trail_json string, n_calls int, upstream_dropped int",
         "append", "EventTime" if wait is not None else "None",
     )

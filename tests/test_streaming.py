@@ -13,6 +13,7 @@ from linewise.operators import recover, report, trail
 from linewise.operators.lines import compose_lines, parse_lines
 from linewise.operators.leaks import leak_scan
 from linewise.operators.partner import secret_forms
+from linewise.plans.streams import _by_time
 from linewise.sources.files import read_line_files, stream_line_files
 from linewise.sources.sinks import stream_to, write_export_records, write_lines, write_push_batches
 from linewise.streaming.lines import stream_dedupe, stream_lines, stream_pair
@@ -134,6 +135,37 @@ def test_silence_ends_an_exchange_by_the_watermark(spark, tmp_path):
     ])
 
 
+def test_exchanges_of_one_bucket_keep_apart(spark, tmp_path):
+    folder, schema = str(tmp_path / "shared"), "exchange_id string, seq bigint, kind string, call_json string, call_bytes int, ts timestamp"
+    row = lambda key, seq, kind, at: (key, seq, kind, f"{{{seq}}}" if kind == "call" else None, 3, datetime(2024, 1, 1) + timedelta(seconds=at))
+    triggers = [
+        [row("a", 2, "call", 1), row("b", 1, "call", 1), row("a", 1, "call", 2), row("c", 1, "call", 30), row(None, 1, "call", 3)],
+        [row("a", 3, "response", 5), row("c", 2, "response", 40), row("d", 1, "call", 41)],
+        [row("e", 1, "call", 45)],
+        [row("e", 2, "response", 200)],
+        [row("f", 1, "call", 201)],
+    ]
+    for rows in triggers:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = run(stream_trails(source, wait="20 seconds", delay="10 seconds", buckets=1), tmp_path, "shared-out")
+    assert sorted((r.exchange_id or "", r.answered, r.trail_json) for r in out.collect()) == [
+        ("", False, "[{1}]"), ("a", True, "[{1},{2}]"), ("b", False, "[{1}]"), ("c", True, "[{1}]"), ("d", False, "[{1}]"), ("e", False, "[{1}]"),
+    ]
+
+
+def test_rows_for_several_triggers_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(x):
+        made.add(1)
+        return x
+
+    stream = _by_time(spark.range(90).select(seen("id").alias("id")), "id")
+    assert stream.isStreaming and made.value == 90
+
+
 def test_held_reports_come_out_by_the_watermark(spark, tmp_path):
     folder, t = str(tmp_path / "held"), 10**12
     for rows in ([("a", t, 1), ("a", t + 10, 2), ("b", t + 5, 1)], [("b", t + 200_000, 4), ("b", t + 200_001, 1)], [("c", t + 900_000, 1), ("c", t + 900_001, 1)]):
