@@ -1,10 +1,10 @@
 """Secrets of a tenant in its lines: an index of short anchors, lines that never move.
 
 "Contains" alone is a nested loop of all lines and all secrets. Of every secret the eight bytes
-that fewest secrets of its tenant share are its anchor (a shorter secret is its own). The
-anchors' hashes set bits of a map of fixed size, whatever their number; that map, and nothing else, goes to
+that fewest secrets of its tenant share are its anchor (a shorter secret is its own). Each
+anchor's hashes set a few bits of a map, of 32 bits an anchor; that map, and nothing else, goes to
 all tasks. A task looks at every eight bytes of its lines at once, in numpy, and gives out the
-bytes around those whose bit is set: the true finds and a small share of chance ones. These
+bytes around those whose bits are all set: the true finds and a few chance ones. These
 meet the secrets on (tenant, anchor) and are compared in full, so nothing is missed or invented,
 and the work grows with the lines' length.
 """
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, ship_package
 
 WIDTH = 8
-MAP_BITS = 1 << 24
+MAP_BITS, MOST_BITS = 1 << 24, 1 << 28  # 2 MB to 32 MB
+BITS_EACH, HASHES = 32, 6
 BLOCK_BYTES = 1 << 20
 
 
@@ -32,9 +33,14 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _bits(values: np.ndarray, tenants: np.ndarray, width: int, size: int) -> np.ndarray:
-    """The map's bit for each anchor (up to eight bytes as a little-endian number)."""
-    return (_spread(values + _spread(tenants + np.uint64(width))) % np.uint64(size)).astype(np.int64)
+def _hashed(values: np.ndarray, tenants: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each anchor (up to eight bytes as a little-endian number)."""
+    return _spread(values + _spread(tenants + np.uint64(width)))
+
+
+def _bit(hashed: np.ndarray, k: int, size: int) -> np.ndarray:
+    """The ``k``-th bit of the map for each hash."""
+    return ((_spread(hashed + np.uint64(k)) if k else hashed) % np.uint64(size)).astype(np.int64)
 
 
 def anchors(secrets: DataFrame) -> DataFrame:
@@ -60,7 +66,8 @@ def _words(size: int):
             held = batch.column("anchor").to_pylist()
             widths, values = np.array([len(a) for a in held], np.int64), _numbers(held)
             tenants = batch.column("tenant").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            bits = np.concatenate([_bits(values[widths == w], tenants[widths == w], w, size) for w in range(1, WIDTH + 1)])
+            hashed = np.concatenate([_hashed(values[widths == w], tenants[widths == w], w) for w in range(1, WIDTH + 1)])
+            bits = np.concatenate([_bit(hashed, k, size) for k in range(HASHES)])
             words = np.zeros(size // 64, np.uint64)
             np.bitwise_or.at(words, bits // 64, np.uint64(1) << (bits % 64).astype(np.uint64))
             some = np.flatnonzero(words)
@@ -70,7 +77,7 @@ def _words(size: int):
 
 
 def _candidates(words, widths: list[int], before: int, after: int):
-    """Wherever a line's bytes set a bit of the map: the anchor, and the bytes around it."""
+    """Wherever all bits of a line's bytes are set in the map: the anchor, and the bytes around it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 64 * len(words.value)
@@ -82,6 +89,10 @@ def _candidates(words, widths: list[int], before: int, after: int):
                 yield from block(batch.slice(start, stop - start), size)
                 start, done = stop, int(ends[stop - 1])
 
+    def is_set(hashed: np.ndarray, k: int, size: int) -> np.ndarray:
+        bits = _bit(hashed, k, size)
+        return (words.value[bits // 64] >> (bits % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+
     def block(rows: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         column = rows.column("text").cast(pa.large_binary())
         _, offs, data = column.buffers()
@@ -96,8 +107,10 @@ def _candidates(words, widths: list[int], before: int, after: int):
         at, wide = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for width in widths:
             values = every if width == WIDTH else every & np.uint64((1 << 8 * width) - 1)
-            bits = _bits(values, tenants, width, size)
-            hit = np.flatnonzero((words.value[bits // 64] >> (bits % 64).astype(np.uint64) & np.uint64(1)).astype(bool) & (left >= width))
+            hashed = _hashed(values, tenants, width)
+            hit = np.flatnonzero(is_set(hashed, 0, size) & (left >= width))
+            for k in range(1, HASHES):
+                hit = hit[is_set(hashed[hit], k, size)]
             at.append(hit)
             wide.append(np.full(len(hit), width))
         at, wide = np.concatenate(at), np.concatenate(wide)
@@ -116,16 +129,18 @@ def _candidates(words, widths: list[int], before: int, after: int):
     return run
 
 
-def leak_scan(lines: DataFrame, secrets: DataFrame, line_id: str = "line_id", map_bits: int = MAP_BITS) -> DataFrame:
+def leak_scan(lines: DataFrame, secrets: DataFrame, line_id: str = "line_id", map_bits: int | None = None) -> DataFrame:
     """(line_id, tenant_id, form) for every line holding a secret of its tenant, once each.
 
-    ``map_bits`` is the size of the map (a multiple of 64): with many more secrets than an eighth
-    of it, more chance finds travel, and are refused, but the result is the same. A line
+    ``map_bits`` is the size of the map (a multiple of 64), else it follows the number of secrets, up to
+    ``MOST_BITS``. In a map too small for them more chance finds travel, and are refused, but the result is the same. A line
     without text, tenant or id holds nothing that could be named."""
     spark = lines.sparkSession
     ship_package(spark)
     known = cut_lineage(anchors(secrets))
-    shape = known.agg(F.sort_array(F.collect_set(F.octet_length("anchor"))), F.max("at"), F.max(F.octet_length("raw") - F.col("at"))).first()
+    shape = known.agg(F.sort_array(F.collect_set(F.octet_length("anchor"))), F.max("at"), F.max(F.octet_length("raw") - F.col("at")), F.count(F.lit(1))).first()
+    if map_bits is None:
+        map_bits = min(max(MAP_BITS, 1 << (BITS_EACH * shape[3] - 1).bit_length()), MOST_BITS) if shape[3] else MAP_BITS
     widths, before, after = shape[0], shape[1] or 0, shape[2] or 0
     tenant = F.xxhash64(F.col("tenant_id").cast("string")).alias("tenant")
     set_words = known.select(tenant, "anchor").mapInArrow(_words(map_bits), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))

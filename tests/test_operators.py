@@ -2,12 +2,15 @@
 
 import json
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from linewise.functions.jsontext import entries_of
-from linewise.operators import batches, exchange, metrics, recover, report, trail
+from linewise.operators import batches, exchange, leaks, metrics, recover, report, trail
 from linewise.operators.greedy import greedy_runs
 from linewise.operators.lines import compose_lines, parse_lines, request_lines, response_lines, validate_calls
 from linewise.wire import ENVELOPE_PREFIX
@@ -210,6 +213,19 @@ def test_leak_scan_equals_contains(spark):
     assert got == {(i, t, f) for i, t, x in lines for ft, f, s in forms if ft == t and s in x}
 
 
+def test_few_chance_finds_among_many_secrets():
+    rng, size = random.Random(5), 1 << 20
+    known = [rng.randbytes(8) for _ in range(20_000)]
+    held = pa.RecordBatch.from_arrays([pa.array(known, pa.binary()), pa.array([1] * len(known), pa.int64())], ["anchor", "tenant"])
+    words = np.zeros(size // 64, np.uint64)
+    for found in leaks._words(size)([held]):
+        words[found.column("word").to_numpy()] |= found.column("bits").to_numpy().view(np.uint64)
+    text = rng.randbytes(50_000) + known[7]
+    line = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["t"]), pa.array([1], pa.int64()), pa.array([text], pa.binary())], ["line", "tenant_id", "tenant", "text"])
+    near = [a for b in leaks._candidates(SimpleNamespace(value=words), [8], 0, 8)([line]) for a in b.column("anchor").to_pylist()]
+    assert known[7] in near and len(near) < 10
+
+
 def test_classify_reasons_in_order(spark):
     def line(**over):
         env = {"line": "1.6.0", "partner_ref": "r", "timestamp": str(1000 * 10**9), "level": "info", **over}
