@@ -19,8 +19,14 @@ CALL_FIELDS = ("name", "method", "url", "status", "durationMs", "requestId", "er
 
 
 def trimmed(value: Column | str) -> Column:
-    """Text without surrounding white space; null when nothing is left."""
-    return F.nullif(F.btrim(col(value), F.lit(TRIM_SPACE)), F.lit(""))
+    """Text without surrounding white space; null when nothing is left. Text that begins and ends
+    with a visible ASCII character once its blanks are off is not searched for the other kinds."""
+
+    def rest(text: Column) -> Column:
+        done = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+        return F.when(done, text).otherwise(F.nullif(F.btrim(text, F.lit(TRIM_SPACE)), F.lit("")))
+
+    return bind(F.trim(col(value)), rest)
 
 
 def cut(value: Column | str, limit: int) -> Column:
@@ -114,17 +120,21 @@ def reject_reason(
 ) -> Column:
     """Why a call is not recorded; null for a good one. ``status`` is a double, null
     for a call without an answer."""
-    n, m, u = trimmed(name), trimmed(method), trimmed(url)
+    n, m, u = col(name), col(method), col(url)
     s, d = col(status), col(duration)
+    # by patterns that pass over the white space: trimmed text would be made again for each use of it
+    blank = lambda text: ~F.coalesce(text.rlike(rf"[!-~]|[^{TRIM_SPACE}]"), F.lit(False))
+    word = "[A-Za-z][A-Za-z_-]*+"
+    longest = wire.CALL_LIMITS["method"]
     low, high = 100, 599
     bad_status = (s != 0) & (F.isnan(s) | (s != F.floor(s)) | (s < low) | (s > high))
     bad_duration = d.isNull() | F.isnan(d) | (d < 0) | (d == float("inf"))
     return (
-        F.when(n.isNull(), "`name` must be a non-empty string")
-        .when(m.isNull(), "`method` must be a non-empty string")
-        .when(F.octet_length(m) > wire.CALL_LIMITS["method"], "`method` must be at most 16 characters")
-        .when(~m.rlike(r"^[A-Za-z][A-Za-z_-]*\z"), "`method` must be an HTTP method (letters, `-`, `_`)")
-        .when(u.isNull(), "`url` must be a non-empty string")
+        F.when(blank(n), "`name` must be a non-empty string")
+        .when(blank(m), "`method` must be a non-empty string")
+        .when((F.octet_length(m) > longest) & (F.octet_length(trimmed(m)) > longest), "`method` must be at most 16 characters")
+        .when(~m.rlike(rf"\A(?:{word}\z|[{TRIM_SPACE}]*+{word}[{TRIM_SPACE}]*+\z)"), "`method` must be an HTTP method (letters, `-`, `_`)")
+        .when(blank(u), "`url` must be a non-empty string")
         .when(
             F.coalesce(bad_status, F.lit(False)),
             "`status` must be an HTTP status (100–599), or omitted for a network error",
@@ -146,18 +156,26 @@ def normalised(
 ) -> Column:
     """The call as it is shipped: trimmed, capped, URL stripped; optional fields that
     cannot be used are null."""
+    texts = (trimmed(name), trimmed(method), strip_url(trimmed(url)), trimmed(request_id), trimmed(code))
+    return normalised_of_trimmed(*texts, status, duration, message, attempt)
+
+
+def normalised_of_trimmed(
+    name: Column, method: Column, bare_url: Column, rid: Column, code: Column,
+    status: Column | str, duration: Column | str, message: Column | str, attempt: Column | str,
+) -> Column:
+    """``normalised`` of texts that are ``trimmed`` already, the URL also stripped."""
     limits = wire.CALL_LIMITS
     s, a = col(status), col(attempt)
-    rid = trimmed(request_id)
     usable_id = (F.octet_length(rid) <= limits["requestId"]) & rid.rlike(r"^[\x21-\x7E]+\z")
     return F.struct(
-        cut(trimmed(name), limits["name"]).alias("name"),
-        trimmed(method).alias("method"),
-        cut(strip_url(trimmed(url)), limits["url"]).alias("url"),
+        cut(name, limits["name"]).alias("name"),
+        method.alias("method"),
+        cut(bare_url, limits["url"]).alias("url"),
         F.when(s != 0, s.cast("int")).alias("status"),
         col(duration).cast("double").alias("durationMs"),
         F.when(usable_id, rid).alias("requestId"),
-        cut(trimmed(code), limits["errorCode"]).alias("errorCode"),
+        cut(code, limits["errorCode"]).alias("errorCode"),
         cut(F.nullif(col(message), F.lit("")), limits["message"]).alias("message"),
         F.when((a == F.floor(a)) & a.between(0, wire.MAX_ATTEMPT), a.cast("int")).alias("attempt"),
     )

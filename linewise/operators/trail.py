@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import wire
-from ..functions.calls import call_json, normalised, reject_reason
+from ..functions.calls import call_json, normalised_of_trimmed, reject_reason, strip_url, trimmed
 from ..functions.jsontext import ascii_length
 from .ordered import by_position, running_sum
 
@@ -19,10 +19,12 @@ CALL_COLUMNS = ("name", "method", "url", "status", "duration_ms", "request_id",
 def normalise_calls(calls: DataFrame) -> DataFrame:
     """Adds ``call`` (null when rejected) and ``reject_reason``. Reads the columns of
     CALL_COLUMNS; status, duration_ms and attempt are doubles."""
+    texts = {f"_trimmed_{c}": trimmed(c) for c in ("name", "method", "url", "request_id", "error_code")}
+    name, method, url, rid, code = (F.col(t) for t in texts)  # columns of their own, or each use would trim again
+    rows = calls.withColumns(texts).withColumn("_bare_url", strip_url(url))
     reason = reject_reason("name", "method", "url", "status", "duration_ms")
-    return calls.withColumn("reject_reason", reason).withColumn(
-        "call", F.when(F.col("reject_reason").isNull(), normalised(*CALL_COLUMNS))
-    )
+    call = normalised_of_trimmed(name, method, F.col("_bare_url"), rid, code, "status", "duration_ms", "call_message", "attempt")
+    return rows.withColumn("reject_reason", reason).withColumn("call", F.when(F.col("reject_reason").isNull(), call)).drop(*texts, "_bare_url")
 
 
 def exchange_no(rows: DataFrame, by: Sequence[str] = ("scope_id",), order: str = "seq", chunk: Column | None = None) -> DataFrame:
@@ -69,7 +71,7 @@ def assemble_trails(
     sized = top.withColumn("_json", call_json(F.col("call"))).withColumn("_size", ascii_length("_json") + 1)
     back = W.partitionBy(*keys).orderBy("_rank").rowsBetween(W.unboundedPreceding, 0)
     fits = sized.withColumn("_fits", F.sum("_size").over(back) + 1 <= max_bytes)
-    kept = F.array_sort(
+    kept = F.sort_array(
         F.collect_list(F.when(F.col("_fits"), F.struct((-F.col("_rank")).alias("_o"), F.col("call").alias("call"), F.col("_json").alias("_json"))))
     )
     trails = fits.groupBy(*keys).agg(kept.alias("_kept"), F.count_if("_fits").cast("int").alias("n_calls"))

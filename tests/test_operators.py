@@ -286,3 +286,29 @@ def test_metrics(spark):
     assert metrics.explode_points(checked).count() == 1 + 1 + 1000 + 1
     single = spark.createDataFrame([("k", '{"slug":"s","timestamp":"2024-01-01","value":2,"period":"day"}')], "app_key string, body string")
     assert [tuple(r)[:5] for r in metrics.explode_points(metrics.read_metric_points(single)).collect()] == [("k", "s", 0, "2024-01-01", 2.0)]
+
+
+def _optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_calls_are_trimmed_once(spark):
+    """A filter on the call goes below the step that made it; it must not trim every text again."""
+    from linewise.functions.calls import TRIM_SPACE
+
+    texts = ["GET", " GET ", " GET　", "\tGET", "GET\x1c", "\x85GET", "   ", "", None, "G-T_", "é", "　" + "A" * 16 + " ", "A" * 17, "₡"]
+    rows = [(k, t, t, t, 200.0, 1.0, t, t, "m", None) for k, t in enumerate(texts)]
+    schema = "k int, name string, method string, url string, status double, duration_ms double, request_id string, error_code string, call_message string, attempt double"
+    df = spark.createDataFrame(rows, schema)
+    calls = trail.normalise_calls(df)
+    assert calls.columns == [*df.columns, "reject_reason", "call"]
+    for row in calls.collect():
+        text = (texts[row.k] or "").strip(TRIM_SPACE)
+        good = text.isascii() and text.replace("-", "a").replace("_", "a").isalpha() and len(text) <= 16
+        assert (row.reject_reason is None) == good, (texts[row.k], row.reject_reason)
+        if not text:
+            assert row.reject_reason == "`name` must be a non-empty string"
+        if good:
+            assert (row.call.name, row.call.method, row.call.url, row.call.requestId, row.call.errorCode) == (text,) * 5
+    plan = _optimised(calls.filter("call is not null").select("call"))
+    assert plan.count(TRIM_SPACE + ")") <= 16
