@@ -312,3 +312,13 @@ def test_calls_are_trimmed_once(spark):
             assert (row.call.name, row.call.method, row.call.url, row.call.requestId, row.call.errorCode) == (text,) * 5
     plan = _optimised(calls.filter("call is not null").select("call"))
     assert plan.count(TRIM_SPACE + ")") <= 16
+
+
+def test_container_rows_are_split_once(spark):
+    rows = ["t stdout F a b  c", "t stdout P ", "t stderr F x", "stdout F broken", " stdout F x", "t  stdout F x", "t\t stdout F x", "t stdout F", "t stdout FF x", "", None, "t stdout F \nx"]
+    df = spark.createDataFrame([(t,) for t in rows], "text string")
+    parts = recover.drop_stderr(recover.read_cri(df))
+    assert [(r.time, r.tag, r.log, r.is_last) for r in parts.collect()] == [
+        ("t", "F", "a b  c", True), ("t", "P", "", False), ("t ", "F", "x", True), ("t", "F", "\nx", True)
+    ]
+    assert _optimised(parts.select("log", "is_last")).count("split(") == 1
