@@ -1,5 +1,7 @@
 """Gold vectors of the scalar functions."""
 
+import hashlib
+import hmac
 import math
 
 import pytest
@@ -43,6 +45,16 @@ def test_ms_number_to_ns(spark):
         None, None, None, None, None]
 
 
+def test_references_are_masked_by_words(spark):
+    """Keys of every length up to the block and over it, zero bytes and bytes that mask to zero; no step for each byte."""
+    tokens = ["x" * n for n in range(1, 67)] + ["\0\0a", "6" * 13, "\\" * 64, "a" + "\0" * 20 + "b", "é\u20ac" * 12, "0" * 7]
+    refs = spark.createDataFrame(list(enumerate(tokens)), "i int, t string").select("i", partner_ref("t", F.lit("k")).alias("ref"))
+    message = hashlib.sha256(b"k").hexdigest().encode()
+    got = [r.ref.rsplit(":", 1)[1] for r in refs.orderBy("i").collect()]
+    assert got == [hmac.new(k.encode(), message, hashlib.sha256).hexdigest() for k in tokens]
+    assert "sequence" not in refs._jdf.queryExecution().analyzed().toString()
+
+
 def test_partner_ref(spark):
     token = "tenant_live_test123"
     cases = [

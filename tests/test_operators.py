@@ -322,3 +322,11 @@ def test_container_rows_are_split_once(spark):
         ("t", "F", "a b  c", True), ("t", "P", "", False), ("t ", "F", "x", True), ("t", "F", "\nx", True)
     ]
     assert _optimised(parts.select("log", "is_last")).count("split(") == 1
+
+
+def test_the_fields_of_a_line_are_written_once(spark):
+    calls = spark.createDataFrame([("r", "1", "info", "m", "p", '{"a":1,"level":"mine"}')], "partner_ref string, ts_ns string, level string, message string, partner_id string, j string")
+    made = compose_lines(calls.withColumn("data", entries_of("j"))).select("line")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries") == 3 and plan.count("startswith(") + plan.count("StartsWith(") == 1
+    assert made.first().line.endswith('"level":"mine","message":"m","partnerId":"p","a":1}')
