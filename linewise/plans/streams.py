@@ -10,13 +10,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import wire
 from ..functions.calls import call_json
 from ..functions.jsontext import ascii_length
 from ..functions.timestamps import epoch_micros
 from ..operators import lines, recover, report, trail
-from ..session import cut_lineage, shared_folder
+from ..session import shared_folder
 from ..sources import sinks
 from ..sources.follow import follow_line_files
 from ..sources.sinks import stream_to
@@ -66,15 +67,22 @@ def stream_rejoin_parts(spark, d):
     return finished(out)
 
 
-def _in_triggers(rows: DataFrame, *closing: DataFrame) -> DataFrame:
-    """``rows``, then each of ``closing``, as a stream of several triggers: written to the shared
-    folder one after the other and read a few files at a time, oldest first. ``rows`` are at most
-    four files, which arrive together."""
-    spark = rows.sparkSession
-    folder = f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}"
-    for part in (rows, *closing):
-        part.write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(folder)
+class _Arrivals:
+    """Rows written to the shared folder part after part, and read back as a stream with a part in each
+    trigger, oldest first. A part is as many files as the cluster has cores, so that all of them
+    write it and read it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+        self.files = max(4, spark.sparkContext.defaultParallelism)
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as they were written, with all that was added before."""
+        rows.repartition(self.files).write.mode("append").parquet(self.folder)
+        return self.spark.read.schema(rows.schema).parquet(self.folder)
+
+    def stream(self, schema: StructType) -> DataFrame:
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files).parquet(self.folder)
 
 
 @query
@@ -86,28 +94,33 @@ def stream_pair_exchanges(spark, d):
     answered = lines.compose_lines(views.with_ref(lines.response_lines(views.order_responses(views.table(spark, d, "orders"))), registry))
     parsed = lines.parse_lines(asked.select("line").unionByName(answered.select("line")))
     timed = parsed.withColumn("ts", F.timestamp_micros((F.col("ts_ns").cast("decimal(38,0)") / 1000).cast("bigint")))
-    timed = timed.select("partner_ref", "correlation_id", "message", "ts", "method", "path", "status_code", "duration_ms").repartition(4)
-    timed = cut_lineage(timed)  # made once, for its own files and for the latest time
-    last = timed.agg((F.max("ts") + F.expr("interval 60 days")).alias("ts"))
+    timed = timed.select("partner_ref", "correlation_id", "message", "ts", "method", "path", "status_code", "duration_ms")
+    arrivals = _Arrivals(spark)
+    last = arrivals.add(timed).agg((F.max("ts") + F.expr("interval 60 days")).alias("ts"))
     later = last.select(F.explode(F.array(F.lit(wire.REQUEST_MESSAGE), F.lit(wire.RESPONSE_MESSAGE))).alias("message"), "ts")
     later = later.withColumns({"partner_ref": F.lit(""), "correlation_id": F.col("message")})
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in timed.schema.fields if f.name not in later.columns]
-    later = later.select("*", *blank).select(*timed.columns)
-    pairs = stream_pair(_in_triggers(timed, later), delay="20 days")
+    arrivals.add(later.select("*", *blank).select(*timed.columns))
+    pairs = stream_pair(arrivals.stream(timed.schema), delay="20 days")
     return finished(pairs.select("partner_ref", "correlation_id", "method", "path", big(F.col("status_code")).alias("status_code"), "duration_ms"))
 
 
 def _by_time(rows: DataFrame, at: str) -> DataFrame:
-    """``rows`` as a stream of three triggers in the order of ``at``, four files each. They are made
-    once: their ends and each trigger's share are read from the shared folder."""
-    rows = cut_lineage(rows)
+    """``rows`` as a stream of three triggers in the order of ``at``. They are made once, as columns:
+    their ends are read without the rest, and a trigger's share without what lies elsewhere."""
+    spark, schema = rows.sparkSession, rows.schema
+    made = f"{shared_folder(spark)}/made-{uuid.uuid4().hex}"
+    rows.write.parquet(made)
+    rows, arrivals = spark.read.schema(schema).parquet(made), _Arrivals(spark)
     ends = rows.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
     if ends.a is None:
-        return _in_triggers(rows)
+        arrivals.add(rows)
+        return arrivals.stream(schema)
     step = (ends.b - ends.a) / 3 if not isinstance(ends.a, int) else (ends.b - ends.a) // 3
     cuts = [F.lit(ends.a + step), F.lit(ends.a + 2 * step)]
-    parts = [F.col(at) < cuts[0], (F.col(at) >= cuts[0]) & (F.col(at) < cuts[1]), F.col(at) >= cuts[1]]
-    return _in_triggers(*(rows.filter(part).repartition(4) for part in parts))
+    for part in (F.col(at) < cuts[0], (F.col(at) >= cuts[0]) & (F.col(at) < cuts[1]), F.col(at) >= cuts[1]):
+        arrivals.add(rows.filter(part))
+    return arrivals.stream(schema)
 
 
 @query

@@ -3,6 +3,7 @@
 import json
 from collections import Counter
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from linewise.operators.lines import compose_lines, parse_lines
 from linewise.operators.leaks import leak_scan
 from linewise.operators.partner import secret_forms
 from linewise.plans.streams import _by_time
+from linewise.session import shared_folder
 from linewise.sources.files import read_line_files, stream_line_files
 from linewise.sources.sinks import stream_to, write_export_records, write_lines, write_push_batches
 from linewise.streaming.lines import stream_dedupe, stream_lines, stream_pair
@@ -166,6 +168,19 @@ def test_rows_for_several_triggers_are_made_once(spark):
     assert stream.isStreaming and made.value == 90
 
 
+def test_each_trigger_is_written_and_read_by_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 6)
+    before, shared = set(), Path(shared_folder(spark).removeprefix("file:"))
+    before.update(shared.glob("arrivals-*"))
+    stream = _by_time(spark.range(600), "id")
+    (folder,) = set(shared.glob("arrivals-*")) - before
+    assert len(list(folder.glob("part-*"))) == 18
+    query = stream_to(stream, str(tmp_path / "out"), str(tmp_path / "position"))
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [199, 199, 202]
+    assert spark.read.parquet(str(tmp_path / "out")).distinct().count() == 600
+
+
 def test_held_reports_come_out_by_the_watermark(spark, tmp_path):
     folder, t = str(tmp_path / "held"), 10**12
     for rows in ([("a", t, 1), ("a", t + 10, 2), ("b", t + 5, 1)], [("b", t + 200_000, 4), ("b", t + 200_001, 1)], [("c", t + 900_000, 1), ("c", t + 900_001, 1)]):
