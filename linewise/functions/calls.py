@@ -18,15 +18,16 @@ TRIM_SPACE = (
 CALL_FIELDS = ("name", "method", "url", "status", "durationMs", "requestId", "errorCode", "message", "attempt")
 
 
-def trimmed(value: Column | str) -> Column:
-    """Text without surrounding white space; null when nothing is left. Text that begins and ends
-    with a visible ASCII character once its blanks are off is not searched for the other kinds."""
+def without_space(text: Column) -> Column:
+    """Text whose blanks are off already without other surrounding white space; null when nothing is left.
+    Text that begins and ends with a visible ASCII character is not searched for it."""
+    done = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+    return F.when(done, text).otherwise(F.nullif(F.btrim(text, F.lit(TRIM_SPACE)), F.lit("")))
 
-    def rest(text: Column) -> Column:
-        done = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
-        return F.when(done, text).otherwise(F.nullif(F.btrim(text, F.lit(TRIM_SPACE)), F.lit("")))
 
-    return bind(F.trim(col(value)), rest)
+def trimmed(value: Column | str) -> Column:
+    """Text without surrounding white space; null when nothing is left."""
+    return bind(F.trim(col(value)), without_space)
 
 
 def cut(value: Column | str, limit: int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import wire
-from ..functions.calls import call_json, normalised_of_trimmed, reject_reason, strip_url, trimmed
+from ..functions.calls import call_json, normalised_of_trimmed, reject_reason, strip_url, without_space
 from ..functions.jsontext import ascii_length
 from .ordered import by_position, running_sum
 
@@ -19,12 +19,12 @@ CALL_COLUMNS = ("name", "method", "url", "status", "duration_ms", "request_id",
 def normalise_calls(calls: DataFrame) -> DataFrame:
     """Adds ``call`` (null when rejected) and ``reject_reason``. Reads the columns of
     CALL_COLUMNS; status, duration_ms and attempt are doubles."""
-    texts = {f"_trimmed_{c}": trimmed(c) for c in ("name", "method", "url", "request_id", "error_code")}
-    name, method, url, rid, code = (F.col(t) for t in texts)  # columns of their own, or each use would trim again
-    rows = calls.withColumns(texts).withColumn("_bare_url", strip_url(url))
+    blanks = {f"_trimmed_{c}": F.trim(c) for c in ("name", "method", "url", "request_id", "error_code")}
+    name, method, url, rid, code = texts = [F.col(t) for t in blanks]  # columns of their own, or each use would trim again
+    rows = calls.withColumns(blanks).withColumns({t: without_space(text) for t, text in zip(blanks, texts)}).withColumn("_bare_url", strip_url(url))
     reason = reject_reason("name", "method", "url", "status", "duration_ms")
     call = normalised_of_trimmed(name, method, F.col("_bare_url"), rid, code, "status", "duration_ms", "call_message", "attempt")
-    return rows.withColumn("reject_reason", reason).withColumn("call", F.when(F.col("reject_reason").isNull(), call)).drop(*texts, "_bare_url")
+    return rows.withColumn("reject_reason", reason).withColumn("call", F.when(F.col("reject_reason").isNull(), call)).drop(*blanks, "_bare_url")
 
 
 def exchange_no(rows: DataFrame, by: Sequence[str] = ("scope_id",), order: str = "seq", chunk: Column | None = None) -> DataFrame:

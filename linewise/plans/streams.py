@@ -7,6 +7,7 @@ folder below the shared one, and gives back what was written.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,9 +77,10 @@ class _Arrivals:
         self.spark, self.folder = spark, f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}"
         self.files = max(4, spark.sparkContext.defaultParallelism)
 
-    def add(self, rows: DataFrame) -> DataFrame:
-        """``rows`` as they were written, with all that was added before."""
-        rows.repartition(self.files).write.mode("append").parquet(self.folder)
+    def add(self, rows: DataFrame, then: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+        """``rows``, dealt out, after ``then``, as they were written, with all that was added before."""
+        rows = then(rows.repartition(self.files))
+        rows.write.mode("append").parquet(self.folder)
         return self.spark.read.schema(rows.schema).parquet(self.folder)
 
     def stream(self, schema: StructType) -> DataFrame:
@@ -105,38 +107,48 @@ def stream_pair_exchanges(spark, d):
     return finished(pairs.select("partner_ref", "correlation_id", "method", "path", big(F.col("status_code")).alias("status_code"), "duration_ms"))
 
 
-def _by_time(rows: DataFrame, at: str) -> DataFrame:
+def _by_time(rows: DataFrame, at: str, then: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """``rows`` as a stream of three triggers in the order of ``at``. They are made once, as columns:
-    their ends are read without the rest, and a trigger's share without what lies elsewhere."""
-    spark, schema = rows.sparkSession, rows.schema
+    their ends are read without the rest, and a trigger's share without what lies elsewhere. ``then``,
+    row by row, makes the stream's rows of them: what it makes is written once, where it is made."""
+    spark = rows.sparkSession
     made = f"{shared_folder(spark)}/made-{uuid.uuid4().hex}"
     rows.write.parquet(made)
-    rows, arrivals = spark.read.schema(schema).parquet(made), _Arrivals(spark)
+    rows, arrivals = spark.read.schema(rows.schema).parquet(made), _Arrivals(spark)
+    schema = then(rows).schema
     ends = rows.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
     if ends.a is None:
-        arrivals.add(rows)
+        arrivals.add(rows, then)
         return arrivals.stream(schema)
     step = (ends.b - ends.a) / 3 if not isinstance(ends.a, int) else (ends.b - ends.a) // 3
     cuts = [F.lit(ends.a + step), F.lit(ends.a + 2 * step)]
     for part in (F.col(at) < cuts[0], (F.col(at) >= cuts[0]) & (F.col(at) < cuts[1]), F.col(at) >= cuts[1]):
-        arrivals.add(rows.filter(part))
+        arrivals.add(rows.filter(part), then)
     return arrivals.stream(schema)
 
 
+def _item_rows(rows: DataFrame) -> DataFrame:
+    """What ``stream_trails`` reads: the calls that are taken, and the answers, of which no column of an item is set."""
+    calls = trail.normalise_calls(views.item_calls(rows, ("exchange_id", "seq", "kind", "ts")))
+    sent = calls.filter((F.col("kind") != "call") | F.col("call").isNotNull()).select("exchange_id", "seq", "kind", call_json(F.col("call")).alias("call_json"), "ts")
+    return sent.select("exchange_id", "seq", "kind", "call_json", ascii_length("call_json").alias("call_bytes"), "ts")
+
+
 @query
 def stream_collect_trails(spark, d):
     """Calls a minute apart and, but for open orders, an answer within the hour. An order that is
-    silent for a day ends unanswered, by the watermark alone; the last day's still wait."""
+    silent for a day ends unanswered, by the watermark alone; the last day's still wait.
+    Items meet their orders and are dealt out as columns; a call's text is made where it is written."""
     orders = views.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderstatus")
-    calls = trail.normalise_calls(views.item_calls(views.table(spark, d, "lineitem"))).filter(F.col("call").isNotNull())
+    columns = ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
     seq = F.col("l_linenumber") * 10**15 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
-    made = calls.select("l_orderkey", seq.alias("seq"), F.lit("call").alias("kind"), call_json(F.col("call")).alias("call_json"), (F.col("l_linenumber") * 60).alias("after"))
-    ends = orders.filter("o_orderstatus <> 'O'").select("l_orderkey", F.lit(10**18).alias("seq"), F.lit("response").alias("kind"), F.lit(None).cast("string").alias("call_json"), F.lit(3600).alias("after"))
-    rows = made.unionByName(ends).join(orders, "l_orderkey").select(
-        F.col("l_orderkey").cast("string").alias("exchange_id"), "seq", "kind", "call_json", ascii_length("call_json").alias("call_bytes"),
+    items = views.table(spark, d, "lineitem").select("l_orderkey", *columns, seq.alias("seq"), F.lit("call").alias("kind"), (F.col("l_linenumber") * 60).alias("after"))
+    ends = orders.filter("o_orderstatus <> 'O'").select("l_orderkey", F.lit(10**18).alias("seq"), F.lit("response").alias("kind"), F.lit(3600).alias("after"))
+    rows = items.unionByName(ends, allowMissingColumns=True).join(orders, "l_orderkey").select(
+        F.col("l_orderkey").cast("string").alias("exchange_id"), "seq", "kind", *columns,
         F.timestamp_micros(epoch_micros("o_orderdate") + F.col("after").cast("bigint") * 1_000_000).alias("ts"),
     )
-    trails = stream_trails(_by_time(rows, "ts"), **SMALL_TRAIL, wait="1 day", delay="1 hour")
+    trails = stream_trails(_by_time(rows, "ts", _item_rows), **SMALL_TRAIL, wait="1 day", delay="1 hour")
     return finished(trails.select("exchange_id", "answered", big(F.col("n_calls")).alias("n_calls"), big(F.col("upstream_dropped")).alias("upstream_dropped")))
 
 

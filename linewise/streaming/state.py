@@ -2,29 +2,36 @@
 
 Each is a stateful processor with a bounded state per key (64 parts or 1 MiB; 20 calls; four
 numbers). A key's rows of a micro-batch are read in order without being held together:
-if there are more than a few thousand, they wait as sorted runs in the state store and
-are merged from there. Silence is measured in event time, by the rows themselves where they
+if there are more than a few thousand, they wait as sorted runs in the state store (of trails,
+in a temporary file) and are merged from there. Silence is measured in event time, by the rows themselves where they
 go on and by a timer where they do not, so results do not depend on how rows fell into triggers.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import ExitStack
 from heapq import merge
-from itertools import groupby, islice
+from io import SEEK_END
+from itertools import chain, groupby, islice
 from operator import itemgetter
+from tempfile import TemporaryFile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import wire
 from ..session import ship_package
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RUN_ROWS, SPOOL_ROWS = 4096, 256
-TRAIL_BUCKETS = 1 << 14
+TRAIL_BUCKETS, TRAIL_RUN_ROWS = 1 << 11, 1 << 15
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -34,7 +41,7 @@ def use_state_store(spark: SparkSession) -> None:
 
 
 class _Ordered(StatefulProcessor):
-    """Reads a key's rows by their ``order``, the first column as a rule, ``RUN_ROWS`` of them in memory, or
+    """Reads a key's rows by their first column, ``RUN_ROWS`` of them in memory, or
     ``SPOOL_ROWS`` of each run where there are more."""
 
     columns: tuple[str, ...] = ()
@@ -46,7 +53,7 @@ class _Ordered(StatefulProcessor):
         self.made = Row(*self.out)
 
     def rows(self, given: Iterator[Row]) -> Iterator[tuple]:
-        pick, by = itemgetter(*self.columns), self.order
+        pick, by = itemgetter(*self.columns), itemgetter(0)
 
         def run_of() -> list[tuple]:
             return sorted((pick(r) for r in islice(given, RUN_ROWS)), key=by)
@@ -69,9 +76,6 @@ class _Ordered(StatefulProcessor):
             some = run_of()
         yield from merge(*runs, key=by)
 
-    def order(self, row: tuple):
-        return row[0]
-
     def ring(self, at_ms: int, before: int | None) -> None:
         """The key's one timer; ``before`` is when it was to ring."""
         if before is not None and before != at_ms:
@@ -123,59 +127,77 @@ def stream_rejoin(
     )
 
 
-class _Trails(_Ordered):
-    """Of a bucket of exchanges: what waits of them is one value and has one timer, the earliest, as
-    every access is a round trip."""
+def _in_order(frames: Iterator[pd.DataFrame], columns: Sequence[str], run_rows: int) -> Iterator[tuple]:
+    """The rows of ``frames``, those equal in the first column together and by the second one, ``run_rows`` of
+    them and a frame in memory. If there are more they wait as sorted runs in a temporary file of the
+    task and are merged from there, ``SPOOL_ROWS`` of each run at once."""
+    some, runs = [], []
 
-    columns, out = ("exchange_id", "seq", "kind", "call_json", "call_bytes", "ms"), ("exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped")
+    def by(row: tuple):
+        return row[0] is not None, row[0] or "", row[1]
 
-    def __init__(self, max_calls: int, max_bytes: int, wait_ms: int | None):
-        self.max_calls, self.max_bytes, self.wait_ms = max_calls, max_bytes, wait_ms
+    def spooled(blocks: list[int]) -> Iterator[tuple]:
+        for at in blocks:
+            file.seek(at)
+            yield from pickle.load(file)  # written below, by this task
 
-    def init(self, handle):
-        super().init(handle)
-        # by exchange at most max_calls calls, the number dropped and the latest time
-        self.held = handle.getValueState("held", "waiting binary, rings bigint")
+    def rows(order: Callable[[pd.DataFrame], np.ndarray] | None = None) -> Iterator[tuple]:
+        held = some[0] if len(some) == 1 else pd.concat(some, ignore_index=True)
+        at = order(held) if order else slice(None)
+        return zip(*(held[c].to_numpy()[at].tolist() for c in columns))
 
-    def order(self, row):
-        return row[0] is not None, row[0] or "", row[1]
+    with ExitStack() as closing:
+        for frame in frames:
+            some.append(frame)
+            if sum(map(len, some)) < run_rows:
+                continue
+            file = file if runs else closing.enter_context(TemporaryFile())
+            run, blocks = sorted(rows(), key=by), []
+            file.seek(0, SEEK_END)
+            for at in range(0, len(run), SPOOL_ROWS):
+                blocks.append(file.tell())
+                pickle.dump(run[at : at + SPOOL_ROWS], file)
+            runs.append(blocks)
+            some = []
+        if runs:
+            yield from merge(*map(spooled, runs), sorted(rows(), key=by) if some else [], key=by)
+        elif some:
+            yield from rows(lambda held: np.lexsort((held[columns[1]].to_numpy(), pd.factorize(held[columns[0]])[0])))
+
+
+class _Trails:
+    """Of a bucket of exchanges: what waits of them is one value and has one timeout, the earliest. Rows
+    come as frames, as a call of its own for each would cost more than what is done with it."""
+
+    columns, out = ("exchange_id", "seq", "kind", "call_json", "call_bytes", "ms"), ("exchange_id", "answered", "trail_json", "n_calls", "upstream_dropped")
+
+    def __init__(self, max_calls: int, max_bytes: int, wait_ms: int | None, run_rows: int):
+        self.max_calls, self.max_bytes, self.wait_ms, self.run_rows = max_calls, max_bytes, wait_ms, run_rows
 
     def fitted(self, exchange, calls, dropped, answered):
         calls = sorted(calls)
-        while calls and 2 + sum(c[2] for c in calls) + len(calls) - 1 > self.max_bytes:
-            calls, dropped = calls[1:], dropped + 1
-        return self.made(exchange, answered, "[" + ",".join(c[1] for c in calls) + "]", len(calls), dropped)
-
-    def waiting(self):
-        found = self.held.get()
-        return (pickle.loads(found[0]), found[1]) if found is not None else ({}, None)  # written below, by this processor
-
-    def keep(self, waiting, rings):
-        """What waits now; ``rings`` is when the bucket's timer was to ring, if it still is."""
-        at = None
-        if self.wait_ms is not None and waiting:
-            at = min(last_ms for _, _, last_ms in waiting.values()) + self.wait_ms + 1
-            self.ring(at, rings)
-        elif rings is not None:
-            self.handle.deleteTimer(rings)
-        if waiting:
-            self.held.update((pickle.dumps(waiting), at))
-        else:
-            self.held.clear()
-
-    def handleInputRows(self, key, rows, timerValues):
-        waiting, rings = self.waiting()
-        some = bool(waiting)
-        for exchange, its in groupby(self.rows(rows), key=itemgetter(0)):
+        size = 1 + sum(c[2] + 1 for c in calls)
+        first = 0
+        while first < len(calls) and size > self.max_bytes:
+            size -= calls[first][2] + 1
+            first += 1
+        return exchange, answered, "[" + ",".join([c[1] for c in calls[first:]]) + "]", len(calls) - first, dropped + first
+
+    def trails(self, waiting, frames):
+        """What goes out by rows alone; ``waiting`` then holds what waits: by exchange at most
+        ``max_calls`` calls, the number dropped and the latest time."""
+        wait_ms = self.wait_ms
+        for exchange, its in groupby(_in_order(frames, self.columns, self.run_rows), key=itemgetter(0)):
             calls, dropped, last_ms = waiting.pop(exchange, ([], 0, None))
             for _, seq, kind, text, size, ms in its:
-                if self.wait_ms is not None:
-                    if (calls or dropped) and ms - last_ms > self.wait_ms:
+                if wait_ms is not None:
+                    ms = int(ms)
+                    if (calls or dropped) and ms - last_ms > wait_ms:
                         yield self.fitted(exchange, calls, dropped, False)
                         calls, dropped = [], 0
-                    last_ms = int(ms) if last_ms is None else max(last_ms, int(ms))
+                    last_ms = ms if last_ms is None else max(last_ms, ms)
                 if kind == "call":
-                    calls.append((int(seq), text, int(size)))
+                    calls.append((seq, text, int(size)))
                     if len(calls) > self.max_calls:
                         calls.remove(min(calls))
                         dropped += 1
@@ -184,22 +206,31 @@ class _Trails(_Ordered):
                     calls, dropped = [], 0
             if calls or dropped:
                 waiting[exchange] = (calls, dropped, last_ms)
-        if some or waiting:
-            self.keep(waiting, rings)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        waiting, _ = self.waiting()
-        now = timerValues.getCurrentWatermarkInMs()
-        rung = [e for e, (_, _, last_ms) in waiting.items() if last_ms + self.wait_ms + 1 < now]
-        for exchange in rung:
+    def silent(self, waiting, now):
+        for exchange in [e for e, (_, _, last_ms) in waiting.items() if last_ms + self.wait_ms + 1 < now]:
             calls, dropped, _ = waiting.pop(exchange)
             yield self.fitted(exchange, calls, dropped, False)
-        self.keep(waiting, None)
+
+    def bucket(self, key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting = pickle.loads(zlib.decompress(state.get[0])) if state.exists else {}  # written below, by this operator
+        sent = self.trails(waiting, frames)
+        if self.wait_ms is not None:
+            sent = chain(sent, self.silent(waiting, state.getCurrentWatermarkMs()))
+        while some := list(islice(sent, RUN_ROWS)):
+            yield pd.DataFrame(some, columns=list(self.out))
+        if waiting:
+            state.update((zlib.compress(pickle.dumps(waiting), 1),))  # the states of a partition may ring, and travel, at once
+            if self.wait_ms is not None:
+                rings = min(last_ms for _, _, last_ms in waiting.values()) + self.wait_ms + 1
+                state.setTimeoutTimestamp(max(rings, 1))
+        elif state.exists:
+            state.remove()
 
 
 def stream_trails(
     events: DataFrame, max_calls: int = wire.TRAIL_MAX_CALLS, max_bytes: int = wire.TRAIL_MAX_BYTES, wait: str | None = None, delay: str = "1 hour",
-    buckets: int = TRAIL_BUCKETS,
+    buckets: int = TRAIL_BUCKETS, run_rows: int = TRAIL_RUN_ROWS,
 ) -> DataFrame:
     """The trail of each exchange, sent out when its response comes. Reads
     ``exchange_id, seq, kind`` (call | response | end), ``call_json`` and ``call_bytes`` (its
@@ -211,7 +242,7 @@ def stream_trails(
     behind the latest row, has passed. No closing row is needed.
 
     State is kept by bucket of exchanges: a task holds what waits in one of ``buckets``, which
-    stays the same while a query's checkpoint is used."""
+    stays the same while a query's checkpoint is used, and ``run_rows`` of its rows."""
     spark = events.sparkSession
     ship_package(spark)
     use_state_store(spark)
@@ -220,11 +251,13 @@ def stream_trails(
         wait_ms = spark.range(1).select(F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"interval {wait}"))).first()[0]
     else:
         events, wait_ms = events.withColumn("ms", F.lit(0).cast("bigint")), None
-    rows = events.select("exchange_id", "seq", "kind", "call_json", "call_bytes", "ms", *(["ts"] if wait is not None else []))
+    # never null, or a frame would hold it as doubles
+    seq = F.when(F.col("seq").isNotNull(), F.col("seq")).when(F.col("kind") == "call", F.raise_error(F.lit("a call has no seq"))).otherwise((1 << 63) - 1)
+    rows = events.select("exchange_id", seq.cast("bigint").alias("seq"), "kind", "call_json", "call_bytes", "ms", *(["ts"] if wait is not None else []))
     bucket = F.pmod(F.xxhash64("exchange_id"), F.lit(buckets)).alias("bucket")
-    return rows.select("*", bucket).groupBy("bucket").transformWithState(
-        _Trails(max_calls, max_bytes, wait_ms), "exchange_id string, answered boolean, trail_json string, n_calls int, upstream_dropped int",
-        "append", "EventTime" if wait is not None else "None",
+    return rows.select("*", bucket).groupBy("bucket").applyInPandasWithState(
+        _Trails(max_calls, max_bytes, wait_ms, run_rows).bucket, "exchange_id string, answered boolean, trail_json string, n_calls int, upstream_dropped int",
+        "waiting binary", "append", GroupStateTimeout.EventTimeTimeout if wait is not None else GroupStateTimeout.NoTimeout,
     )
 
 

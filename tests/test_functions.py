@@ -2,6 +2,7 @@
 
 import hashlib
 import hmac
+import json
 import math
 
 import pytest
@@ -165,3 +166,12 @@ def test_header_lists_on_lines(spark):
     rows = spark.createDataFrame([("k", {"Cookie": ["a", "b"], "X": ["k", "z"]})], "app_key string, headers map<string,array<string>>")
     assert rows.select(headers_json(redacted_headers(rows, "headers", "app_key"))).first()[0] == f'{{"Cookie":["{wire.REDACTED}"],"X":["{wire.REDACTED}","z"]}}'
     assert rows.select(headers_json(redacted_headers(rows, "headers"))).first()[0] == f'{{"Cookie":["{wire.REDACTED}"],"X":["k","z"]}}'
+
+
+def test_escaped_length_of_named_and_made_text(spark):
+    texts = ["", "plain", "é", "aé€b", "\U0001f600", "x\U0001f600é\U0001f600y€", "é" * 50 + "z", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    want = [None if t is None else len(json.dumps(t)) - 2 for t in texts]
+    got = rows.select("k", ascii_length("t").alias("named"), ascii_length(F.concat("t")).alias("made")).orderBy("k").collect()
+    assert [r.named for r in got] == [r.made for r in got] == want
+    assert dict(rows.select(ascii_length("t").alias("n")).dtypes) == {"n": "int"}

@@ -3,8 +3,10 @@
 import json
 from collections import Counter
 from datetime import datetime, timedelta
+from itertools import groupby
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from linewise import wire
@@ -19,7 +21,7 @@ from linewise.session import shared_folder
 from linewise.sources.files import read_line_files, stream_line_files
 from linewise.sources.sinks import stream_to, write_export_records, write_lines, write_push_batches
 from linewise.streaming.lines import stream_dedupe, stream_lines, stream_pair
-from linewise.streaming.state import stream_rejoin, stream_reports, stream_trails
+from linewise.streaming.state import _in_order, stream_rejoin, stream_reports, stream_trails
 
 
 def run(df, tmp_path, name):
@@ -156,6 +158,44 @@ def test_exchanges_of_one_bucket_keep_apart(spark, tmp_path):
     ]
 
 
+def test_a_bucket_with_many_rows_is_read_in_order(spark, tmp_path):
+    n, folder, schema = 900, str(tmp_path / "many"), "exchange_id string, seq bigint, kind string, call_json string, call_bytes int"
+    row = lambda key, k: (key, k, "response" if k % 7 == 6 else "call", None if k % 7 == 6 else f"{{{k}}}", None if k % 7 == 6 else 5)
+    rows = [row(key, k) for key in ("a", "", None) for k in range(n)]
+    for some in (rows[::2], rows[1::2]):
+        spark.createDataFrame(some, schema).orderBy(F.xxhash64("seq", "exchange_id")).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).parquet(folder)
+    want = {(key, f"[{{{k - 2}}},{{{k - 1}}}]", 2, 4) for key in ("a", "", None) for k in range(6, n, 7)}
+    for name, run_rows in (("runs", 64), ("whole", 1 << 15)):
+        out = run(stream_trails(source, 2, 500, buckets=1, run_rows=run_rows), tmp_path, name).collect()
+        assert len(out) == len(want) and {(r.exchange_id, r.trail_json, r.n_calls, r.upstream_dropped) for r in out} == want
+
+
+def test_frames_of_rows_are_merged_from_runs():
+    rows = [(key, (37 * k) % 500, k) for key in ("b", None, "a", "") for k in range(500)]
+    frames = [pd.DataFrame(rows[at : at + 90], columns=["key", "seq", "k"]) for at in range(0, len(rows), 90)]
+    for run_rows in (100, 10_000):
+        got = list(_in_order(iter(frames), ("key", "seq", "k"), run_rows))
+        assert sorted(map(str, got)) == sorted(map(str, rows))
+        groups = [(key, [seq for _, seq, _ in its]) for key, its in groupby(got, key=lambda r: r[0])]
+        assert len(groups) == 4 and all(seqs == sorted(seqs) for _, seqs in groups)
+
+
+def test_what_a_trigger_sends_is_made_after_it_was_dealt_out(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(x):
+        made.add(1)
+        return str(x)
+
+    before = set(Path(shared_folder(spark).removeprefix("file:")).glob("made-*"))
+    stream = _by_time(spark.range(90), "id", lambda rows: rows.select("id", text("id").alias("text")))
+    (folder,) = set(Path(shared_folder(spark).removeprefix("file:")).glob("made-*")) - before
+    assert stream.columns == ["id", "text"] and made.value == 90
+    assert spark.read.parquet(str(folder)).columns == ["id"]
+
+
 def test_rows_for_several_triggers_are_made_once(spark):
     made = spark.sparkContext.accumulator(0)
 
